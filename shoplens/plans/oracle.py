@@ -1,0 +1,84 @@
+"""DuckDB SQL for every registered query that SQL can express.
+
+Each statement is an independent statement of the same semantics over the
+raw input views (``events``, ``customer``, ...), so a match checks adapters
+and operators together.
+"""
+
+from __future__ import annotations
+
+from shoplens.params import TaskParams
+from shoplens.plans.model import DEFAULT_PARAMS
+from shoplens.sources.adapters import CITY_AREA_ROWS
+from shoplens.functions.expr import AREA_LEVELS
+
+ORACLE: dict[str, str] = {}
+
+
+def _date_filter(p: TaskParams) -> str:
+    return (f"ts >= DATE '{p.start_date}' "
+            f"AND ts < DATE '{p.end_date}' + INTERVAL 1 DAY")
+
+
+def uva_cte(p: TaskParams | None = DEFAULT_PARAMS) -> str:
+    where = f"WHERE {_date_filter(p)}" if p else ""
+    return f"""
+ev AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events {where}),
+uva AS (
+  SELECT CAST(ts AS DATE) AS date, user_id,
+         CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y%m%d') AS session_id,
+         k % 10 AS page_id,
+         date_trunc('second', ts) AS action_time,
+         CASE WHEN event_type = 'view' THEN 'kw' || CAST(k % 10 AS VARCHAR) END AS search_keyword,
+         CASE WHEN event_type = 'click' THEN k END AS click_category_id,
+         CASE WHEN event_type = 'click' THEN (event_id // 10) % 100 END AS click_product_id,
+         CASE WHEN event_type = 'purchase' THEN [k, (k + 1) % 100] END AS order_category_ids,
+         CASE WHEN event_type = 'signup' THEN [k] END AS pay_category_ids,
+         event_id % 10 AS city_id
+  FROM ev)"""
+
+
+def city_cte() -> str:
+    rows = ", ".join(f"({i}, '{c}', '{a}')" for i, c, a in CITY_AREA_ROWS)
+    return f"city(city_id, city_name, area) AS (VALUES {rows})"
+
+
+def level_case(col: str = "area") -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in AREA_LEVELS.items())
+    return f"CASE {whens} ELSE 'D_Level' END"
+
+
+PRODUCTS_CTE = """prod AS (
+  SELECT p_partkey AS pid, p_name AS product_name,
+         CASE WHEN p_partkey % 2 = 0 THEN 'Self' ELSE 'Third Party' END AS product_status
+  FROM part)"""
+
+AREA_COUNTS = f"""
+basic AS (
+  SELECT u.city_id, c.city_name, c.area, u.click_product_id AS pid
+  FROM uva u JOIN city c ON u.city_id = c.city_id
+  WHERE u.click_product_id IS NOT NULL),
+cnt AS (
+  SELECT area, pid, count(*) AS click_count,
+         string_agg(DISTINCT CAST(city_id AS VARCHAR) || ':' || city_name, ','
+                    ORDER BY CAST(city_id AS VARCHAR) || ':' || city_name) AS city_infos
+  FROM basic GROUP BY area, pid)"""
+
+ORACLE["area_product_clicks"] = f"""
+WITH {uva_cte()}, {city_cte()}, {AREA_COUNTS}
+SELECT * FROM cnt"""
+
+ORACLE["area_product_info"] = f"""
+WITH {uva_cte()}, {city_cte()}, {AREA_COUNTS}, {PRODUCTS_CTE}
+SELECT cnt.pid, area, click_count, city_infos, product_name, product_status
+FROM cnt JOIN prod ON cnt.pid = prod.pid"""
+
+ORACLE["area_top3_products"] = f"""
+WITH {uva_cte()}, {city_cte()}, {AREA_COUNTS}, {PRODUCTS_CTE},
+ranked AS (
+  SELECT cnt.*, product_name, product_status,
+         row_number() OVER (PARTITION BY area ORDER BY click_count DESC, cnt.pid) AS rn
+  FROM cnt JOIN prod ON cnt.pid = prod.pid)
+SELECT area, {level_case()} AS area_level, pid, city_infos, click_count,
+       product_name, product_status
+FROM ranked WHERE rn <= 3"""
