@@ -14,16 +14,20 @@ from shoplens.sources.tables import Tables
 DEFAULT_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-30",
                             start_age=20, end_age=50)
 
-# A second task exercising every filter kind.
+# Two more tasks covering the other filter kinds (list, equality, keyword and
+# category overlap).
 WIDE_PARAMS = TaskParams(
-    start_date="2024-01-01", end_date="2024-01-30", start_age=20, end_age=59,
-    professionals=("BUILDING", "MACHINERY", "HOUSEHOLD"),
+    start_date="2024-01-01", end_date="2024-01-30", start_age=25, end_age=55,
+    professionals=("BUILDING", "MACHINERY", "HOUSEHOLD"), sex="female",
+    keywords=("kw0", "kw1", "kw3", "kw5", "kw7", "kw9"),
+)
+CATEGORY_PARAMS = TaskParams(
+    start_date="2024-01-01", end_date="2024-01-30",
     cities=tuple(f"NATION_{i}" for i in range(0, 25, 2)),
-    sex="female", keywords=("kw1", "kw3", "kw5", "kw7"),
-    category_ids=tuple(range(0, 100, 3)),
+    category_ids=tuple(range(0, 100, 2)),
 )
 
-SAMPLE_TOTAL = 3000
+SAMPLE_TOTAL = 1000
 SAMPLE_SEED = "shoplens"
 BLACKLIST_THRESHOLD = 1
 

@@ -33,7 +33,9 @@ uva AS (
          CASE WHEN event_type = 'click' THEN k END AS click_category_id,
          CASE WHEN event_type = 'click' THEN (event_id // 10) % 100 END AS click_product_id,
          CASE WHEN event_type = 'purchase' THEN [k, (k + 1) % 100] END AS order_category_ids,
+         CASE WHEN event_type = 'purchase' THEN [(event_id // 10) % 100] END AS order_product_ids,
          CASE WHEN event_type = 'signup' THEN [k] END AS pay_category_ids,
+         CASE WHEN event_type = 'signup' THEN [(event_id // 10) % 100] END AS pay_product_ids,
          event_id % 10 AS city_id
   FROM ev)"""
 
@@ -82,3 +84,232 @@ ranked AS (
 SELECT area, {level_case()} AS area_level, pid, city_infos, click_count,
        product_name, product_status
 FROM ranked WHERE rn <= 3"""
+
+
+# --- A: session analysis ---------------------------------------------------
+
+from shoplens.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS  # noqa: E402
+from shoplens.plans.model import CATEGORY_PARAMS, SAMPLE_SEED, SAMPLE_TOTAL, WIDE_PARAMS  # noqa: E402
+
+
+def _q(vals) -> str:
+    return ", ".join(f"'{v}'" for v in vals)
+
+
+def where_sql(p: TaskParams) -> str:
+    conds = []
+    if p.start_age is not None and p.end_age is not None:
+        conds.append(f"age BETWEEN {p.start_age} AND {p.end_age}")
+    if p.professionals:
+        conds.append(f"professional IN ({_q(p.professionals)})")
+    if p.cities:
+        conds.append(f"city IN ({_q(p.cities)})")
+    if p.sex:
+        conds.append(f"sex = '{p.sex}'")
+    if p.keywords:
+        conds.append(f"list_has_any(kw_list, [{_q(p.keywords)}])")
+    if p.category_ids:
+        conds.append(f"list_has_any(cat_list, [{', '.join(str(i) for i in p.category_ids)}]::BIGINT[])")
+    return " AND ".join(conds) or "TRUE"
+
+
+USERS_CTE = """users AS (
+  SELECT c_custkey AS user_id, CAST(18 + c_custkey % 50 AS INTEGER) AS age,
+         c_mktsegment AS professional, n_name AS city,
+         CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+SESS_CTE = """sess AS (
+  SELECT session_id, min(user_id) AS user_id, min(action_time) AS start_time,
+         count(*) AS step_length,
+         date_diff('second', min(action_time), max(action_time)) AS visit_length,
+         coalesce(array_to_string(list_sort(list_distinct(
+             list(search_keyword) FILTER (WHERE length(search_keyword) > 0))), ','), '') AS search_keywords,
+         coalesce(array_to_string(list_sort(list_distinct(list(click_category_id))), ','), '')
+             AS click_category_ids,
+         coalesce(list_distinct(list(search_keyword)), []) AS kw_list,
+         coalesce(list_distinct(list(click_category_id)), []) AS cat_list
+  FROM uva GROUP BY session_id)"""
+
+
+def sessions_ctes(p: TaskParams = DEFAULT_PARAMS) -> str:
+    return f"""{uva_cte(p)}, {USERS_CTE}, {SESS_CTE},
+enr AS (SELECT s.*, u.age, u.professional, u.city, u.sex FROM sess s JOIN users u USING (user_id)),
+filt AS (SELECT * FROM enr WHERE {where_sql(p)}),
+fa AS (SELECT * FROM uva WHERE session_id IN (SELECT session_id FROM filt))"""
+
+
+SESS_COLS = """session_id, user_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+       visit_length, step_length, search_keywords, click_category_ids"""
+
+ACTION_COLS = """strftime(date, '%Y-%m-%d') AS date, user_id, session_id, page_id,
+       strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time, search_keyword,
+       coalesce(click_category_id, -1) AS click_category_id,
+       coalesce(click_product_id, -1) AS click_product_id,
+       array_to_string(order_category_ids, ',') AS order_category_ids,
+       array_to_string(order_product_ids, ',') AS order_product_ids,
+       array_to_string(pay_category_ids, ',') AS pay_category_ids,
+       array_to_string(pay_product_ids, ',') AS pay_product_ids, city_id"""
+
+
+def _bucket_sql(col: str, lo: int, hi: int | None) -> str:
+    return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
+
+
+VISIT_COUNTS = ",\n       ".join(
+    ["count(*) FILTER (WHERE visit_length = 0) AS visit_length_0s"]
+    + [f"count(*) FILTER (WHERE {_bucket_sql('visit_length', lo, hi)}) AS {n}"
+       for n, lo, hi in VISIT_BUCKETS])
+STEP_COUNTS = ",\n       ".join(
+    f"count(*) FILTER (WHERE {_bucket_sql('step_length', lo, hi)}) AS {n}"
+    for n, lo, hi in STEP_BUCKETS)
+RATIOS = ",\n       ".join(
+    f"CASE WHEN session_count > 0 THEN CAST(round(CAST({n} / session_count AS DECIMAL(18, 10)), 2)"
+    f" AS DOUBLE) ELSE 0.0 END AS {n}_ratio"
+    for n, _, _ in VISIT_BUCKETS + STEP_BUCKETS)
+
+ORACLE["scan_actions_range"] = f"""
+WITH {uva_cte(None)}
+SELECT {ACTION_COLS} FROM uva WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'"""
+
+ORACLE["action_kind_counts"] = f"""
+WITH {uva_cte()}
+SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS n, 'click' AS kind FROM uva
+  WHERE click_category_id IS NOT NULL GROUP BY date
+UNION ALL
+SELECT strftime(date, '%Y-%m-%d'), count(*), 'order' FROM uva
+  WHERE order_category_ids IS NOT NULL GROUP BY date
+UNION ALL
+SELECT strftime(date, '%Y-%m-%d'), count(*), 'pay' FROM uva
+  WHERE pay_category_ids IS NOT NULL GROUP BY date"""
+
+ORACLE["sessionize"] = f"""
+WITH {uva_cte()}, {SESS_CTE}
+SELECT {SESS_COLS} FROM sess"""
+
+ORACLE["session_enriched"] = f"""
+WITH {sessions_ctes()}
+SELECT {SESS_COLS}, age, professional, city, sex FROM enr"""
+
+ORACLE["session_filtered"] = f"""
+WITH {sessions_ctes()}
+SELECT {SESS_COLS}, age, professional, city, sex FROM filt"""
+
+ORACLE["session_filtered_wide"] = f"""
+WITH {sessions_ctes(WIDE_PARAMS)}
+SELECT {SESS_COLS}, age, professional, city, sex FROM filt"""
+
+ORACLE["session_filtered_categories"] = f"""
+WITH {sessions_ctes(CATEGORY_PARAMS)}
+SELECT {SESS_COLS}, age, professional, city, sex FROM filt"""
+
+ORACLE["visit_histogram"] = f"""
+WITH {sessions_ctes()}
+SELECT count(*) AS session_count,
+       {VISIT_COUNTS}
+FROM filt"""
+
+ORACLE["step_histogram"] = f"""
+WITH {sessions_ctes()}
+SELECT count(*) AS session_count,
+       {STEP_COUNTS}
+FROM filt"""
+
+
+def _stats(p: TaskParams) -> str:
+    return f"""
+WITH {sessions_ctes(p)},
+c AS (SELECT count(*) AS session_count,
+       {VISIT_COUNTS},
+       {STEP_COUNTS}
+      FROM filt)
+SELECT session_count,
+       {RATIOS}
+FROM c"""
+
+
+ORACLE["session_stats"] = _stats(DEFAULT_PARAMS)
+ORACLE["session_stats_wide"] = _stats(WIDE_PARAMS)
+
+QUOTA_CTES = f"""
+hc AS (SELECT strftime(start_time, '%Y-%m-%d') AS date, strftime(start_time, '%H') AS hour,
+              count(*) AS hour_count
+       FROM filt GROUP BY 1, 2),
+hq AS (SELECT date, hour, hour_count,
+              CAST(sum(hour_count) OVER (PARTITION BY date) AS BIGINT) AS day_count,
+              CAST({SAMPLE_TOTAL} // (SELECT count(DISTINCT date) FROM hc) AS BIGINT) AS per_day
+       FROM hc),
+quota AS (SELECT *, CAST(least(floor(hour_count / day_count * per_day), hour_count) AS BIGINT) AS quota
+          FROM hq),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY sk, session_id) AS rn
+  FROM (SELECT *, strftime(start_time, '%Y-%m-%d') AS date, strftime(start_time, '%H') AS hour,
+               md5(session_id || ':' || '{SAMPLE_SEED}') AS sk FROM filt) t),
+extract AS (SELECT ranked.* FROM ranked JOIN quota USING (date, hour) WHERE rn <= quota)"""
+
+ORACLE["hour_quotas"] = f"""
+WITH {sessions_ctes()}, {QUOTA_CTES}
+SELECT date, hour, hour_count, day_count, per_day, quota FROM quota"""
+
+ORACLE["session_extract"] = f"""
+WITH {sessions_ctes()}, {QUOTA_CTES}
+SELECT session_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+       search_keywords, click_category_ids
+FROM extract"""
+
+ORACLE["session_detail"] = f"""
+WITH {sessions_ctes()}, {QUOTA_CTES}
+SELECT {ACTION_COLS} FROM uva WHERE session_id IN (SELECT session_id FROM extract)"""
+
+ORACLE["filtered_actions"] = f"""
+WITH {sessions_ctes()}
+SELECT {ACTION_COLS} FROM fa"""
+
+COUNT_CTES = """
+clicks AS (SELECT click_category_id AS category_id, count(*) AS click_count
+           FROM fa WHERE click_category_id IS NOT NULL GROUP BY 1),
+orders_c AS (SELECT category_id, count(*) AS order_count FROM
+             (SELECT unnest(order_category_ids) AS category_id FROM fa
+              WHERE order_category_ids IS NOT NULL) GROUP BY 1),
+pays_c AS (SELECT category_id, count(*) AS pay_count FROM
+           (SELECT unnest(pay_category_ids) AS category_id FROM fa
+            WHERE pay_category_ids IS NOT NULL) GROUP BY 1),
+universe AS (SELECT category_id FROM clicks UNION SELECT category_id FROM orders_c
+             UNION SELECT category_id FROM pays_c),
+funnel AS (
+  SELECT u.category_id, coalesce(c.click_count, 0) AS click_count,
+         coalesce(o.order_count, 0) AS order_count, coalesce(p.pay_count, 0) AS pay_count
+  FROM universe u LEFT JOIN clicks c USING (category_id)
+       LEFT JOIN orders_c o USING (category_id) LEFT JOIN pays_c p USING (category_id)),
+top10 AS (SELECT * FROM funnel
+          ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10)"""
+
+ORACLE["category_click_counts"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM clicks"
+ORACLE["category_order_counts"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM orders_c"
+ORACLE["category_pay_counts"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM pays_c"
+ORACLE["category_universe"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM universe"
+ORACLE["category_universe_first_action"] = f"""
+WITH {sessions_ctes()}
+SELECT DISTINCT category_id FROM (
+  SELECT click_category_id AS category_id FROM fa WHERE click_category_id IS NOT NULL
+  UNION ALL
+  SELECT unnest(order_category_ids) FROM fa
+   WHERE click_category_id IS NULL AND order_category_ids IS NOT NULL
+  UNION ALL
+  SELECT unnest(pay_category_ids) FROM fa
+   WHERE click_category_id IS NULL AND order_category_ids IS NULL AND pay_category_ids IS NOT NULL)"""
+ORACLE["category_funnel_counts"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM funnel"
+ORACLE["top10_categories"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM top10"
+ORACLE["top10_products_universe"] = f"""
+WITH {sessions_ctes()}, {COUNT_CTES}
+SELECT p_partkey AS product_id, coalesce(click_count, 0) AS click_count,
+       coalesce(order_count, 0) AS order_count, coalesce(pay_count, 0) AS pay_count
+FROM part LEFT JOIN funnel ON p_partkey = category_id
+ORDER BY click_count DESC, order_count DESC, pay_count DESC, product_id LIMIT 10"""
+ORACLE["top10_active_sessions"] = f"""
+WITH {sessions_ctes()}, {COUNT_CTES},
+sc AS (SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+       FROM fa WHERE click_category_id IN (SELECT category_id FROM top10) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+      FROM sc)
+SELECT category_id, session_id, click_count FROM r WHERE rn <= 10"""

@@ -41,3 +41,190 @@ def q_area_product_info(m: Model) -> DataFrame:
 @query("area_top3_products")
 def q_area_top3_products(m: Model) -> DataFrame:
     return areas.area_top3_products(m.actions(), m.products(), m.city_dim())
+
+
+# --- A: session analysis ---------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shoplens.functions.expr import format_date, format_time, ids_to_csv  # noqa: E402
+from shoplens.operators import categories, sampling, sessions  # noqa: E402
+from shoplens.plans.model import (CATEGORY_PARAMS, DEFAULT_PARAMS, SAMPLE_SEED,  # noqa: E402
+                                  SAMPLE_TOTAL, WIDE_PARAMS)
+
+SCAN_RANGE = ("2024-01-05", "2024-01-12")
+
+
+def render_sessions(df: DataFrame, *extra: str) -> DataFrame:
+    return df.select(
+        "session_id", "user_id", format_time("start_time").alias("start_time"),
+        "visit_length", "step_length",
+        F.array_join("search_keywords", ",").alias("search_keywords"),
+        ids_to_csv("click_category_ids").alias("click_category_ids"), *extra)
+
+
+def render_actions(df: DataFrame) -> DataFrame:
+    return df.select(
+        format_date("date").alias("date"), "user_id", "session_id", "page_id",
+        format_time("action_time").alias("action_time"), "search_keyword",
+        # -1 stands for "none", as in the original action table.
+        *[F.coalesce(c, F.lit(-1).cast("bigint")).alias(c)
+          for c in ("click_category_id", "click_product_id")],
+        *[ids_to_csv(c).alias(c) for c in ("order_category_ids", "order_product_ids",
+                                           "pay_category_ids", "pay_product_ids")],
+        "city_id")
+
+
+def filtered_sessions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
+    enriched = sessions.enrich(sessions.sessionize(m.actions(params)), m.users())
+    return sessions.filter_sessions(enriched, params)
+
+
+def kept_actions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
+    return sessions.filtered_actions(m.actions(params), filtered_sessions(m, params))
+
+
+@query("scan_actions_range")
+def q_scan_actions_range(m: Model) -> DataFrame:
+    acts = sessions.scan_actions(m.actions(None), *SCAN_RANGE)
+    return render_actions(acts)
+
+
+@query("action_kind_counts")
+def q_action_kind_counts(m: Model) -> DataFrame:
+    a = m.actions()
+    parts = [
+        sessions.clicks_only(a).groupBy(format_date("date").alias("date"))
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("click")),
+        sessions.orders_only(a).groupBy(format_date("date").alias("date"))
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("order")),
+        sessions.pays_only(a).groupBy(format_date("date").alias("date"))
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("pay")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("sessionize")
+def q_sessionize(m: Model) -> DataFrame:
+    return render_sessions(sessions.sessionize(m.actions()))
+
+
+@query("session_enriched")
+def q_session_enriched(m: Model) -> DataFrame:
+    enriched = sessions.enrich(sessions.sessionize(m.actions()), m.users())
+    return render_sessions(enriched, "age", "professional", "city", "sex")
+
+
+@query("session_filtered")
+def q_session_filtered(m: Model) -> DataFrame:
+    return render_sessions(filtered_sessions(m), "age", "professional", "city", "sex")
+
+
+@query("session_filtered_wide")
+def q_session_filtered_wide(m: Model) -> DataFrame:
+    return render_sessions(filtered_sessions(m, WIDE_PARAMS), "age", "professional", "city", "sex")
+
+
+@query("session_filtered_categories")
+def q_session_filtered_categories(m: Model) -> DataFrame:
+    return render_sessions(filtered_sessions(m, CATEGORY_PARAMS), "age", "professional", "city", "sex")
+
+
+@query("visit_histogram")
+def q_visit_histogram(m: Model) -> DataFrame:
+    return sessions.visit_histogram(filtered_sessions(m))
+
+
+@query("step_histogram")
+def q_step_histogram(m: Model) -> DataFrame:
+    return sessions.step_histogram(filtered_sessions(m))
+
+
+@query("session_stats")
+def q_session_stats(m: Model) -> DataFrame:
+    return sessions.session_ratios(filtered_sessions(m))
+
+
+@query("session_stats_wide")
+def q_session_stats_wide(m: Model) -> DataFrame:
+    return sessions.session_ratios(filtered_sessions(m, WIDE_PARAMS))
+
+
+@query("hour_quotas")
+def q_hour_quotas(m: Model) -> DataFrame:
+    return sampling.hour_quotas(filtered_sessions(m), SAMPLE_TOTAL)
+
+
+def extracted(m: Model) -> DataFrame:
+    return sampling.stratified_extract(filtered_sessions(m), SAMPLE_TOTAL, SAMPLE_SEED)
+
+
+@query("session_extract")
+def q_session_extract(m: Model) -> DataFrame:
+    return extracted(m).select(
+        "session_id", format_time("start_time").alias("start_time"),
+        F.array_join("search_keywords", ",").alias("search_keywords"),
+        ids_to_csv("click_category_ids").alias("click_category_ids"))
+
+
+@query("session_detail")
+def q_session_detail(m: Model) -> DataFrame:
+    # The extract holds at most SAMPLE_TOTAL sessions: a proven bound.
+    picked = F.broadcast(extracted(m).select("session_id"))
+    return render_actions(m.actions().join(picked, "session_id", "left_semi"))
+
+
+@query("filtered_actions")
+def q_filtered_actions(m: Model) -> DataFrame:
+    return render_actions(kept_actions(m))
+
+
+@query("category_click_counts")
+def q_category_click_counts(m: Model) -> DataFrame:
+    return categories.category_click_counts(kept_actions(m))
+
+
+@query("category_order_counts")
+def q_category_order_counts(m: Model) -> DataFrame:
+    return categories.category_order_counts(kept_actions(m))
+
+
+@query("category_pay_counts")
+def q_category_pay_counts(m: Model) -> DataFrame:
+    return categories.category_pay_counts(kept_actions(m))
+
+
+@query("category_universe")
+def q_category_universe(m: Model) -> DataFrame:
+    return categories.category_universe(kept_actions(m))
+
+
+@query("category_universe_first_action")
+def q_category_universe_first(m: Model) -> DataFrame:
+    return categories.category_universe(kept_actions(m), "first_action")
+
+
+@query("category_funnel_counts")
+def q_category_funnel_counts(m: Model) -> DataFrame:
+    return categories.category_funnel_counts(kept_actions(m))
+
+
+@query("top10_categories")
+def q_top10_categories(m: Model) -> DataFrame:
+    return categories.top_categories(categories.category_funnel_counts(kept_actions(m)), 10)
+
+
+@query("top10_products_universe")
+def q_top10_products_universe(m: Model) -> DataFrame:
+    counts = categories.category_funnel_counts(kept_actions(m))
+    return categories.top_products_universe(m.products(), counts, 10)
+
+
+@query("top10_active_sessions")
+def q_top10_active_sessions(m: Model) -> DataFrame:
+    acts = kept_actions(m)
+    top = categories.top_categories(categories.category_funnel_counts(acts), 10)
+    return categories.top_sessions_per_category(acts, top, 10)
