@@ -313,3 +313,66 @@ sc AS (SELECT click_category_id AS category_id, session_id, count(*) AS click_co
 r AS (SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
       FROM sc)
 SELECT category_id, session_id, click_count FROM r WHERE rn <= 10"""
+
+
+# --- C: ad clicks -------------------------------------------------------------
+
+LOG_CTES = """
+evk AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+geo AS (SELECT c_custkey AS userid, replace(r_name, ' ', '_') AS province,
+               replace(n_name, ' ', '_') AS city
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey),
+log AS (SELECT evk.ts, geo.province, geo.city, geo.userid, evk.k % 20 AS adid
+        FROM evk JOIN geo ON evk.user_id = geo.userid WHERE evk.event_type = 'click'),
+ucnt AS (SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, count(*) AS click_count
+         FROM log GROUP BY 1, 2, 3),
+blk AS (SELECT DISTINCT userid FROM ucnt WHERE click_count > {threshold}),
+ccnt AS (SELECT strftime(ts, '%Y%m%d') AS date, province, city, adid, count(*) AS click_count
+         FROM log GROUP BY 1, 2, 3, 4),
+pcnt AS (SELECT date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_count
+         FROM ccnt GROUP BY 1, 2, 3),
+mcnt AS (SELECT date_trunc('minute', ts) AS minute_start, adid, count(*) AS click_count
+         FROM log GROUP BY 1, 2)"""
+
+from shoplens.plans.model import BLACKLIST_THRESHOLD  # noqa: E402
+
+LOG = LOG_CTES.format(threshold=BLACKLIST_THRESHOLD)
+
+ORACLE["ad_log_parsed"] = f"""
+WITH {LOG},
+lines AS (SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || province || ' ' || city || ' '
+                 || CAST(userid AS VARCHAR) || ' ' || CAST(adid AS VARCHAR) AS line FROM log),
+parts AS (SELECT string_split(line, ' ') AS p FROM lines)
+SELECT strftime(make_timestamp(CAST(p[1] AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts,
+       p[2] AS province, p[3] AS city, CAST(p[4] AS BIGINT) AS userid, CAST(p[5] AS BIGINT) AS adid
+FROM parts"""
+
+ORACLE["clicks_by_user_ad_day"] = f"WITH {LOG} SELECT * FROM ucnt"
+ORACLE["blacklist_users"] = f"WITH {LOG} SELECT * FROM blk"
+ORACLE["ad_log_clean"] = f"""
+WITH {LOG}
+SELECT strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts,
+       province, city, userid, adid
+FROM log WHERE userid NOT IN (SELECT userid FROM blk)"""
+ORACLE["clicks_by_city_ad_day"] = f"WITH {LOG} SELECT * FROM ccnt"
+ORACLE["clicks_by_province_ad_day"] = f"WITH {LOG} SELECT * FROM pcnt"
+ORACLE["province_top3"] = f"""
+WITH {LOG},
+r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn
+      FROM pcnt)
+SELECT date, province, adid, click_count FROM r WHERE rn <= 3"""
+MINUTE_SELECT = """SELECT strftime(minute_start, '%Y%m%d') AS date, strftime(minute_start, '%H') AS hour,
+       strftime(minute_start, '%M') AS minute, adid, click_count FROM mcnt"""
+ORACLE["minute_trend"] = f"WITH {LOG} {MINUTE_SELECT}"
+ORACLE["last_hour_trend"] = f"""
+WITH {LOG} {MINUTE_SELECT}
+WHERE minute_start >= date_trunc('minute', (SELECT max(ts) FROM log)) - INTERVAL 59 MINUTE"""
+ORACLE["hourly_sliding_clicks"] = f"""
+WITH {LOG},
+win AS (SELECT unnest(generate_series(minute_start - INTERVAL 59 MINUTE, minute_start,
+                                      INTERVAL 1 MINUTE)) AS ws, adid, click_count FROM mcnt)
+SELECT strftime(ws, '%Y-%m-%d %H:%M') AS window_start,
+       strftime(ws + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS window_end,
+       adid, CAST(sum(click_count) AS BIGINT) AS click_count
+FROM win GROUP BY ws, adid"""

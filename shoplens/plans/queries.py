@@ -228,3 +228,77 @@ def q_top10_active_sessions(m: Model) -> DataFrame:
     acts = kept_actions(m)
     top = categories.top_categories(categories.category_funnel_counts(acts), 10)
     return categories.top_sessions_per_category(acts, top, 10)
+
+
+# --- C: ad clicks, batch definitions ----------------------------------------
+
+from shoplens.operators import ads  # noqa: E402
+from shoplens.plans.model import BLACKLIST_THRESHOLD  # noqa: E402
+from shoplens.sources import adlog  # noqa: E402
+from shoplens.sources.adapters import ad_log_lines  # noqa: E402
+
+
+def render_log(df: DataFrame) -> DataFrame:
+    return df.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+                     "province", "city", "userid", "adid")
+
+
+def blacklist_once(m: Model):
+    """The blacklist step on the whole log as one batch, empty blacklist."""
+    log = m.ad_log()
+    empty = log.select("userid").limit(0)
+    return ads.blacklist_step(log, empty, None, BLACKLIST_THRESHOLD)
+
+
+@query("ad_log_parsed")
+def q_ad_log_parsed(m: Model) -> DataFrame:
+    parsed = adlog.parse_ad_log(ad_log_lines(m.ad_log()))
+    return render_log(adlog.valid_lines(parsed))
+
+
+@query("clicks_by_user_ad_day")
+def q_clicks_by_user_ad_day(m: Model) -> DataFrame:
+    return ads.clicks_by_user_ad_day(m.ad_log())
+
+
+@query("blacklist_users")
+def q_blacklist_users(m: Model) -> DataFrame:
+    return blacklist_once(m)[3]
+
+
+@query("ad_log_clean")
+def q_ad_log_clean(m: Model) -> DataFrame:
+    """The log as the next batch sees it: users blocked by the first batch
+    are dropped."""
+    return render_log(ads.drop_blacklisted(m.ad_log(), blacklist_once(m)[3]))
+
+
+@query("clicks_by_city_ad_day")
+def q_clicks_by_city_ad_day(m: Model) -> DataFrame:
+    return ads.clicks_by_city_ad_day(m.ad_log())
+
+
+@query("clicks_by_province_ad_day")
+def q_clicks_by_province_ad_day(m: Model) -> DataFrame:
+    return ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(m.ad_log()))
+
+
+@query("province_top3")
+def q_province_top3(m: Model) -> DataFrame:
+    prov = ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(m.ad_log()))
+    return ads.top_n_per_province(prov, 3)
+
+
+@query("minute_trend")
+def q_minute_trend(m: Model) -> DataFrame:
+    return ads.minute_counts(m.ad_log()).drop("minute_start")
+
+
+@query("last_hour_trend")
+def q_last_hour_trend(m: Model) -> DataFrame:
+    return ads.last_hour_trend(m.ad_log()).drop("minute_start")
+
+
+@query("hourly_sliding_clicks")
+def q_hourly_sliding_clicks(m: Model) -> DataFrame:
+    return ads.sliding_counts(m.ad_log())
