@@ -376,3 +376,13 @@ SELECT strftime(ws, '%Y-%m-%d %H:%M') AS window_start,
        strftime(ws + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS window_end,
        adid, CAST(sum(click_count) AS BIGINT) AS click_count
 FROM win GROUP BY ws, adid"""
+
+# The stream jobs over the whole events file (one micro-batch, empty starting
+# blacklist) must equal the batch definitions.
+ORACLE["stream_blacklist"] = ORACLE["blacklist_users"]
+ORACLE["stream_user_click_totals"] = ORACLE["clicks_by_user_ad_day"]
+ORACLE["stream_province_city_clicks"] = ORACLE["clicks_by_city_ad_day"]
+ORACLE["stream_province_top3"] = ORACLE["province_top3"]
+ORACLE["stream_minute_trend"] = ORACLE["minute_trend"]
+ORACLE["stream_running_city_counts"] = ORACLE["clicks_by_city_ad_day"]
+ORACLE["stream_running_minute_counts"] = ORACLE["minute_trend"]

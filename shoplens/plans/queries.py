@@ -302,3 +302,74 @@ def q_last_hour_trend(m: Model) -> DataFrame:
 @query("hourly_sliding_clicks")
 def q_hourly_sliding_clicks(m: Model) -> DataFrame:
     return ads.sliding_counts(m.ad_log())
+
+
+# --- C: ad clicks through Structured Streaming ------------------------------
+
+from shoplens.session import scratch_path  # noqa: E402
+from shoplens.streaming import ad_stream  # noqa: E402
+from shoplens.streaming.sources import events_ad_stream  # noqa: E402
+
+_PIPELINE_RUNS: dict[tuple[int, str], str] = {}
+
+
+def pipeline_tables(m: Model) -> ad_stream.AdTables:
+    """Run the full stream job once per (session, input folder) over the
+    events file stream with an available-now trigger; return its tables."""
+    key = (id(m.spark), m.tables.base)
+    if key not in _PIPELINE_RUNS:
+        root = scratch_path(m.spark, "ad-pipeline")
+        tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+        q = ad_stream.start_ad_pipeline(
+            events_ad_stream(m.spark, m.tables.base), tables, f"{root}/checkpoint",
+            threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True})
+        q.awaitTermination()
+        _PIPELINE_RUNS[key] = root
+    return ad_stream.AdTables.at(m.spark, f"{_PIPELINE_RUNS[key]}/tables")
+
+
+@query("stream_blacklist")
+def q_stream_blacklist(m: Model) -> DataFrame:
+    return pipeline_tables(m).blacklist.read()
+
+
+@query("stream_user_click_totals")
+def q_stream_user_click_totals(m: Model) -> DataFrame:
+    return pipeline_tables(m).user_clicks.read()
+
+
+@query("stream_province_city_clicks")
+def q_stream_province_city_clicks(m: Model) -> DataFrame:
+    return pipeline_tables(m).ad_stat.read()
+
+
+@query("stream_province_top3")
+def q_stream_province_top3(m: Model) -> DataFrame:
+    return pipeline_tables(m).province_top3.read()
+
+
+@query("stream_minute_trend")
+def q_stream_minute_trend(m: Model) -> DataFrame:
+    return pipeline_tables(m).click_trend.read()
+
+
+def _stateful(m: Model, build, schema, keys, name: str) -> DataFrame:
+    from shoplens.sinks.running import RunningTable
+    root = scratch_path(m.spark, name)
+    table = RunningTable(m.spark, f"{root}/table", schema, keys, "set")
+    q = ad_stream.write_set_stream(build(events_ad_stream(m.spark, m.tables.base)), table,
+                                   f"{root}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return table.read()
+
+
+@query("stream_running_city_counts")
+def q_stream_running_city_counts(m: Model) -> DataFrame:
+    return _stateful(m, ad_stream.running_city_counts, ad_stream.AD_STAT,
+                     ads.CITY_AD_KEYS, "running-city")
+
+
+@query("stream_running_minute_counts")
+def q_stream_running_minute_counts(m: Model) -> DataFrame:
+    return _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,
+                     ads.MINUTE_AD_KEYS, "running-minute")

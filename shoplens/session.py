@@ -22,6 +22,7 @@ BASE_CONF = {
 
 def build_session(
     master: str | None = None,
+    driver_memory: str | None = "8g",
     app_name: str = "shoplens",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
@@ -31,6 +32,9 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
+    if driver_memory:
+        # Only takes effect when this call launches the JVM (local runs).
+        settings["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
