@@ -12,7 +12,8 @@ from shoplens.sources.tables import Tables
 # Task parameters of the registered queries: the original default task
 # (ages 20 to 50, no other constraint) over the days the event table covers.
 DEFAULT_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-30",
-                            start_age=20, end_age=50)
+                            start_age=20, end_age=50,
+                            target_page_flow=(1, 2, 3, 4, 5, 6, 7))
 
 # Two more tasks covering the other filter kinds (list, equality, keyword and
 # category overlap).
@@ -27,6 +28,10 @@ CATEGORY_PARAMS = TaskParams(
     category_ids=tuple(range(0, 100, 2)),
 )
 
+# Area levels when regions stand for areas (a parameter of the ranking).
+REGION_LEVELS = {"AMERICA": "A_Level", "EUROPE": "A_Level", "ASIA": "B_Level",
+                 "MIDDLE EAST": "C_Level"}
+
 SAMPLE_TOTAL = 1000
 SAMPLE_SEED = "shoplens"
 BLACKLIST_THRESHOLD = 1

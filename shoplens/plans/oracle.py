@@ -45,8 +45,9 @@ def city_cte() -> str:
     return f"city(city_id, city_name, area) AS (VALUES {rows})"
 
 
-def level_case(col: str = "area") -> str:
-    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in AREA_LEVELS.items())
+def level_case(col: str = "area", levels: dict[str, str] | None = None) -> str:
+    levels = AREA_LEVELS if levels is None else levels
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in levels.items())
     return f"CASE {whens} ELSE 'D_Level' END"
 
 
@@ -386,3 +387,139 @@ ORACLE["stream_province_top3"] = ORACLE["province_top3"]
 ORACLE["stream_minute_trend"] = ORACLE["minute_trend"]
 ORACLE["stream_running_city_counts"] = ORACLE["clicks_by_city_ad_day"]
 ORACLE["stream_running_minute_counts"] = ORACLE["minute_trend"]
+
+
+# --- page flow, area ranking over order lines --------------------------------
+
+from shoplens.plans.model import REGION_LEVELS  # noqa: E402
+
+_FLOW = DEFAULT_PARAMS.target_page_flow
+_PAIRS = [f"{a}_{b}" for a, b in zip(_FLOW, _FLOW[1:])]
+_WANTED = ", ".join(f"({i}, '{s}')" for i, s in enumerate([str(_FLOW[0])] + _PAIRS))
+
+PAGE_MOVES = f"""
+{uva_cte()},
+mv AS (SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, page_id)
+              AS next_page_id FROM uva)"""
+
+ORACLE["page_steps"] = f"""
+WITH {PAGE_MOVES}
+SELECT page_id, next_page_id, count(*) AS moves FROM mv WHERE next_page_id IS NOT NULL
+GROUP BY 1, 2"""
+
+ORACLE["page_flow_conversion"] = f"""
+WITH {PAGE_MOVES},
+cnt AS (SELECT CAST(page_id AS VARCHAR) || '_' || CAST(next_page_id AS VARCHAR) AS step,
+               count(*) AS step_count
+        FROM mv WHERE next_page_id IS NOT NULL GROUP BY 1
+        UNION ALL
+        SELECT '{_FLOW[0]}', count(*) FROM uva WHERE page_id = {_FLOW[0]}),
+wanted(step_index, step) AS (VALUES {_WANTED}),
+j AS (SELECT CAST(w.step_index AS INTEGER) AS step_index, w.step,
+             CAST(coalesce(c.step_count, 0) AS BIGINT) AS step_count
+      FROM wanted w LEFT JOIN cnt c ON w.step = c.step),
+l AS (SELECT *, lag(step_count) OVER (ORDER BY step_index) AS prev FROM j)
+SELECT step_index, step, step_count,
+       CASE WHEN step_index = 0 THEN 1.0
+            WHEN prev > 0 THEN CAST(round(CAST(step_count / prev AS DECIMAL(18, 10)), 2) AS DOUBLE)
+            ELSE 0.0 END AS rate
+FROM l"""
+
+ORACLE["area_top3_orders"] = f"""
+WITH {PRODUCTS_CTE},
+lines AS (SELECT n_nationkey AS city_id, n_name AS city_name, r_name AS area, l_partkey AS pid
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+               JOIN customer ON o_custkey = c_custkey
+               JOIN nation ON c_nationkey = n_nationkey
+               JOIN region ON n_regionkey = r_regionkey),
+cnt AS (SELECT area, pid, count(*) AS click_count,
+               string_agg(DISTINCT CAST(city_id AS VARCHAR) || ':' || city_name, ','
+                          ORDER BY CAST(city_id AS VARCHAR) || ':' || city_name) AS city_infos
+        FROM lines GROUP BY area, pid),
+ranked AS (
+  SELECT cnt.*, product_name, product_status,
+         row_number() OVER (PARTITION BY area ORDER BY click_count DESC, cnt.pid) AS rn
+  FROM cnt JOIN prod ON cnt.pid = prod.pid)
+SELECT area, {level_case("area", REGION_LEVELS)} AS area_level,
+       pid, city_infos, click_count, product_name, product_status
+FROM ranked WHERE rn <= 3"""
+
+
+# --- scalar expressions ---------------------------------------------------------
+
+_AREAS = ", ".join(f"'{a}'" for _, _, a in CITY_AREA_ROWS)
+_AREA_OF_EVENT = f"([{_AREAS}])[event_id % 10 + 1]"
+
+ORACLE["time_exprs"] = """
+WITH e AS (SELECT event_id, date_trunc('second', ts) AS t FROM events)
+SELECT event_id,
+       strftime(t, '%Y-%m-%d_%H') AS date_hour,
+       strftime(t, '%Y-%m-%d') AS date,
+       strftime(t, '%Y-%m-%d %H:%M:%S') AS time,
+       strftime(t, '%Y-%m-%d %H:%M:%S') AS parsed_unpadded,
+       strftime(t, '%Y%m%d') AS date_key,
+       strftime(t, '%Y-%m-%d') AS date_from_key,
+       strftime(t, '%Y%m%d%H%M') AS minute_key,
+       strftime(t, '%Y%m%d') AS mk_date, strftime(t, '%H') AS mk_hour, strftime(t, '%M') AS mk_minute,
+       date_diff('second', date_trunc('day', t), t) AS seconds_into_day,
+       t < TIMESTAMP '2024-01-15 12:00:00' AS is_before,
+       t > TIMESTAMP '2024-01-15 12:00:00' AS is_after
+FROM e"""
+
+ORACLE["string_exprs"] = f"""
+WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, k,
+       coalesce(CASE WHEN event_type = 'view' THEN k END, '') = '' AS k_empty_unless_view,
+       lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') AS padded,
+       CAST(user_id AS VARCHAR) || ':' || event_type AS user_type,
+       CAST(CAST(k AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(k AS BIGINT) AS VARCHAR) || ','
+         || CAST(event_id % 7 AS VARCHAR) AS ids_roundtrip,
+       CAST(round(CAST(value / 3 AS DECIMAL(18, 10)), 2) AS DOUBLE) AS third_value,
+       {level_case(_AREA_OF_EVENT)} AS area_level,
+       CASE WHEN event_id % 2 = 0 THEN 'Self' ELSE 'Third Party' END AS product_status
+FROM e"""
+
+ORACLE["group_concat_users_by_type"] = """
+SELECT strftime(ts, '%Y-%m-%d') AS date, event_type,
+       string_agg(DISTINCT CAST(user_id AS VARCHAR), ',' ORDER BY CAST(user_id AS VARCHAR)) AS users
+FROM events GROUP BY 1, 2"""
+
+
+# --- sinks -----------------------------------------------------------------------
+
+TWO_BATCHES = f"""{LOG},
+b1 AS (SELECT * FROM log WHERE ts < TIMESTAMP '2024-01-16'),
+b2 AS (SELECT * FROM log WHERE ts >= TIMESTAMP '2024-01-10'),
+u1 AS (SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, count(*) AS c FROM b1 GROUP BY 1, 2, 3),
+u2 AS (SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, count(*) AS c FROM b2 GROUP BY 1, 2, 3),
+c1 AS (SELECT strftime(ts, '%Y%m%d') AS date, province, city, adid, count(*) AS c FROM b1 GROUP BY 1, 2, 3, 4),
+c2 AS (SELECT strftime(ts, '%Y%m%d') AS date, province, city, adid, count(*) AS c FROM b2 GROUP BY 1, 2, 3, 4),
+p1 AS (SELECT date, province, adid, sum(c) AS c FROM c1 GROUP BY 1, 2, 3),
+p2 AS (SELECT date, province, adid, sum(c) AS c FROM c2 GROUP BY 1, 2, 3),
+t1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date, province
+                                   ORDER BY c DESC, adid) AS rn FROM p1) WHERE rn <= 3),
+t2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date, province
+                                   ORDER BY c DESC, adid) AS rn FROM p2) WHERE rn <= 3)"""
+
+ORACLE["upsert_add"] = f"""
+WITH {TWO_BATCHES}
+SELECT date, userid, adid, CAST(sum(c) AS BIGINT) AS click_count
+FROM (SELECT * FROM u1 UNION ALL SELECT * FROM u2) GROUP BY 1, 2, 3"""
+
+ORACLE["upsert_set"] = f"""
+WITH {TWO_BATCHES}
+SELECT coalesce(c2.date, c1.date) AS date, coalesce(c2.province, c1.province) AS province,
+       coalesce(c2.city, c1.city) AS city, coalesce(c2.adid, c1.adid) AS adid,
+       coalesce(c2.c, c1.c) AS click_count
+FROM c1 FULL OUTER JOIN c2 USING (date, province, city, adid)"""
+
+ORACLE["replace_groups"] = f"""
+WITH {TWO_BATCHES}
+SELECT date, province, adid, CAST(c AS BIGINT) AS click_count FROM t1
+WHERE (date, province) NOT IN (SELECT DISTINCT date, province FROM t2)
+UNION ALL
+SELECT date, province, adid, CAST(c AS BIGINT) FROM t2"""
+
+ORACLE["upsert_add_inline"] = ORACLE["upsert_add"]
+ORACLE["upsert_set_inline"] = ORACLE["upsert_set"]
+ORACLE["replace_groups_inline"] = ORACLE["replace_groups"]

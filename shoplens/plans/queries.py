@@ -373,3 +373,154 @@ def q_stream_running_city_counts(m: Model) -> DataFrame:
 def q_stream_running_minute_counts(m: Model) -> DataFrame:
     return _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,
                      ads.MINUTE_AD_KEYS, "running-minute")
+
+
+# --- page flow, area ranking over order lines --------------------------------
+
+from shoplens.operators import funnel  # noqa: E402
+from shoplens.plans.model import REGION_LEVELS  # noqa: E402
+from shoplens.sources import adapters  # noqa: E402
+
+
+@query("page_flow_conversion")
+def q_page_flow_conversion(m: Model) -> DataFrame:
+    return funnel.page_flow_conversion(m.spark, m.actions(), DEFAULT_PARAMS.target_page_flow)
+
+
+@query("page_steps")
+def q_page_steps(m: Model) -> DataFrame:
+    return funnel.page_steps(m.actions()).groupBy("page_id", "next_page_id") \
+        .agg(F.count(F.lit(1)).alias("moves"))
+
+
+@query("area_top3_orders")
+def q_area_top3_orders(m: Model) -> DataFrame:
+    t = m.tables
+    dim = adapters.nation_area_dim(t.nation, t.region)
+    return areas.area_top_products_from_orders(t.lineitem, t.orders, t.customer, dim,
+                                               m.products(), 3, REGION_LEVELS)
+
+
+# --- scalar expressions ---------------------------------------------------------
+
+from shoplens.functions import expr as X  # noqa: E402
+
+
+@query("time_exprs")
+def q_time_exprs(m: Model) -> DataFrame:
+    ev = m.tables.events.select("event_id", F.date_trunc("second", "ts").alias("t"))
+    unpadded = F.concat(X.format_date("t"), F.lit(" "), F.hour("t").cast("string"),
+                        F.lit(":"), F.date_format("t", "mm:ss"))
+    mk = X.minute_key("t")
+    d, h, mi = X.minute_key_parts(mk)
+    day_start = F.date_trunc("day", "t")
+    return ev.select(
+        "event_id",
+        X.date_hour("t").alias("date_hour"),
+        X.format_date("t").alias("date"),
+        X.format_time("t").alias("time"),
+        X.format_time(X.parse_time(unpadded)).alias("parsed_unpadded"),
+        X.date_key("t").alias("date_key"),
+        X.format_date(X.parse_date_key(X.date_key("t"))).alias("date_from_key"),
+        mk.alias("minute_key"), d.alias("mk_date"), h.alias("mk_hour"), mi.alias("mk_minute"),
+        X.seconds_between(day_start, "t").alias("seconds_into_day"),
+        X.before("t", F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")).alias("is_before"),
+        X.after("t", F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")).alias("is_after"),
+    )
+
+
+@query("string_exprs")
+def q_string_exprs(m: Model) -> DataFrame:
+    ev = m.tables.events
+    k = X.json_field("props", "k")
+    csv = F.concat_ws(",", k, k, (F.col("event_id") % 7).cast("string"))
+    area = F.element_at(F.array(*[F.lit(a) for _, _, a in adapters.CITY_AREA_ROWS]),
+                        (F.col("event_id") % 10 + 1).cast("int"))
+    status_json = F.to_json(F.struct((F.col("event_id") % 2).cast("int").alias("product_status")))
+    return ev.select(
+        "event_id",
+        k.alias("k"),
+        X.is_empty(F.when(F.col("event_type") == "view", k)).alias("k_empty_unless_view"),
+        X.pad2(F.col("event_id") % 60).alias("padded"),
+        X.concat_long_string("user_id", "event_type", ":").alias("user_type"),
+        X.ids_to_csv(X.ids_from_csv(csv)).alias("ids_roundtrip"),
+        X.round_half_up(F.col("value") / 3, 2).alias("third_value"),
+        X.area_level(area).alias("area_level"),
+        X.product_status(status_json).alias("product_status"),
+    )
+
+
+@query("group_concat_users_by_type")
+def q_group_concat_users_by_type(m: Model) -> DataFrame:
+    ev = m.tables.events
+    return ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"), "event_type").agg(
+        X.group_concat_distinct(F.col("user_id").cast("string")).alias("users"))
+
+
+# --- sinks: running tables fed two batches --------------------------------------
+
+from shoplens.sinks.running import RunningTable  # noqa: E402
+
+SPLIT_LOW, SPLIT_HIGH = "2024-01-16", "2024-01-10"
+
+
+def two_batches(m: Model):
+    """The ad log cut into two overlapping batches (days before the 16th, and
+    days from the 10th on), so keys of the overlap are written twice."""
+    log = m.ad_log()
+    return (log.filter(F.col("ts") < F.lit(SPLIT_LOW).cast("timestamp")),
+            log.filter(F.col("ts") >= F.lit(SPLIT_HIGH).cast("timestamp")))
+
+
+def _feed(m: Model, name: str, schema, keys, mode: str, frames, group_keys=()) -> DataFrame:
+    table = RunningTable(m.spark, scratch_path(m.spark, name), schema, keys, mode, group_keys)
+    for batch_id, df in enumerate(frames):
+        table.write_batch(df, batch_id)
+    # A replayed batch overwrites its own output: the result must not change.
+    table.write_batch(frames[-1], len(frames) - 1)
+    return table.read()
+
+
+@query("upsert_add")
+def q_upsert_add(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    return _feed(m, "upsert-add", ad_stream.USER_CLICKS, ads.USER_AD_KEYS, "add",
+                 [ads.clicks_by_user_ad_day(b1), ads.clicks_by_user_ad_day(b2)])
+
+
+@query("upsert_set")
+def q_upsert_set(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    return _feed(m, "upsert-set", ad_stream.AD_STAT, ads.CITY_AD_KEYS, "set",
+                 [ads.clicks_by_city_ad_day(b1), ads.clicks_by_city_ad_day(b2)])
+
+
+@query("replace_groups")
+def q_replace_groups(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    tops = [ads.top_n_per_province(ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(b)), 3)
+            for b in (b1, b2)]
+    return _feed(m, "replace-groups", ad_stream.PROVINCE_TOP3, ads.PROVINCE_AD_KEYS, "groups",
+                 tops, group_keys=("date", "province"))
+
+
+@query("upsert_add_inline")
+def q_upsert_add_inline(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    first = ads.add_counts(None, ads.clicks_by_user_ad_day(b1), ads.USER_AD_KEYS)
+    return ads.add_counts(first, ads.clicks_by_user_ad_day(b2), ads.USER_AD_KEYS)
+
+
+@query("upsert_set_inline")
+def q_upsert_set_inline(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    return ads.set_counts(ads.clicks_by_city_ad_day(b1), ads.clicks_by_city_ad_day(b2),
+                          ads.CITY_AD_KEYS)
+
+
+@query("replace_groups_inline")
+def q_replace_groups_inline(m: Model) -> DataFrame:
+    b1, b2 = two_batches(m)
+    t1, t2 = [ads.top_n_per_province(ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(b)), 3)
+              for b in (b1, b2)]
+    return ads.replace_groups(t1, t2, ("date", "province"))
