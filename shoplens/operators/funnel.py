@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.sources.adapters import literal_table
+
 
 def page_steps(actions: DataFrame, chunk: str = "minute") -> DataFrame:
     """Every (page_id, next_page_id) move within a session.
@@ -54,8 +56,8 @@ def page_flow_conversion(spark: SparkSession, actions: DataFrame, flow) -> DataF
     start = actions.filter(F.col("page_id") == flow[0]) \
         .agg(F.count(F.lit(1)).alias("step_count")).withColumn("step", F.lit(str(flow[0])))
     # The flow itself is a parameter of a few entries: a literal table.
-    wanted = spark.createDataFrame(
-        [(i, s) for i, s in enumerate([str(flow[0])] + pairs)],
+    wanted = literal_table(
+        spark, list(enumerate([str(flow[0])] + pairs)),
         T.StructType([T.StructField("step_index", T.IntegerType()),
                       T.StructField("step", T.StringType())]))
     counted = F.broadcast(wanted).join(steps.unionByName(start), "step", "left") \

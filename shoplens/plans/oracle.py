@@ -358,6 +358,10 @@ SELECT strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%
 FROM log WHERE userid NOT IN (SELECT userid FROM blk)"""
 ORACLE["clicks_by_city_ad_day"] = f"WITH {LOG} SELECT * FROM ccnt"
 ORACLE["clicks_by_province_ad_day"] = f"WITH {LOG} SELECT * FROM pcnt"
+ORACLE["province_clicks_direct"] = f"""
+WITH {LOG}
+SELECT strftime(ts, '%Y%m%d') AS date, province, adid, count(*) AS click_count
+FROM log GROUP BY 1, 2, 3"""
 ORACLE["province_top3"] = f"""
 WITH {LOG},
 r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn

@@ -285,8 +285,12 @@ def q_clicks_by_province_ad_day(m: Model) -> DataFrame:
 
 @query("province_top3")
 def q_province_top3(m: Model) -> DataFrame:
-    prov = ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(m.ad_log()))
-    return ads.top_n_per_province(prov, 3)
+    return ads.top_n_per_province(ads.province_counts(m.ad_log()), 3)
+
+
+@query("province_clicks_direct")
+def q_province_clicks_direct(m: Model) -> DataFrame:
+    return ads.province_counts(m.ad_log())
 
 
 @query("minute_trend")

@@ -24,10 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
-from shoplens.sources.tables import bounded_broadcast
-
-DIM_MAX_ROWS = 10_000
-
 
 def _k() -> Column:
     return F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
@@ -72,7 +68,10 @@ def user_visit_action(events: DataFrame, start_date: str | None = None,
 
 
 def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    nat = bounded_broadcast(nation.select("n_nationkey", "n_name"), DIM_MAX_ROWS)
+    # Dimension joins carry no hint: the planner compares the scan's size
+    # statistics with spark.sql.autoBroadcastJoinThreshold (broadcast when
+    # small, sort-merge otherwise) and AQE re-checks with run-time sizes.
+    nat = nation.select("n_nationkey", "n_name")
     key = F.col("c_custkey")
     return customer.join(nat, customer.c_nationkey == nat.n_nationkey).select(
         key.alias("user_id"),
@@ -103,20 +102,26 @@ CITY_AREA_ROWS = [
 ]
 
 
+def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal table built on the JVM side (no Python worker)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def city_area_dim(spark: SparkSession) -> DataFrame:
     """The literal city dimension; ten rows, so it is always broadcast."""
-    return F.broadcast(spark.createDataFrame(CITY_AREA_ROWS, schemas.CITY_AREA))
+    return F.broadcast(literal_table(spark, CITY_AREA_ROWS, schemas.CITY_AREA))
 
 
 def nation_area_dim(nation: DataFrame, region: DataFrame) -> DataFrame:
     """City dimension from nations (city) and regions (area)."""
-    reg = bounded_broadcast(region.select("r_regionkey", "r_name"), DIM_MAX_ROWS)
-    dim = nation.join(reg, nation.n_regionkey == reg.r_regionkey).select(
+    reg = region.select("r_regionkey", "r_name")
+    return nation.join(reg, nation.n_regionkey == reg.r_regionkey).select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("area"),
     )
-    return bounded_broadcast(dim, DIM_MAX_ROWS)
 
 
 def _token(c: str) -> Column:
@@ -125,11 +130,10 @@ def _token(c: str) -> Column:
 
 def user_geo(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """user -> (province, city) from customer -> nation -> region."""
-    reg = bounded_broadcast(region.select("r_regionkey", "r_name"), DIM_MAX_ROWS)
+    reg = region.select("r_regionkey", "r_name")
     nat = nation.join(reg, nation.n_regionkey == reg.r_regionkey) \
         .select("n_nationkey", _token("r_name").alias("province"),
                 _token("n_name").alias("city"))
-    nat = bounded_broadcast(nat, DIM_MAX_ROWS)
     return customer.select("c_custkey", "c_nationkey") \
         .join(nat, F.col("c_nationkey") == F.col("n_nationkey")) \
         .select(F.col("c_custkey").alias("userid"), "province", "city")
