@@ -25,15 +25,15 @@ def hour_quotas(sessions: DataFrame, total: int) -> DataFrame:
     """
     hc = hour_counts(sessions)
     every = Window.partitionBy()
+    days = F.size(F.collect_set("date").over(every)).cast("bigint")
+    day_count = F.sum("hour_count").over(Window.partitionBy("date"))
+    staged = hc.select("date", "hour", "hour_count", days.alias("days"),
+                       day_count.alias("day_count"))
     per_day = F.expr(f"CAST({int(total)} AS BIGINT) div days")
-    return hc \
-        .withColumn("days", F.size(F.collect_set("date").over(every)).cast("bigint")) \
-        .withColumn("day_count", F.sum("hour_count").over(Window.partitionBy("date"))) \
-        .withColumn("per_day", per_day) \
-        .withColumn("quota", F.least(
-            F.floor(F.col("hour_count") / F.col("day_count") * F.col("per_day")),
-            F.col("hour_count"))) \
-        .select("date", "hour", "hour_count", "day_count", "per_day", "quota")
+    quota = F.least(F.floor(F.col("hour_count") / F.col("day_count") * per_day),
+                    F.col("hour_count"))
+    return staged.select("date", "hour", "hour_count", "day_count", per_day.alias("per_day"),
+                         quota.alias("quota"))
 
 
 def sample_key(seed: str):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.schemas import INPUT_TABLES
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -12,9 +14,13 @@ TABLES = (
 )
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Lazy parquet scan; projections and filters above it reach the reader."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, base: str, name: str, declared: bool = True) -> DataFrame:
+    """Lazy parquet scan; projections and filters above it reach the reader.
+    Tables with a declared schema are read with it (no inference)."""
+    reader = spark.read
+    if declared and name in INPUT_TABLES:
+        reader = reader.schema(INPUT_TABLES[name])
+    return reader.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

@@ -77,8 +77,9 @@ class AdTables:
 
 
 def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: int,
-                  top_n: int = 3) -> None:
-    """All per-batch work of the job (also callable on a static DataFrame)."""
+                  top_n: int = 3, compact_every: int = 0) -> None:
+    """All per-batch work of the job (also callable on a static DataFrame).
+    With ``compact_every = n`` every n-th batch also snapshots the tables."""
     batch = batch.persist()
     try:
         # Dates touched by this batch: a handful per micro-batch; they prune
@@ -113,17 +114,22 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
         # 4. per-minute trend
         tables.click_trend.write_batch(ads.minute_counts(clean).drop("minute_start"), batch_id)
         clean.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            for t in tables.all():
+                t.compact(batch_id)
     finally:
         batch.unpersist()
 
 
 def start_ad_pipeline(log_stream: DataFrame, tables: AdTables, checkpoint: str,
                       threshold: int = 100, trigger: dict | None = None,
-                      name: str | None = None) -> StreamingQuery:
+                      name: str | None = None, compact_every: int = 100) -> StreamingQuery:
     """Start the full job over a stream of ad-log rows
-    (ts, province, city, userid, adid). ``trigger`` defaults to 5 s batches."""
+    (ts, province, city, userid, adid). ``trigger`` defaults to 5 s batches;
+    the running tables are compacted every ``compact_every`` batches."""
     w = log_stream.writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda df, bid: process_batch(tables, df, bid, threshold))
+        .foreachBatch(lambda df, bid: process_batch(tables, df, bid, threshold,
+                                                    compact_every=compact_every))
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     if name:
         w = w.queryName(name)

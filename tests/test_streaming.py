@@ -140,3 +140,20 @@ def test_late_rows_dropped_by_watermark(spark):
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0)
                   for p in q.recentProgress if p.get("stateOperators"))
     assert dropped == 1
+
+
+def test_compaction_keeps_state(spark, log):
+    """Same tables with and without snapshots, including a replay after one."""
+    parts = [log.filter((F.col("ts") >= F.lit(SPLITS[i]).cast("timestamp"))
+                        & (F.col("ts") < F.lit(SPLITS[i + 1]).cast("timestamp")))
+             for i in range(3)]
+    plain = ad_stream.AdTables.at(spark, tempfile.mkdtemp(prefix="plain-"))
+    compacted = ad_stream.AdTables.at(spark, tempfile.mkdtemp(prefix="compact-"))
+    for i, p in enumerate(parts):
+        ad_stream.process_batch(plain, p, i, 1)
+        ad_stream.process_batch(compacted, p, i, 1, compact_every=2)
+    ad_stream.process_batch(compacted, parts[2], 2, 1, compact_every=2)   # replay
+    assert compacted.ad_stat.latest_snapshot() == 1
+    for a, b in zip(plain.all(), compacted.all()):
+        assert rows_of(a.read()) == rows_of(b.read())
+        assert rows_of(a.read(before_batch=2)) == rows_of(b.read(before_batch=2))
