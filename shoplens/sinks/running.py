@@ -42,7 +42,7 @@ def _missing(e: Exception) -> bool:
 
 class RunningTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys,
-                 mode: str, group_keys=(), partition_by=("date",)):
+                 mode: str, group_keys=(), partition_by=("date",), files_per_partition: int = 4):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         self.spark = spark
@@ -53,6 +53,8 @@ class RunningTable:
         self.mode = mode
         self.group_keys = list(group_keys)
         self.partition_by = [c for c in partition_by if c in schema.fieldNames()]
+        self._snapshots: list[int] | None = None   # loaded once from the manifest
+        self.files_per_partition = max(1, int(files_per_partition))
 
     # -- storage ------------------------------------------------------------
     def _with(self, extra: str) -> T.StructType:
@@ -69,26 +71,43 @@ class RunningTable:
     def _cast(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
+    def _clustered(self, df: DataFrame) -> DataFrame:
+        """Shuffle rows by (partition columns, key bucket) before writing: each
+        date partition gets at most ``files_per_partition`` files instead of
+        one per task, and a date holding most rows still has that many
+        writers."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_partition))
+        return df.repartition(*[F.col(c) for c in self.partition_by], bucket)
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        out = self._cast(df).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+        out = self._clustered(self._cast(df)) \
+            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*self.partition_by, "batch_id").parquet(f"{self.path}/deltas")
 
+    def snapshot_ids(self) -> list[int]:
+        """Completed snapshots (read from the manifest once per table object;
+        the writer keeps the list current as it compacts)."""
+        if self._snapshots is None:
+            m = self._read("manifest", MANIFEST)
+            self._snapshots = sorted({r[0] for r in m.distinct().collect()})
+        return self._snapshots
+
     def latest_snapshot(self, before_batch: int | None = None) -> int | None:
         """Id of the newest completed snapshot below ``before_batch``."""
-        m = self._read("manifest", MANIFEST)
-        if before_batch is not None:
-            m = m.filter(F.col("upto") < int(before_batch))
-        return m.agg(F.max("upto")).first()[0]
+        ids = [i for i in self.snapshot_ids()
+               if before_batch is None or i < int(before_batch)]
+        return ids[-1] if ids else None
 
     def compact(self, upto_batch: int) -> None:
         """Write the merged state of batches ``0..upto_batch`` as a snapshot."""
-        state = self._cast(self.read(before_batch=upto_batch + 1)) \
+        state = self._clustered(self._cast(self.read(before_batch=upto_batch + 1))) \
             .withColumn("upto", F.lit(int(upto_batch)).cast("bigint"))
         state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("upto", *self.partition_by).parquet(f"{self.path}/snapshots")
         self.spark.range(1).select(F.lit(int(upto_batch)).cast("bigint").alias("upto")) \
             .write.mode("append").parquet(f"{self.path}/manifest")
+        self._snapshots = sorted(set(self.snapshot_ids()) | {int(upto_batch)})
 
     # -- reading ------------------------------------------------------------
     def raw(self, before_batch: int | None = None, dates=None) -> DataFrame:

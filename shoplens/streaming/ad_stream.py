@@ -59,13 +59,13 @@ class AdTables:
         r = root.rstrip("/")
         tables = cls(
             blacklist=RunningTable(spark, f"{r}/ad_blacklist", BLACKLIST, ["userid"],
-                                   "members", partition_by=()),
+                                   "members", partition_by=(), files_per_partition=1),
             user_clicks=RunningTable(spark, f"{r}/ad_user_click_count", USER_CLICKS,
                                      ads.USER_AD_KEYS, "add"),
             ad_stat=RunningTable(spark, f"{r}/ad_stat", AD_STAT, ads.CITY_AD_KEYS, "add"),
             province_top3=RunningTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3,
                                        ads.PROVINCE_AD_KEYS, "groups",
-                                       group_keys=("date", "province")),
+                                       group_keys=("date", "province"), files_per_partition=1),
             click_trend=RunningTable(spark, f"{r}/ad_click_trend", CLICK_TREND,
                                      ads.MINUTE_AD_KEYS, "add"),
         )
