@@ -49,3 +49,21 @@ def test_replace_table(spark):
     got = spark.table("shoplens_replace_test")
     assert got.count() == 2 and {r.taskid for r in got.collect()} == {"b"}
     spark.sql("DROP TABLE shoplens_replace_test")
+
+
+def test_cli_runs_session_area_and_stream(spark):
+    import json
+
+    from shoplens.__main__ import main
+    out = tempfile.mkdtemp(prefix="cli-")
+    params = json.dumps({"startDate": "2024-01-01", "endDate": "2024-01-30",
+                         "startAge": 20, "endAge": 50})
+    assert main(["session", "--input", SMALL, "--output", out, "--params", params,
+                 "--sample-total", "50", "--seed", "s"]) == 0
+    assert main(["area", "--input", SMALL, "--output", out, "--params", params]) == 0
+    assert spark.read.parquet(f"{out}/session_stat").count() == 1
+    assert spark.read.parquet(f"{out}/area_top3_product").count() > 0
+    assert main(["ads", "--input", SMALL, "--tables", f"{out}/ads", "--checkpoint",
+                 f"{out}/ads-ckpt", "--threshold", "1", "--once"]) == 0
+    from shoplens.streaming import ad_stream
+    assert ad_stream.AdTables.at(spark, f"{out}/ads").ad_stat.read().count() > 0

@@ -157,3 +157,19 @@ def test_compaction_keeps_state(spark, log):
     for a, b in zip(plain.all(), compacted.all()):
         assert rows_of(a.read()) == rows_of(b.read())
         assert rows_of(a.read(before_batch=2)) == rows_of(b.read(before_batch=2))
+
+
+def test_text_line_stream_equals_batch(spark, log):
+    """Log lines (the Kafka value format) from text files, bad lines included."""
+    from shoplens.sources.adapters import ad_log_lines
+    from shoplens.streaming.sources import line_ad_stream
+    folder = tempfile.mkdtemp(prefix="lines-")
+    lines = [r.value for r in ad_log_lines(log).collect()] + ["garbage line", "1 2 3"]
+    with open(os.path.join(folder, "part-0.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    root = tempfile.mkdtemp(prefix="lines-run-")
+    tables = ad_stream.AdTables.at(spark, f"{root}/tables")
+    q = ad_stream.start_ad_pipeline(line_ad_stream(spark, "text", path=folder), tables,
+                                    f"{root}/ckpt", 10 ** 9, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert rows_of(tables.ad_stat.read()) == rows_of(ads.clicks_by_city_ad_day(log))
