@@ -7,28 +7,26 @@ from pyspark.sql import functions as F
 
 _TAG = "array<struct<category_id:bigint,click:int,ord:int,pay:int,first_kind:boolean>>"
 
-
-def _tag(cid: Column, click: int, ord_: int, pay: int, first: Column) -> Column:
-    return F.struct(cid.cast("bigint").alias("category_id"), F.lit(click).alias("click"),
-                    F.lit(ord_).alias("ord"), F.lit(pay).alias("pay"),
-                    first.alias("first_kind"))
+# One row per (category occurrence, kind): the click category, every ordered
+# and every paid category. first_kind marks ids of the row's first behaviour
+# (click, else order, else pay).
+_TAGGED = f"""inline(concat(
+    CASE WHEN click_category_id IS NOT NULL
+         THEN array(named_struct('category_id', CAST(click_category_id AS BIGINT),
+                                 'click', 1, 'ord', 0, 'pay', 0, 'first_kind', true))
+         ELSE CAST(array() AS {_TAG}) END,
+    coalesce(transform(order_category_ids, x -> named_struct(
+        'category_id', CAST(x AS BIGINT), 'click', 0, 'ord', 1, 'pay', 0,
+        'first_kind', click_category_id IS NULL)), CAST(array() AS {_TAG})),
+    coalesce(transform(pay_category_ids, x -> named_struct(
+        'category_id', CAST(x AS BIGINT), 'click', 0, 'ord', 0, 'pay', 1,
+        'first_kind', click_category_id IS NULL AND order_category_ids IS NULL)),
+        CAST(array() AS {_TAG}))))"""
 
 
 def category_events(actions: DataFrame) -> DataFrame:
-    """One row per (category occurrence, kind) in a single scan: the click
-    category, every ordered and every paid category (repeats count).
-    ``first_kind`` marks ids from the first behaviour present on the row
-    (click, else order, else pay)."""
-    c, o, p = F.col("click_category_id"), F.col("order_category_ids"), F.col("pay_category_ids")
-    empty = F.array().cast(_TAG)
-    first_o = c.isNull()
-    first_p = c.isNull() & o.isNull()
-    tagged = F.concat(
-        F.when(c.isNotNull(), F.array(_tag(c, 1, 0, 0, F.lit(True)))).otherwise(empty),
-        F.coalesce(F.transform(o, lambda x: _tag(x, 0, 1, 0, first_o)), empty),
-        F.coalesce(F.transform(p, lambda x: _tag(x, 0, 0, 1, first_p)), empty),
-    )
-    return actions.select(F.inline(tagged))
+    """Tagged category occurrences in a single scan (see ``_TAGGED``)."""
+    return actions.selectExpr(_TAGGED)
 
 
 def category_click_counts(actions: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.expr import seconds_between
 from shoplens.functions.predicates import (age_between, all_of, equals,
                                            in_list, overlaps)
 from shoplens.params import TaskParams
@@ -62,15 +61,15 @@ def sessionize(actions: DataFrame) -> DataFrame:
     distinct sets are merged map-side, so a hot session ships only its
     distinct values per map task.
     """
-    kw = F.col("search_keyword")
-    return actions.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("step_length"),
-        F.array_sort(F.collect_set(F.when(F.length(kw) > 0, kw))).alias("search_keywords"),
-        F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
-    ).withColumn("visit_length", seconds_between("start_time", "end_time"))
+    return actions.groupBy("session_id").agg(*[F.expr(e) for e in (
+        "min(user_id) AS user_id",
+        "min(action_time) AS start_time",
+        "max(action_time) AS end_time",
+        "count(1) AS step_length",
+        "array_sort(collect_set(CASE WHEN length(search_keyword) > 0 THEN search_keyword END))"
+        " AS search_keywords",
+        "array_sort(collect_set(click_category_id)) AS click_category_ids",
+    )]).selectExpr("*", "timestampdiff(SECOND, start_time, end_time) AS visit_length")
 
 
 def enrich(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -95,41 +94,42 @@ def filter_sessions(enriched: DataFrame, p: TaskParams) -> DataFrame:
     return enriched.filter(session_predicate(p))
 
 
-def _in_bucket(c: Column, lo: int, hi: int | None) -> Column:
-    return (c >= lo) if hi is None else c.between(lo, hi)
+def _in_bucket(col: str, lo: int, hi: int | None) -> str:
+    return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
 
 
-def _bucket_counts(sessions: DataFrame, include_visit: bool, include_step: bool) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("session_count")]
+# The bucket aggregates are written as SQL expressions and passed in one
+# selectExpr call (a global aggregate); building the same thing from Column
+# objects costs a driver round trip per sub-expression.
+
+def _bucket_exprs(include_visit: bool, include_step: bool) -> list[str]:
+    exprs = ["count(1) AS session_count"]
     if include_visit:
-        v = F.col("visit_length")
-        aggs.append(F.count_if(v == 0).alias("visit_length_0s"))
-        aggs += [F.count_if(_in_bucket(v, lo, hi)).alias(n) for n, lo, hi in VISIT_BUCKETS]
+        exprs.append("count_if(visit_length = 0) AS visit_length_0s")
+        exprs += [f"count_if({_in_bucket('visit_length', lo, hi)}) AS {n}"
+                  for n, lo, hi in VISIT_BUCKETS]
     if include_step:
-        s = F.col("step_length")
-        aggs += [F.count_if(_in_bucket(s, lo, hi)).alias(n) for n, lo, hi in STEP_BUCKETS]
-    return sessions.agg(*aggs)
+        exprs += [f"count_if({_in_bucket('step_length', lo, hi)}) AS {n}"
+                  for n, lo, hi in STEP_BUCKETS]
+    return exprs
 
 
 def visit_histogram(sessions: DataFrame) -> DataFrame:
     """One row: session_count, zero-length count and the nine visit buckets."""
-    return _bucket_counts(sessions, True, False)
+    return sessions.selectExpr(*_bucket_exprs(True, False))
 
 
 def step_histogram(sessions: DataFrame) -> DataFrame:
-    return _bucket_counts(sessions, False, True)
+    return sessions.selectExpr(*_bucket_exprs(False, True))
 
 
 def session_ratios(sessions: DataFrame) -> DataFrame:
     """One row: session_count and each bucket / session_count, half-up to two
     places. No matching session gives 0 and zero ratios."""
-    counts = _bucket_counts(sessions, True, True)
-    n = F.col("session_count")
-    ratios = [
-        F.when(n > 0, F.round(F.col(name) / n, 2)).otherwise(F.lit(0.0)).alias(f"{name}_ratio")
-        for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS
-    ]
-    return counts.select(n, *ratios)
+    counts = sessions.selectExpr(*_bucket_exprs(True, True))
+    ratios = [f"CASE WHEN session_count > 0 THEN round({n} / session_count, 2) ELSE 0.0 END"
+              f" AS {n}_ratio" for n, _, _ in VISIT_BUCKETS + STEP_BUCKETS]
+    return counts.selectExpr("session_count", *ratios)
 
 
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:

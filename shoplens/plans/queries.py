@@ -55,24 +55,30 @@ from shoplens.plans.model import (CATEGORY_PARAMS, DEFAULT_PARAMS, SAMPLE_SEED,
 SCAN_RANGE = ("2024-01-05", "2024-01-12")
 
 
+SESSION_COLS = ("session_id", "user_id",
+                "date_format(start_time, 'yyyy-MM-dd HH:mm:ss') AS start_time",
+                "visit_length", "step_length",
+                "array_join(search_keywords, ',') AS search_keywords",
+                "array_join(CAST(click_category_ids AS ARRAY<STRING>), ',') AS click_category_ids")
+
+# -1 stands for "none", as in the original action table.
+ACTION_COLS = ("date_format(date, 'yyyy-MM-dd') AS date", "user_id", "session_id", "page_id",
+               "date_format(action_time, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+               "search_keyword",
+               "coalesce(click_category_id, CAST(-1 AS BIGINT)) AS click_category_id",
+               "coalesce(click_product_id, CAST(-1 AS BIGINT)) AS click_product_id",
+               *[f"array_join(CAST({c} AS ARRAY<STRING>), ',') AS {c}"
+                 for c in ("order_category_ids", "order_product_ids",
+                           "pay_category_ids", "pay_product_ids")],
+               "city_id")
+
+
 def render_sessions(df: DataFrame, *extra: str) -> DataFrame:
-    return df.select(
-        "session_id", "user_id", format_time("start_time").alias("start_time"),
-        "visit_length", "step_length",
-        F.array_join("search_keywords", ",").alias("search_keywords"),
-        ids_to_csv("click_category_ids").alias("click_category_ids"), *extra)
+    return df.selectExpr(*SESSION_COLS, *extra)
 
 
 def render_actions(df: DataFrame) -> DataFrame:
-    return df.select(
-        format_date("date").alias("date"), "user_id", "session_id", "page_id",
-        format_time("action_time").alias("action_time"), "search_keyword",
-        # -1 stands for "none", as in the original action table.
-        *[F.coalesce(c, F.lit(-1).cast("bigint")).alias(c)
-          for c in ("click_category_id", "click_product_id")],
-        *[ids_to_csv(c).alias(c) for c in ("order_category_ids", "order_product_ids",
-                                           "pay_category_ids", "pay_product_ids")],
-        "city_id")
+    return df.selectExpr(*ACTION_COLS)
 
 
 def filtered_sessions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:

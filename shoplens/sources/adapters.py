@@ -25,46 +25,44 @@ from pyspark.sql import functions as F
 
 from shoplens import schemas
 
-def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
-
-
-def ts_range(ts: Column, start_date: str | None, end_date: str | None) -> Column:
+def ts_range(start_date: str | None, end_date: str | None, col: str = "ts") -> str:
     """``start_date <= date(ts) <= end_date`` written on the raw timestamp,
     so the bounds become parquet row-group filters."""
-    cond = F.lit(True)
+    cond = ["true"]
     if start_date:
-        cond = cond & (ts >= F.lit(start_date).cast("date").cast("timestamp_ntz"))
+        cond.append(f"{col} >= CAST(DATE '{start_date}' AS TIMESTAMP_NTZ)")
     if end_date:
-        cond = cond & (ts < F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp_ntz"))
-    return cond
+        cond.append(f"{col} < CAST(date_add(DATE '{end_date}', 1) AS TIMESTAMP_NTZ)")
+    return " AND ".join(cond)
+
+
+# Adapter projections are SQL expressions handed over in one selectExpr call
+# each: the same plan as Column objects, without a driver round trip per
+# sub-expression.
+K = "try_cast(get_json_object(props, '$.k') AS BIGINT)"
+PID = "(event_id div 10) % 100"
+ACTION_EXPRS = (
+    "to_date(ts) AS date",
+    "user_id",
+    "concat_ws('_', CAST(user_id AS STRING), date_format(ts, 'yyyyMMdd')) AS session_id",
+    "k % 10 AS page_id",
+    "date_trunc('second', ts) AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 10 AS STRING)) END"
+    " AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k END AS click_category_id",
+    f"CASE WHEN event_type = 'click' THEN {PID} END AS click_product_id",
+    "CASE WHEN event_type = 'purchase' THEN array(k, (k + 1) % 100) END AS order_category_ids",
+    f"CASE WHEN event_type = 'purchase' THEN array({PID}) END AS order_product_ids",
+    "CASE WHEN event_type = 'signup' THEN array(k) END AS pay_category_ids",
+    f"CASE WHEN event_type = 'signup' THEN array({PID}) END AS pay_product_ids",
+    "event_id % 10 AS city_id",
+)
 
 
 def user_visit_action(events: DataFrame, start_date: str | None = None,
                       end_date: str | None = None) -> DataFrame:
-    ev = events.filter(ts_range(F.col("ts"), start_date, end_date)) \
-        .withColumn("k", _k())
-    t = F.col("event_type")
-    eid = F.col("event_id")
-    pid = F.expr("(event_id div 10) % 100")
-    return ev.select(
-        F.to_date("ts").alias("date"),
-        F.col("user_id"),
-        F.concat_ws("_", F.col("user_id").cast("string"),
-                    F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        (F.col("k") % 10).alias("page_id"),
-        F.date_trunc("second", F.col("ts")).alias("action_time"),
-        F.when(t == "view", F.concat(F.lit("kw"), (F.col("k") % 10).cast("string")))
-        .alias("search_keyword"),
-        F.when(t == "click", F.col("k")).alias("click_category_id"),
-        F.when(t == "click", pid).alias("click_product_id"),
-        F.when(t == "purchase", F.array(F.col("k"), (F.col("k") + 1) % 100))
-        .alias("order_category_ids"),
-        F.when(t == "purchase", F.array(pid)).alias("order_product_ids"),
-        F.when(t == "signup", F.array(F.col("k"))).alias("pay_category_ids"),
-        F.when(t == "signup", F.array(pid)).alias("pay_product_ids"),
-        (eid % 10).alias("city_id"),
-    )
+    return events.filter(ts_range(start_date, end_date)) \
+        .selectExpr("*", f"{K} AS k").selectExpr(*ACTION_EXPRS)
 
 
 def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -72,15 +70,14 @@ def user_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
     # statistics with spark.sql.autoBroadcastJoinThreshold (broadcast when
     # small, sort-merge otherwise) and AQE re-checks with run-time sizes.
     nat = nation.select("n_nationkey", "n_name")
-    key = F.col("c_custkey")
-    return customer.join(nat, customer.c_nationkey == nat.n_nationkey).select(
-        key.alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(18) + key % 50).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
+    return customer.join(nat, customer.c_nationkey == nat.n_nationkey).selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(18 + c_custkey % 50 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "n_name AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
@@ -147,11 +144,8 @@ def ad_log(events: DataFrame, customer: DataFrame, nation: DataFrame,
     watermarks require; the join to the user dimension is an equi-join left to
     AQE (broadcast when the user side is small, sort-merge otherwise).
     """
-    clicks = events.filter(F.col("event_type") == "click").select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("user_id").alias("userid"),
-        (_k() % 20).alias("adid"),
-    )
+    clicks = events.filter("event_type = 'click'").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts", "user_id AS userid", f"{K} % 20 AS adid")
     geo = user_geo(customer, nation, region)
     return clicks.join(geo, "userid").select("ts", "province", "city", "userid", "adid")
 
