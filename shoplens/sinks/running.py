@@ -2,13 +2,13 @@
 
 Layout under the table folder::
 
-    deltas/[date=.../]batch_id=<n>/     what batch n contributed
+    deltas/batch_id=<n>/[date=.../]     what batch n contributed
     snapshots/upto=<n>/[date=.../]      merged state of batches 0..n
     manifest/                           one row per completed snapshot
 
-Each micro-batch writes only its own contribution into its own ``batch_id``
-partition with dynamic partition overwrite, so a replayed batch replaces
-what its first attempt wrote and never counts twice. The current value is
+Each micro-batch overwrites only its own ``batch_id=<n>`` folder, so a
+replayed batch replaces what its first attempt wrote and never counts twice
+(a plain path overwrite: no dynamic-overwrite staging and renames). The current value is
 derived on read from the latest snapshot plus the deltas after it:
 
 * ``add``     - existing key: old + new (sum over batches);
@@ -71,19 +71,25 @@ class RunningTable:
     def _cast(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
-    def _clustered(self, df: DataFrame) -> DataFrame:
+    def _clustered(self, df: DataFrame, files: int | None = None) -> DataFrame:
         """Shuffle rows by (partition columns, key bucket) before writing: each
-        date partition gets at most ``files_per_partition`` files instead of
-        one per task, and a date holding most rows still has that many
-        writers."""
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_partition))
+        date partition gets at most ``files`` files instead of one per task,
+        and a date holding most rows still has that many writers."""
+        n = max(1, int(files or self.files_per_partition))
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(n))
         return df.repartition(*[F.col(c) for c in self.partition_by], bucket)
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        out = self._clustered(self._cast(df)) \
-            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*self.partition_by, "batch_id").parquet(f"{self.path}/deltas")
+    def write_batch(self, df: DataFrame, batch_id: int, files: int | None = None) -> None:
+        """Write batch ``batch_id``'s contribution; ``files`` overrides the
+        number of files per partition (sized by the caller from the batch)."""
+        self._write(self._clustered(self._cast(df), files),
+                    f"{self.path}/deltas/batch_id={int(batch_id)}")
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(path)
 
     def snapshot_ids(self) -> list[int]:
         """Completed snapshots (read from the manifest once per table object;
@@ -101,10 +107,8 @@ class RunningTable:
 
     def compact(self, upto_batch: int) -> None:
         """Write the merged state of batches ``0..upto_batch`` as a snapshot."""
-        state = self._clustered(self._cast(self.read(before_batch=upto_batch + 1))) \
-            .withColumn("upto", F.lit(int(upto_batch)).cast("bigint"))
-        state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("upto", *self.partition_by).parquet(f"{self.path}/snapshots")
+        state = self._clustered(self._cast(self.read(before_batch=upto_batch + 1)))
+        self._write(state, f"{self.path}/snapshots/upto={int(upto_batch)}")
         self.spark.range(1).select(F.lit(int(upto_batch)).cast("bigint").alias("upto")) \
             .write.mode("append").parquet(f"{self.path}/manifest")
         self._snapshots = sorted(set(self.snapshot_ids()) | {int(upto_batch)})

@@ -76,33 +76,48 @@ class AdTables:
                 self.click_trend]
 
 
+ROWS_PER_FILE = 2_000_000
+MAX_FILES_PER_DATE = 64
+
+
+def files_per_date(rows: int, dates: int) -> int:
+    """Files per date partition for a batch of ``rows`` input rows: about
+    ROWS_PER_FILE rows per file (input rows bound the aggregated rows), so a
+    date holding most of a heavy batch is split over several writers."""
+    per_date = rows / max(dates, 1)
+    return int(max(1, min(MAX_FILES_PER_DATE, -(-per_date // ROWS_PER_FILE))))
+
+
 def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: int,
                   top_n: int = 3, compact_every: int = 0) -> None:
     """All per-batch work of the job (also callable on a static DataFrame).
     With ``compact_every = n`` every n-th batch also snapshots the tables."""
     batch = batch.persist()
     try:
-        # Dates touched by this batch: a handful per micro-batch; they prune
-        # the date-partitioned running tables to the days that can change.
-        dates = [r[0] for r in batch.select(date_key("ts")).distinct().collect()]
+        # Dates touched by this batch (a handful per micro-batch; they prune
+        # the date-partitioned running tables to the days that can change)
+        # and its size, which sets how many files each date gets.
+        stats = batch.agg(F.collect_set(date_key("ts")).alias("dates"),
+                          F.count(F.lit(1)).alias("n")).first()
+        dates = list(stats["dates"] or [])
         if not dates:
             return
+        files = files_per_date(stats["n"], len(dates))
         blacklist = tables.blacklist.read(before_batch=batch_id)
         clean = ads.drop_blacklisted(batch, blacklist).persist()
 
-        # 1. per-user totals and blacklist maintenance
+        # 1. per-user totals; users over the threshold for a key of this batch
         counts = ads.clicks_by_user_ad_day(clean)
         previous = tables.user_clicks.read(before_batch=batch_id, dates=dates)
         totals = ads.lookup_totals(counts, previous) \
             .withColumn("total", F.col("total") + F.col("click_count"))
         added = ads.over_threshold(totals, threshold).select("userid").distinct() \
             .join(blacklist, "userid", "left_anti")
-        tables.user_clicks.write_batch(counts, batch_id)
-        tables.blacklist.write_batch(added, batch_id)
+        tables.user_clicks.write_batch(counts, batch_id, files)
 
         # 2. running counts per (date, province, city, ad)
         city = ads.clicks_by_city_ad_day(clean)
-        tables.ad_stat.write_batch(city, batch_id)
+        tables.ad_stat.write_batch(city, batch_id, files)
 
         # 3. top ads of every touched (date, province), over full current counts
         touched = city.select("date", "province").distinct()
@@ -112,8 +127,14 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
         tables.province_top3.write_batch(top, batch_id)
 
         # 4. per-minute trend
-        tables.click_trend.write_batch(ads.minute_counts(clean).drop("minute_start"), batch_id)
+        tables.click_trend.write_batch(ads.minute_counts(clean).drop("minute_start"), batch_id,
+                                       files)
+
+        # 5. the blacklist goes last, after `clean` is released: writing a
+        # folder makes Spark re-cache every persisted plan that reads it, and
+        # `clean` reads the blacklist.
         clean.unpersist()
+        tables.blacklist.write_batch(added, batch_id)
         if compact_every and (batch_id + 1) % compact_every == 0:
             for t in tables.all():
                 t.compact(batch_id)

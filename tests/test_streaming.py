@@ -173,3 +173,24 @@ def test_text_line_stream_equals_batch(spark, log):
                                     f"{root}/ckpt", 10 ** 9, trigger={"availableNow": True})
     q.awaitTermination()
     assert rows_of(tables.ad_stat.read()) == rows_of(ads.clicks_by_city_ad_day(log))
+
+
+def test_blacklist_after_an_empty_first_batch(spark):
+    """Batch 0 blocks nobody (the blacklist folder exists but holds no rows),
+    batch 1 blocks user 1, batch 2 drops user 1's clicks."""
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+
+    def b(*rows):
+        return spark.createDataFrame(
+            [(t0 + dt.timedelta(seconds=s), "P", "C", u, 1) for s, u in rows], AD_LOG)
+
+    tables = ad_stream.AdTables.at(spark, tempfile.mkdtemp(prefix="bl-empty-"))
+    ad_stream.process_batch(tables, b((0, 1), (1, 2)), 0, 1)
+    assert tables.blacklist.read().count() == 0
+    ad_stream.process_batch(tables, b((10, 1)), 1, 1)
+    assert [r.userid for r in tables.blacklist.read().collect()] == [1]
+    ad_stream.process_batch(tables, b((20, 1), (21, 2)), 2, 1)
+    assert [r.userid for r in tables.blacklist.read().collect()] == [1, 2] or \
+        sorted(r.userid for r in tables.blacklist.read().collect()) == [1, 2]
+    totals = {r.userid: r.click_count for r in tables.user_clicks.read().collect()}
+    assert totals == {1: 2, 2: 2}
