@@ -391,6 +391,7 @@ ORACLE["stream_province_top3"] = ORACLE["province_top3"]
 ORACLE["stream_minute_trend"] = ORACLE["minute_trend"]
 ORACLE["stream_running_city_counts"] = ORACLE["clicks_by_city_ad_day"]
 ORACLE["stream_running_minute_counts"] = ORACLE["minute_trend"]
+ORACLE["stream_sliding_hour_counts"] = ORACLE["hourly_sliding_clicks"]
 
 
 # --- page flow, area ranking over order lines --------------------------------

@@ -379,6 +379,12 @@ def q_stream_running_city_counts(m: Model) -> DataFrame:
                      ads.CITY_AD_KEYS, "running-city")
 
 
+@query("stream_sliding_hour_counts")
+def q_stream_sliding_hour_counts(m: Model) -> DataFrame:
+    return _stateful(m, ad_stream.running_sliding_counts, ad_stream.SLIDING,
+                     ("window_start", "adid"), "running-sliding")
+
+
 @query("stream_running_minute_counts")
 def q_stream_running_minute_counts(m: Model) -> DataFrame:
     return _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,

@@ -176,6 +176,21 @@ def running_minute_counts(log_stream: DataFrame, watermark: str = "1 hour") -> D
                 F.date_format("m.start", "mm").alias("minute"), "adid", "click_count")
 
 
+SLIDING = _schema(("window_start", S), ("window_end", S), ("adid", L), ("click_count", L))
+
+
+def running_sliding_counts(log_stream: DataFrame, duration: str = "60 minutes",
+                           slide: str = "1 minute", watermark: str = "1 hour") -> DataFrame:
+    """Clicks per ad over sliding windows (the last hour, every minute) in
+    the state store; a window's state goes once the watermark passes its end."""
+    w = F.window("ts", duration, slide)
+    return log_stream.withWatermark("ts", watermark) \
+        .groupBy(w.alias("w"), "adid").agg(F.count(F.lit(1)).alias("click_count")) \
+        .select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("window_start"),
+                F.date_format("w.end", "yyyy-MM-dd HH:mm").alias("window_end"),
+                "adid", "click_count")
+
+
 def write_set_stream(counts: DataFrame, table: RunningTable, checkpoint: str,
                      trigger: dict | None = None) -> StreamingQuery:
     """Emit updated keys each batch (``update`` mode) and upsert-set them."""
