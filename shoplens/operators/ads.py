@@ -74,11 +74,15 @@ def last_hour(minute_df: DataFrame, now: Column, minutes: int = 60) -> DataFrame
     return minute_df.filter(F.col("minute_start") >= lo)
 
 
-def last_hour_trend(log: DataFrame, minutes: int = 60) -> DataFrame:
-    """Minute trend of the last hour of the log; "now" is the latest event
-    time, evaluated once as a scalar subquery."""
-    now = log.select(F.max("ts")).scalar()
-    return last_hour(minute_counts(log), now, minutes)
+def last_hour_trend(log: DataFrame, minutes: int = 60, now=None) -> DataFrame:
+    """Minute trend of the last hour. ``now`` defaults to the latest event
+    time of the log (one scalar subquery). Rows are cut to the hour before
+    they are counted: the bound is minute-aligned, so ``ts >= bound`` is the
+    same as ``minute_start >= bound``; with a literal ``now`` it reaches the
+    parquet scan."""
+    now_col = log.select(F.max("ts")).scalar() if now is None else F.lit(now).cast("timestamp")
+    lo = F.date_trunc("minute", now_col) - F.make_interval(mins=F.lit(minutes - 1))
+    return minute_counts(log.filter(F.col("ts") >= lo))
 
 
 def sliding_counts(log: DataFrame, duration: str = "60 minutes",

@@ -20,19 +20,20 @@ def hour_quotas(sessions: DataFrame, total: int) -> DataFrame:
     """Rows to draw per (date, hour).
 
     per_day = total div days; quota = min(floor(hour_count / day_count *
-    per_day), hour_count). Everything runs over the per-hour counts (at most
-    24 rows per day of the task range), never over sessions; the number of
-    days is an uncorrelated scalar subquery.
+    per_day), hour_count). Everything runs over the per-hour counts, at most
+    24 rows per day of the task range, never over sessions. The day count
+    is a window over that small table: a scalar subquery would re-run the
+    whole sessionisation for one number.
     """
     hc = hour_counts(sessions)
-    days = hc.select(F.count_distinct("date")).scalar()
+    days = F.size(F.collect_set("date").over(Window.partitionBy())).cast("bigint")
     day_count = F.sum("hour_count").over(Window.partitionBy("date"))
-    per_day = (F.lit(int(total)).cast("bigint") / days).cast("bigint")
-    staged = hc.select("date", "hour", "hour_count", day_count.alias("day_count"),
-                       per_day.alias("per_day"))
-    quota = F.least(F.floor(F.col("hour_count") / F.col("day_count") * F.col("per_day")),
+    staged = hc.select("date", "hour", "hour_count", days.alias("days"),
+                       day_count.alias("day_count"))
+    per_day = F.expr(f"CAST({int(total)} AS BIGINT) div days")
+    quota = F.least(F.floor(F.col("hour_count") / F.col("day_count") * per_day),
                     F.col("hour_count"))
-    return staged.select("date", "hour", "hour_count", "day_count", "per_day",
+    return staged.select("date", "hour", "hour_count", "day_count", per_day.alias("per_day"),
                          quota.alias("quota"))
 
 
