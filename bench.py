@@ -22,7 +22,7 @@ from shoplens.plans.model import BLACKLIST_THRESHOLD, Model  # noqa: E402
 from shoplens.plans.queries import REGISTRY  # noqa: E402
 from shoplens.session import build_session, scratch_path  # noqa: E402
 from shoplens.streaming import ad_stream  # noqa: E402
-from shoplens.streaming.sources import events_ad_stream  # noqa: E402
+from shoplens.streaming.sources import events_click_stream  # noqa: E402
 
 HEADLINE = {
     "q1_session_stats": "session_stats",
@@ -47,9 +47,10 @@ def run_query(spark, base: str, name: str) -> None:
 def run_stream(spark, base: str) -> None:
     root = scratch_path(spark, "bench-stream")
     tables = ad_stream.AdTables.at(spark, f"{root}/tables")
-    q = ad_stream.start_ad_pipeline(events_ad_stream(spark, base), tables, f"{root}/checkpoint",
+    clicks, geo = events_click_stream(spark, base)
+    q = ad_stream.start_ad_pipeline(clicks, tables, f"{root}/checkpoint",
                                     threshold=BLACKLIST_THRESHOLD,
-                                    trigger={"availableNow": True})
+                                    trigger={"availableNow": True}, geo=geo)
     q.awaitTermination()
 
 

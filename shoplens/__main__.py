@@ -20,7 +20,7 @@ from shoplens.plans.jobs import parquet_sink, run_area_job, run_session_job
 from shoplens.plans.model import Model
 from shoplens.session import build_session
 from shoplens.streaming import ad_stream
-from shoplens.streaming.sources import events_ad_stream, line_ad_stream
+from shoplens.streaming.sources import events_click_stream, line_ad_stream
 
 
 def _args(argv):
@@ -66,15 +66,16 @@ def main(argv=None) -> int:
             taskid = run_area_job(m.actions(params), m.products(), m.city_dim(), sink)
         print(taskid)
         return 0
+    geo = None
     if args.format:
         opts = dict(o.split("=", 1) for o in args.option)
         log = line_ad_stream(spark, args.format, opts, args.path)
     else:
-        log = events_ad_stream(spark, args.input)
+        log, geo = events_click_stream(spark, args.input)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.interval}
     q = ad_stream.start_ad_pipeline(log, ad_stream.AdTables.at(spark, args.tables),
                                     args.checkpoint, args.threshold, trigger,
-                                    compact_every=args.compact_every)
+                                    compact_every=args.compact_every, geo=geo)
     q.awaitTermination()
     return 0
 

@@ -23,22 +23,36 @@ def drop_blacklisted(log: DataFrame, blacklist: DataFrame) -> DataFrame:
     return log.join(blacklist.select("userid").distinct(), "userid", "left_anti")
 
 
-def _count() -> Column:
-    return F.count(F.lit(1)).alias("click_count")
+def _count(log: DataFrame) -> Column:
+    """Clicks of a log: its rows, or the sum of ``n`` when the rows are
+    pre-aggregated (see :func:`preaggregate_clicks`)."""
+    c = F.sum("n").cast("bigint") if "n" in log.columns else F.count(F.lit(1))
+    return c.alias("click_count")
+
+
+def preaggregate_clicks(clicks: DataFrame, geo: DataFrame) -> DataFrame:
+    """Collapse raw clicks (ts, userid, adid) to per-(minute, user, ad) counts
+    ``n`` (partial aggregation before the shuffle), then attach province and
+    city. A hot user reaches the join as at most one row per minute and ad.
+    Every ad output is a count per day, minute, user, city or province, so
+    they are all exact on these rows (``ts`` becomes the minute start)."""
+    per_minute = clicks.groupBy(F.date_trunc("minute", "ts").alias("ts"), "userid", "adid") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return per_minute.join(geo, "userid").select("ts", "province", "city", "userid", "adid", "n")
 
 
 def clicks_by_user_ad_day(log: DataFrame) -> DataFrame:
-    return log.groupBy(date_key("ts").alias("date"), "userid", "adid").agg(_count())
+    return log.groupBy(date_key("ts").alias("date"), "userid", "adid").agg(_count(log))
 
 
 def clicks_by_city_ad_day(log: DataFrame) -> DataFrame:
-    return log.groupBy(date_key("ts").alias("date"), "province", "city", "adid").agg(_count())
+    return log.groupBy(date_key("ts").alias("date"), "province", "city", "adid").agg(_count(log))
 
 
 def province_counts(log: DataFrame) -> DataFrame:
     """Clicks per (date, province, ad) straight from the log: one shuffle,
     where rolling city counts up would take two."""
-    return log.groupBy(date_key("ts").alias("date"), "province", "adid").agg(_count())
+    return log.groupBy(date_key("ts").alias("date"), "province", "adid").agg(_count(log))
 
 
 def clicks_by_province_ad_day(city_counts: DataFrame) -> DataFrame:
@@ -61,7 +75,7 @@ def minute_counts(log: DataFrame) -> DataFrame:
     """Clicks per (event-time minute, ad) with the minute cut into
     date (yyyyMMdd), hour (HH) and minute (mm); ``minute_start`` kept."""
     m = F.date_trunc("minute", F.col("ts"))
-    return log.groupBy(m.alias("minute_start"), "adid").agg(_count()).select(
+    return log.groupBy(m.alias("minute_start"), "adid").agg(_count(log)).select(
         date_key("minute_start").alias("date"),
         F.date_format("minute_start", "HH").alias("hour"),
         F.date_format("minute_start", "mm").alias("minute"),
@@ -94,7 +108,7 @@ def sliding_counts(log: DataFrame, duration: str = "60 minutes",
     replication factor applies to minute counts, not to raw clicks.
     """
     per_minute = log.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "adid") \
-        .agg(_count())
+        .agg(_count(log))
     w = F.window("minute_start", duration, slide)
     return per_minute.groupBy(w.alias("w"), "adid") \
         .agg(F.sum("click_count").cast("bigint").alias("click_count")) \

@@ -318,7 +318,7 @@ def q_hourly_sliding_clicks(m: Model) -> DataFrame:
 
 from shoplens.session import scratch_path  # noqa: E402
 from shoplens.streaming import ad_stream  # noqa: E402
-from shoplens.streaming.sources import events_ad_stream  # noqa: E402
+from shoplens.streaming.sources import events_ad_stream, events_click_stream  # noqa: E402
 
 _PIPELINE_RUNS: dict[tuple[int, str], str] = {}
 
@@ -330,9 +330,10 @@ def pipeline_tables(m: Model) -> ad_stream.AdTables:
     if key not in _PIPELINE_RUNS:
         root = scratch_path(m.spark, "ad-pipeline")
         tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+        clicks, geo = events_click_stream(m.spark, m.tables.base)
         q = ad_stream.start_ad_pipeline(
-            events_ad_stream(m.spark, m.tables.base), tables, f"{root}/checkpoint",
-            threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True})
+            clicks, tables, f"{root}/checkpoint", threshold=BLACKLIST_THRESHOLD,
+            trigger={"availableNow": True}, geo=geo)
         q.awaitTermination()
         _PIPELINE_RUNS[key] = root
     return ad_stream.AdTables.at(m.spark, f"{_PIPELINE_RUNS[key]}/tables")

@@ -136,6 +136,12 @@ def user_geo(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataF
         .select(F.col("c_custkey").alias("userid"), "province", "city")
 
 
+def ad_clicks(events: DataFrame) -> DataFrame:
+    """Raw clicks (ts, userid, adid) of the event table."""
+    return events.filter("event_type = 'click'").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts", "user_id AS userid", f"{K} % 20 AS adid")
+
+
 def ad_log(events: DataFrame, customer: DataFrame, nation: DataFrame,
            region: DataFrame) -> DataFrame:
     """Ad-click log rows (ts, province, city, userid, adid).
@@ -144,8 +150,7 @@ def ad_log(events: DataFrame, customer: DataFrame, nation: DataFrame,
     watermarks require; the join to the user dimension is an equi-join left to
     AQE (broadcast when the user side is small, sort-merge otherwise).
     """
-    clicks = events.filter("event_type = 'click'").selectExpr(
-        "CAST(ts AS TIMESTAMP) AS ts", "user_id AS userid", f"{K} % 20 AS adid")
+    clicks = ad_clicks(events)
     geo = user_geo(customer, nation, region)
     return clicks.join(geo, "userid").select("ts", "province", "city", "userid", "adid")
 

@@ -89,8 +89,13 @@ def files_per_date(rows: int, dates: int) -> int:
 
 
 def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: int,
-                  top_n: int = 3, compact_every: int = 0) -> None:
+                  top_n: int = 3, compact_every: int = 0, geo: DataFrame | None = None) -> None:
     """All per-batch work of the job (also callable on a static DataFrame).
+
+    ``batch`` holds ad-log rows (ts, province, city, userid, adid), or raw
+    clicks (ts, userid, adid) when ``geo`` (userid -> province, city) is
+    given: blocked users are dropped first, then clicks are pre-aggregated
+    per (minute, user, ad) before the join to ``geo``.
     With ``compact_every = n`` every n-th batch also snapshots the tables."""
     batch = batch.persist()
     try:
@@ -104,7 +109,10 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
             return
         files = files_per_date(stats["n"], len(dates))
         blacklist = tables.blacklist.read(before_batch=batch_id)
-        clean = ads.drop_blacklisted(batch, blacklist).persist()
+        clean = ads.drop_blacklisted(batch, blacklist)
+        if geo is not None:
+            clean = ads.preaggregate_clicks(clean, geo)
+        clean = clean.persist()
 
         # 1. per-user totals; users over the threshold for a key of this batch
         counts = ads.clicks_by_user_ad_day(clean)
@@ -144,13 +152,15 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
 
 def start_ad_pipeline(log_stream: DataFrame, tables: AdTables, checkpoint: str,
                       threshold: int = 100, trigger: dict | None = None,
-                      name: str | None = None, compact_every: int = 100) -> StreamingQuery:
+                      name: str | None = None, compact_every: int = 100,
+                      geo: DataFrame | None = None) -> StreamingQuery:
     """Start the full job over a stream of ad-log rows
-    (ts, province, city, userid, adid). ``trigger`` defaults to 5 s batches;
-    the running tables are compacted every ``compact_every`` batches."""
+    (ts, province, city, userid, adid), or of raw clicks plus ``geo`` (see
+    :func:`process_batch`). ``trigger`` defaults to 5 s batches; the running
+    tables are compacted every ``compact_every`` batches."""
     w = log_stream.writeStream.option("checkpointLocation", checkpoint) \
         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, threshold,
-                                                    compact_every=compact_every))
+                                                    compact_every=compact_every, geo=geo))
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     if name:
         w = w.queryName(name)

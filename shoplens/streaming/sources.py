@@ -19,6 +19,19 @@ def events_ad_stream(spark: SparkSession, base: str, max_files_per_trigger: int
     return adapters.ad_log(events, t.customer, t.nation, t.region)
 
 
+def events_click_stream(spark: SparkSession, base: str,
+                        max_files_per_trigger: int | None = None,
+                        events_dir: str | None = None, glob: str | None = "events*.parquet"):
+    """Raw clicks (ts, userid, adid) from a file stream of ``events`` and the
+    static user -> (province, city) dimension, for
+    ``start_ad_pipeline(..., geo=...)``: the dimension is joined inside each
+    micro-batch after the clicks are pre-aggregated."""
+    t = Tables(spark, base)
+    events = adlog.file_stream(spark, events_dir or base, t.events.schema,
+                               max_files_per_trigger=max_files_per_trigger, glob=glob)
+    return adapters.ad_clicks(events), adapters.user_geo(t.customer, t.nation, t.region)
+
+
 def line_ad_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None = None,
                    path: str | None = None) -> DataFrame:
     """Ad-log rows parsed from a text stream (Kafka ``value`` or text files);

@@ -92,3 +92,18 @@ def test_sliding_counts_match_naive(spark):
             want[key] = want.get(key, 0) + 1
     assert got == want
     assert F is not None
+
+
+def test_preaggregated_hot_user_counts(spark):
+    geo = spark.createDataFrame([(1, "P", "C"), (2, "Q", "D")], "userid bigint, province string, city string")
+    rows = [(s, "x", "x", 1, s % 3) for s in range(0, 600, 2)] + [(5, "x", "x", 2, 0)]
+    raw = log_df(spark, rows)
+    clicks = raw.select("ts", "userid", "adid")
+    pre = ads.preaggregate_clicks(clicks, geo)
+    assert pre.count() == 31 and raw.count() == 301   # 10 minutes x 3 ads + 1
+    row_level = raw.drop("province", "city").join(geo, "userid")
+    for fn in (ads.clicks_by_user_ad_day, ads.clicks_by_city_ad_day, ads.province_counts):
+        assert sorted(tuple(r) for r in fn(pre).collect()) == \
+            sorted(tuple(r) for r in fn(row_level).collect())
+    assert sorted(tuple(r) for r in ads.minute_counts(pre).drop("minute_start").collect()) == \
+        sorted(tuple(r) for r in ads.minute_counts(row_level).drop("minute_start").collect())

@@ -193,3 +193,21 @@ def test_blacklist_after_an_empty_first_batch(spark):
     assert sorted(r.userid for r in tables.blacklist.read().collect()) == [1, 2]
     totals = {r.userid: r.click_count for r in tables.user_clicks.read().collect()}
     assert totals == {1: 2, 2: 2}
+
+
+def test_preaggregated_clicks_equal_row_log(spark, log):
+    """Raw clicks + dimension (pre-aggregated per minute, user, ad inside the
+    batch) give the same tables as the row-level log, blacklist included."""
+    from shoplens.sources import adapters
+    m = Model(spark, MEDIUM)
+    clicks = adapters.ad_clicks(m.tables.events)
+    geo = adapters.user_geo(m.tables.customer, m.tables.nation, m.tables.region)
+    tables = ad_stream.AdTables.at(spark, tempfile.mkdtemp(prefix="preagg-"))
+    for i in range(3):
+        part = clicks.filter((F.col("ts") >= F.lit(SPLITS[i]).cast("timestamp"))
+                             & (F.col("ts") < F.lit(SPLITS[i + 1]).cast("timestamp")))
+        ad_stream.process_batch(tables, part, i, 1, geo=geo)
+    blacklist, totals, city = sequential_batches(spark, log, 1)
+    assert rows_of(tables.blacklist.read()) == rows_of(blacklist)
+    assert rows_of(tables.user_clicks.read()) == rows_of(totals)
+    assert rows_of(tables.ad_stat.read()) == rows_of(city)
