@@ -58,5 +58,15 @@ class Model:
         return adapters.city_area_dim(self.spark)
 
     def ad_log(self) -> DataFrame:
+        """Row-level ad log (one row per click)."""
         t = self.tables
         return adapters.ad_log(t.events, t.customer, t.nation, t.region)
+
+    def ad_counts(self) -> DataFrame:
+        """The ad log as per-(minute, user, ad) counts ``n``: clicks are
+        partially aggregated before the join to the user dimension. Every
+        count-based ad output is the same on these rows."""
+        from shoplens.operators.ads import preaggregate_clicks
+        t = self.tables
+        return preaggregate_clicks(adapters.ad_clicks(t.events),
+                                   adapters.user_geo(t.customer, t.nation, t.region))

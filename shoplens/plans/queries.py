@@ -251,7 +251,7 @@ def render_log(df: DataFrame) -> DataFrame:
 
 def blacklist_once(m: Model):
     """The blacklist step on the whole log as one batch, empty blacklist."""
-    log = m.ad_log()
+    log = m.ad_counts()
     empty = log.select("userid").limit(0)
     return ads.blacklist_step(log, empty, None, BLACKLIST_THRESHOLD)
 
@@ -264,7 +264,7 @@ def q_ad_log_parsed(m: Model) -> DataFrame:
 
 @query("clicks_by_user_ad_day")
 def q_clicks_by_user_ad_day(m: Model) -> DataFrame:
-    return ads.clicks_by_user_ad_day(m.ad_log())
+    return ads.clicks_by_user_ad_day(m.ad_counts())
 
 
 @query("blacklist_users")
@@ -281,37 +281,37 @@ def q_ad_log_clean(m: Model) -> DataFrame:
 
 @query("clicks_by_city_ad_day")
 def q_clicks_by_city_ad_day(m: Model) -> DataFrame:
-    return ads.clicks_by_city_ad_day(m.ad_log())
+    return ads.clicks_by_city_ad_day(m.ad_counts())
 
 
 @query("clicks_by_province_ad_day")
 def q_clicks_by_province_ad_day(m: Model) -> DataFrame:
-    return ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(m.ad_log()))
+    return ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(m.ad_counts()))
 
 
 @query("province_top3")
 def q_province_top3(m: Model) -> DataFrame:
-    return ads.top_n_per_province(ads.province_counts(m.ad_log()), 3)
+    return ads.top_n_per_province(ads.province_counts(m.ad_counts()), 3)
 
 
 @query("province_clicks_direct")
 def q_province_clicks_direct(m: Model) -> DataFrame:
-    return ads.province_counts(m.ad_log())
+    return ads.province_counts(m.ad_counts())
 
 
 @query("minute_trend")
 def q_minute_trend(m: Model) -> DataFrame:
-    return ads.minute_counts(m.ad_log()).drop("minute_start")
+    return ads.minute_counts(m.ad_counts()).drop("minute_start")
 
 
 @query("last_hour_trend")
 def q_last_hour_trend(m: Model) -> DataFrame:
-    return ads.last_hour_trend(m.ad_log()).drop("minute_start")
+    return ads.last_hour_trend(m.ad_counts()).drop("minute_start")
 
 
 @query("hourly_sliding_clicks")
 def q_hourly_sliding_clicks(m: Model) -> DataFrame:
-    return ads.sliding_counts(m.ad_log())
+    return ads.sliding_counts(m.ad_counts())
 
 
 # --- C: ad clicks through Structured Streaming ------------------------------
@@ -484,7 +484,7 @@ SPLIT_LOW, SPLIT_HIGH = "2024-01-16", "2024-01-10"
 def two_batches(m: Model):
     """The ad log cut into two overlapping batches (days before the 16th, and
     days from the 10th on), so keys of the overlap are written twice."""
-    log = m.ad_log()
+    log = m.ad_counts()
     return (log.filter(F.col("ts") < F.lit(SPLIT_LOW).cast("timestamp")),
             log.filter(F.col("ts") >= F.lit(SPLIT_HIGH).cast("timestamp")))
 
