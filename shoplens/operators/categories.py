@@ -29,6 +29,43 @@ def category_events(actions: DataFrame) -> DataFrame:
     return actions.selectExpr(_TAGGED)
 
 
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """Click, order and pay counts per (session, category), partially
+    aggregated before the shuffle: a session holding a third of all actions
+    becomes at most one row per category. Category rankings and top sessions
+    are computed from these rows, and joining them to the kept sessions moves
+    counts, not actions."""
+    return actions.selectExpr("session_id", _TAGGED) \
+        .groupBy("session_id", "category_id").agg(*[F.expr(e) for e in (
+            "CAST(sum(click) AS BIGINT) AS click_count",
+            "CAST(sum(ord) AS BIGINT) AS order_count",
+            "CAST(sum(pay) AS BIGINT) AS pay_count",
+            "bool_or(first_kind) AS in_first")])
+
+
+def funnel_from_session_counts(counts: DataFrame, universe: str = "all") -> DataFrame:
+    """:func:`category_funnel_counts` from :func:`session_category_counts` rows."""
+    agg = counts.groupBy("category_id").agg(*[F.expr(e) for e in (
+        "CAST(sum(click_count) AS BIGINT) AS click_count",
+        "CAST(sum(order_count) AS BIGINT) AS order_count",
+        "CAST(sum(pay_count) AS BIGINT) AS pay_count",
+        "bool_or(in_first) AS in_first")])
+    if universe == "first_action":
+        agg = agg.filter("in_first")
+    return agg.drop("in_first")
+
+
+def top_sessions_from_session_counts(counts: DataFrame, categories: DataFrame,
+                                     n: int = 10) -> DataFrame:
+    """:func:`top_sessions_per_category` from :func:`session_category_counts`
+    rows (``categories`` is a top-k result: bounded, broadcast)."""
+    clicks = counts.filter("click_count > 0") \
+        .join(F.broadcast(categories.select("category_id")), "category_id", "left_semi") \
+        .select("category_id", "session_id", "click_count")
+    w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id"))
+    return clicks.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).drop("rn")
+
+
 def category_click_counts(actions: DataFrame) -> DataFrame:
     return actions.filter(F.col("click_category_id").isNotNull()) \
         .groupBy(F.col("click_category_id").alias("category_id")) \

@@ -47,16 +47,17 @@ def run_session_job(actions: DataFrame, users: DataFrame, products: DataFrame,
         sink("session_detail", tag_run(
             actions.join(extract.select("session_id"), "session_id", "left_semi"), taskid))
         extract.unpersist()
-        kept_actions = sessions.filtered_actions(actions, kept)
-        counts = categories.category_funnel_counts(kept_actions) \
+        # Per-(session, category) counts cross the join to the kept sessions.
+        per_session = sessions.filtered_actions(categories.session_category_counts(actions), kept) \
             .persist(StorageLevel.MEMORY_AND_DISK)
+        counts = categories.funnel_from_session_counts(per_session)
         top = categories.top_categories(counts, top_n)
         sink("top10_category", tag_run(top, taskid))
         sink("top10_product", tag_run(
             categories.top_products_universe(products, counts, top_n), taskid))
         sink("top10_session", tag_run(
-            categories.top_sessions_per_category(kept_actions, top, top_n), taskid))
-        counts.unpersist()
+            categories.top_sessions_from_session_counts(per_session, top, top_n), taskid))
+        per_session.unpersist()
     finally:
         kept.unpersist()
     return taskid

@@ -300,6 +300,7 @@ SELECT DISTINCT category_id FROM (
   SELECT unnest(pay_category_ids) FROM fa
    WHERE click_category_id IS NULL AND order_category_ids IS NULL AND pay_category_ids IS NOT NULL)"""
 ORACLE["category_funnel_counts"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM funnel"
+ORACLE["category_funnel_counts_rows"] = ORACLE["category_funnel_counts"]
 ORACLE["top10_categories"] = f"WITH {sessions_ctes()}, {COUNT_CTES} SELECT * FROM top10"
 ORACLE["top10_products_universe"] = f"""
 WITH {sessions_ctes()}, {COUNT_CTES}

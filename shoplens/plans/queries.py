@@ -90,6 +90,13 @@ def kept_actions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
     return sessions.filtered_actions(m.actions(params), filtered_sessions(m, params))
 
 
+def kept_session_counts(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
+    """Per-(session, category) counts of the kept sessions (counts, not
+    actions, cross the join to the filtered sessions)."""
+    counts = categories.session_category_counts(m.actions(params))
+    return sessions.filtered_actions(counts, filtered_sessions(m, params))
+
+
 @query("scan_actions_range")
 def q_scan_actions_range(m: Model) -> DataFrame:
     acts = sessions.scan_actions(m.actions(None), *SCAN_RANGE)
@@ -215,25 +222,32 @@ def q_category_universe_first(m: Model) -> DataFrame:
 
 @query("category_funnel_counts")
 def q_category_funnel_counts(m: Model) -> DataFrame:
+    return categories.funnel_from_session_counts(kept_session_counts(m))
+
+
+@query("category_funnel_counts_rows")
+def q_category_funnel_counts_rows(m: Model) -> DataFrame:
+    """The same counts straight from the kept actions (row-level path)."""
     return categories.category_funnel_counts(kept_actions(m))
 
 
 @query("top10_categories")
 def q_top10_categories(m: Model) -> DataFrame:
-    return categories.top_categories(categories.category_funnel_counts(kept_actions(m)), 10)
+    counts = categories.funnel_from_session_counts(kept_session_counts(m))
+    return categories.top_categories(counts, 10)
 
 
 @query("top10_products_universe")
 def q_top10_products_universe(m: Model) -> DataFrame:
-    counts = categories.category_funnel_counts(kept_actions(m))
+    counts = categories.funnel_from_session_counts(kept_session_counts(m))
     return categories.top_products_universe(m.products(), counts, 10)
 
 
 @query("top10_active_sessions")
 def q_top10_active_sessions(m: Model) -> DataFrame:
-    acts = kept_actions(m)
-    top = categories.top_categories(categories.category_funnel_counts(acts), 10)
-    return categories.top_sessions_per_category(acts, top, 10)
+    sc = kept_session_counts(m)
+    top = categories.top_categories(categories.funnel_from_session_counts(sc), 10)
+    return categories.top_sessions_from_session_counts(sc, top, 10)
 
 
 # --- C: ad clicks, batch definitions ----------------------------------------

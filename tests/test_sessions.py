@@ -176,3 +176,26 @@ def test_filtered_actions_semi_join(spark):
     kept = acts.filter(F.col("session_id") == "a").select("session_id").distinct()
     assert sessions.filtered_actions(acts, kept).count() == 2
     assert dt.date(2024, 3, 1) == acts.first().date
+
+
+def test_session_count_path_equals_row_path(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for i in range(400):
+        c = rnd.randrange(12)
+        kind = rnd.choice(["click", "click", "order", "pay", "mixed"])
+        rows.append(action(f"s{rnd.randrange(15)}", seconds=i,
+                           click=c if kind in ("click", "mixed") else None,
+                           orders=[c, (c + 1) % 12] if kind in ("order", "mixed") else None,
+                           pays=[c] if kind == "pay" else None))
+    acts = actions_df(spark, rows)
+    sc = categories.session_category_counts(acts)
+    for universe in ("all", "first_action"):
+        a = sorted(tuple(r) for r in categories.funnel_from_session_counts(sc, universe).collect())
+        b = sorted(tuple(r) for r in categories.category_funnel_counts(acts, universe).collect())
+        assert a == b, universe
+    top = categories.top_categories(categories.category_funnel_counts(acts), 5)
+    a = sorted(tuple(r) for r in categories.top_sessions_from_session_counts(sc, top, 3).collect())
+    b = sorted(tuple(r) for r in categories.top_sessions_per_category(acts, top, 3).collect())
+    assert a == b
