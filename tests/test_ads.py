@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from shoplens.operators import ads
 from shoplens.schemas import AD_LOG
 from shoplens.sources import adlog
@@ -91,7 +89,6 @@ def test_sliding_counts_match_naive(spark):
             key = (ws.strftime("%Y-%m-%d %H:%M"), a)
             want[key] = want.get(key, 0) + 1
     assert got == want
-    assert F is not None
 
 
 def test_preaggregated_hot_user_counts(spark):
@@ -107,3 +104,12 @@ def test_preaggregated_hot_user_counts(spark):
             sorted(tuple(r) for r in fn(row_level).collect())
     assert sorted(tuple(r) for r in ads.minute_counts(pre).drop("minute_start").collect()) == \
         sorted(tuple(r) for r in ads.minute_counts(row_level).drop("minute_start").collect())
+
+
+def test_day_change_at_midnight_utc(spark):
+    rows = [(11 * 3600 + 59 * 60 + 59, "P", "C", 1, 1), (12 * 3600, "P", "C", 1, 1)]
+    # T0 is 12:00 UTC, so offsets 11:59:59 and 12:00:00 land at 23:59:59 and 00:00:00
+    got = {(r.date, r.click_count) for r in ads.clicks_by_city_ad_day(log_df(spark, rows)).collect()}
+    assert got == {("20240101", 1), ("20240102", 1)}
+    m = {(r.date, r.hour, r.minute) for r in ads.minute_counts(log_df(spark, rows)).collect()}
+    assert m == {("20240101", "23", "59"), ("20240102", "00", "00")}

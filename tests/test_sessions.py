@@ -175,7 +175,7 @@ def test_filtered_actions_semi_join(spark):
     acts = actions_df(spark, [action("a"), action("a", seconds=1), action("b")])
     kept = acts.filter(F.col("session_id") == "a").select("session_id").distinct()
     assert sessions.filtered_actions(acts, kept).count() == 2
-    assert dt.date(2024, 3, 1) == acts.first().date
+    assert acts.first().date == dt.date(2024, 3, 1)
 
 
 def test_session_count_path_equals_row_path(spark):
