@@ -178,8 +178,14 @@ class RunningTable:
             deltas = deltas.filter(newer)
         return base.withColumnRenamed("upto", "batch_id").unionByName(deltas)
 
-    def read(self, before_batch: int | None = None, dates=None) -> DataFrame:
+    def read(self, before_batch: int | None = None, dates=None,
+             only: DataFrame | None = None) -> DataFrame:
+        """Current value. ``only`` (a frame of key columns) restricts the
+        merge to those keys: raw rows are semi-joined to it first, so a
+        batch that touches few keys does not re-merge a whole day."""
         df = self.raw(before_batch, dates)
+        if only is not None:
+            df = df.join(only.distinct(), list(only.columns), "left_semi")
         if self.mode == "add":
             return df.groupBy(*self.keys).agg(
                 *[F.sum(v).cast("bigint").alias(v) for v in self.values])

@@ -116,7 +116,8 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
 
         # 1. per-user totals; users over the threshold for a key of this batch
         counts = ads.clicks_by_user_ad_day(clean)
-        previous = tables.user_clicks.read(before_batch=batch_id, dates=dates)
+        previous = tables.user_clicks.read(before_batch=batch_id, dates=dates,
+                                           only=counts.select(*ads.USER_AD_KEYS))
         totals = ads.lookup_totals(counts, previous) \
             .withColumn("total", F.col("total") + F.col("click_count"))
         added = ads.over_threshold(totals, threshold).select("userid").distinct() \
@@ -129,8 +130,7 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
 
         # 3. top ads of every touched (date, province), over full current counts
         touched = city.select("date", "province").distinct()
-        current = tables.ad_stat.read(before_batch=batch_id + 1, dates=dates) \
-            .join(touched, ["date", "province"], "left_semi")
+        current = tables.ad_stat.read(before_batch=batch_id + 1, dates=dates, only=touched)
         top = ads.top_n_per_province(ads.clicks_by_province_ad_day(current), top_n)
         tables.province_top3.write_batch(top, batch_id)
 
