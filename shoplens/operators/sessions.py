@@ -133,6 +133,7 @@ def session_ratios(sessions: DataFrame) -> DataFrame:
 
 
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the kept sessions (a semi-join: session ids are unique on
-    the right, and only action columns are needed)."""
+    """Rows of the kept sessions: actions, or any per-session rows such as
+    per-(session, category) counts (a semi-join: session ids are unique on
+    the right, and only the left columns are needed)."""
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")

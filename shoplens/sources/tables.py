@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shoplens.schemas import INPUT_TABLES
 
@@ -38,13 +37,3 @@ class Tables:
             self._cache[name] = read_table(self.spark, self.base, name)
         return self._cache[name]
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count against a bound.
-
-    Meant for dimensions whose size does not grow with the facts (nations,
-    regions). Above the bound the hint is withheld and the planner (and AQE
-    at run time) chooses the join strategy from real sizes.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
