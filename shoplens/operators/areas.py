@@ -70,8 +70,8 @@ def area_top_products_from_orders(lineitem: DataFrame, orders: DataFrame, custom
     lines and (orderkey, nationkey) from orders joined to customers. Lines are
     then counted per (nation, part) with partial aggregation before the city
     names and areas of the small dimension (broadcast by the planner from its
-    size statistics) are attached, so the
-    strings never travel with the line rows.
+    size statistics) are attached, so the strings never travel with the line
+    rows.
     """
     order_city = orders.select("o_orderkey", "o_custkey") \
         .join(customer.select("c_custkey", "c_nationkey"),
