@@ -17,6 +17,38 @@ from pyspark.sql import types as T
 from shoplens.sources.adapters import literal_table
 
 
+def _chunked(actions: DataFrame, chunk: str, start_page: int | None = None) -> DataFrame:
+    """Actions with, per (session, time chunk): the successor inside the
+    chunk, the chunk's first and last page, and (optionally) how many of its
+    actions are on ``start_page``. All are columns of one window, so every
+    later branch reads the same shuffle of the actions."""
+    a = actions.select("session_id", "page_id", "action_time",
+                       F.date_trunc(chunk, "action_time").alias("chunk"))
+    w = Window.partitionBy("session_id", "chunk").orderBy("action_time", "page_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = [F.lead("page_id").over(w).alias("next_page_id"),
+            F.first("page_id").over(whole).alias("first_page"),
+            F.last("page_id").over(whole).alias("last_page")]
+    if start_page is not None:
+        cols.append(F.count_if(F.col("page_id") == start_page).over(whole).alias("n_start"))
+    return a.select("*", *cols)
+
+
+def _chunk_ends(led: DataFrame) -> DataFrame:
+    """One row per (session, chunk): its last action, which carries the
+    chunk's first and last page."""
+    return led.filter(F.col("next_page_id").isNull())
+
+
+def _moves(led: DataFrame, ends: DataFrame) -> DataFrame:
+    inner = led.filter(F.col("next_page_id").isNotNull()).select("page_id", "next_page_id")
+    w_chunks = Window.partitionBy("session_id").orderBy("chunk")
+    across = ends.withColumn("next_chunk_page", F.lead("first_page").over(w_chunks)) \
+        .filter(F.col("next_chunk_page").isNotNull()) \
+        .select(F.col("last_page").alias("page_id"), F.col("next_chunk_page").alias("next_page_id"))
+    return inner.unionByName(across)
+
+
 def page_steps(actions: DataFrame, chunk: str = "minute") -> DataFrame:
     """Every (page_id, next_page_id) move within a session.
 
@@ -24,23 +56,11 @@ def page_steps(actions: DataFrame, chunk: str = "minute") -> DataFrame:
     chunk come from ``lead`` over the chunk, moves across chunks from a
     ``lead`` over the per-chunk first/last pages. No window ever holds a
     whole session, so one huge session is spread over many tasks, and the
-    result is exactly that of a per-session ``lead``.
+    result is exactly that of a per-session ``lead``. Both parts read the
+    same shuffle of the actions.
     """
-    a = actions.select("session_id", "page_id", "action_time",
-                       F.date_trunc(chunk, "action_time").alias("chunk"))
-    order = F.struct("action_time", "page_id")
-    w_in = Window.partitionBy("session_id", "chunk").orderBy("action_time", "page_id")
-    inner = a.withColumn("next_page_id", F.lead("page_id").over(w_in)) \
-        .filter(F.col("next_page_id").isNotNull()) \
-        .select("page_id", "next_page_id")
-    ends = a.groupBy("session_id", "chunk").agg(
-        F.min_by("page_id", order).alias("first_page"),
-        F.max_by("page_id", order).alias("last_page"))
-    w_chunks = Window.partitionBy("session_id").orderBy("chunk")
-    across = ends.withColumn("next_page_id", F.lead("first_page").over(w_chunks)) \
-        .filter(F.col("next_page_id").isNotNull()) \
-        .select(F.col("last_page").alias("page_id"), "next_page_id")
-    return inner.unionByName(across)
+    led = _chunked(actions, chunk)
+    return _moves(led, _chunk_ends(led))
 
 
 def page_flow_conversion(spark: SparkSession, actions: DataFrame, flow) -> DataFrame:
@@ -49,12 +69,14 @@ def page_flow_conversion(spark: SparkSession, actions: DataFrame, flow) -> DataF
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pairs = [f"{a}_{b}" for a, b in zip(flow, flow[1:])]
-    steps = page_steps(actions) \
+    led = _chunked(actions, "minute", flow[0])
+    ends = _chunk_ends(led)
+    steps = _moves(led, ends) \
         .select(F.concat_ws("_", "page_id", "next_page_id").alias("step")) \
         .filter(F.col("step").isin(pairs)) \
         .groupBy("step").agg(F.count(F.lit(1)).alias("step_count"))
-    start = actions.filter(F.col("page_id") == flow[0]) \
-        .agg(F.count(F.lit(1)).alias("step_count")).withColumn("step", F.lit(str(flow[0])))
+    start = ends.agg(F.sum("n_start").cast("bigint").alias("step_count")) \
+        .withColumn("step", F.lit(str(flow[0])))
     # The flow itself is a parameter of a few entries: a literal table.
     wanted = literal_table(
         spark, list(enumerate([str(flow[0])] + pairs)),
