@@ -2,6 +2,9 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
+Set ``BENCH_EVENT_LOG`` to a folder to keep Spark's event log there (stage
+and task times without the UI).
+
 Each query is run once to warm up, then ``BENCH_RUNS`` times (default 3),
 fully materialised through the ``noop`` sink; the median is reported. The
 stream job is timed end to end (file stream, available-now trigger, all five
@@ -68,7 +71,11 @@ def main() -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 4))
+    conf = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        conf = {"spark.eventLog.enabled": "true",
+                "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 4), conf=conf)
     Model(spark, base)  # pins the UTC session zone
     results = {}
     for label, name in HEADLINE.items():
