@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import packing
+from shoplens.llm import huffman, packing
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(fn):
 @query
 def op1_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_digest(read_table(spark, base, "documents"))
+
+
+@query
+def op2_token_file(spark: SparkSession, base: str) -> DataFrame:
+    return huffman.round_trip_digest(read_table(spark, base, "documents"))
