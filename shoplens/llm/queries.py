@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import huffman, packing
+from shoplens.llm import huffman, packing, url_filter
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op1_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op2_token_file(spark: SparkSession, base: str) -> DataFrame:
     return huffman.round_trip_digest(read_table(spark, base, "documents"))
+
+
+@query
+def op3_url_filter(spark: SparkSession, base: str) -> DataFrame:
+    return url_filter.filter_urls(read_table(spark, base, "pages"))
