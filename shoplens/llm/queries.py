@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import huffman, packing, url_filter
+from shoplens.llm import huffman, packing, quality, url_filter
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op2_token_file(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op3_url_filter(spark: SparkSession, base: str) -> DataFrame:
     return url_filter.filter_urls(read_table(spark, base, "pages"))
+
+
+@query
+def op5_quality_outliers(spark: SparkSession, base: str) -> DataFrame:
+    return quality.judge(read_table(spark, base, "documents"))
