@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import huffman, packing, quality, toxicity, url_filter
+from shoplens.llm import huffman, packing, quality, toxicity, trie_join, url_filter
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,8 @@ def op5_quality_outliers(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op6_toxic_spans(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.judge(read_table(spark, base, "documents"), read_table(spark, base, "labels"))
+
+
+@query
+def op7_trie_join(spark: SparkSession, base: str) -> DataFrame:
+    return trie_join.join_documents(read_table(spark, base, "documents"))

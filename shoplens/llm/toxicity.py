@@ -22,6 +22,7 @@ separately; input columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -38,8 +39,8 @@ from shoplens.llm.common import split_words, text_runs
 SAMPLE = 4000       # labelled documents of each kind that fitting reads
 MAX_FEATURES = 5000
 PREFIXES = (4, 5, 6, 7)
-MIN_DOCS = 4        # toxic documents that a feature must occur in
-MIN_RATIO = 8.0     # times the share of clean documents
+MIN_RATIO = 8.0     # times the share of clean documents that a feature must have of toxic ones
+MIN_EVIDENCE = 25.0  # its log-likelihood ratio against independence of the label
 WINDOW = 256        # words of a training sequence
 SPAN = 0.5
 EDGES = re.compile(r"^\W+|\W+$")
@@ -154,6 +155,15 @@ def distinct_texts(texts: list[str]) -> list[list[str]]:
     return out
 
 
+def tells(toxic: int, clean: int, share: float) -> bool:
+    """Does a feature of so many toxic and clean documents speak for toxicity?"""
+    if (toxic + 0.5) * (1 - share) < MIN_RATIO * (clean + 0.5) * share:
+        return False
+    n = toxic + clean
+    evidence = toxic * math.log(toxic / (n * share)) + (clean and clean * math.log(clean / (n * (1 - share))))
+    return 2 * evidence >= MIN_EVIDENCE
+
+
 def fit(toxic_texts: list[str], clean_texts: list[str], rounds: int = 60) -> Field:
     """Label tokens by feature ratios, then fit the field to them."""
     toxic, clean = distinct_texts(toxic_texts), distinct_texts(clean_texts)
@@ -168,9 +178,8 @@ def fit(toxic_texts: list[str], clean_texts: list[str], rounds: int = 60) -> Fie
 
     in_toxic, in_clean = (Counter(f for words in group for f in {f for w in set(words) for f in of(w)})
                           for group in (toxic, clean))
-    ratio = {f: ((n + 0.5) / (len(toxic) + 1)) / ((in_clean[f] + 0.5) / (len(clean) + 1))
-             for f, n in in_toxic.items() if n >= MIN_DOCS}
-    chosen = sorted((f for f, r in ratio.items() if r >= MIN_RATIO),
+    share = len(toxic) / (len(toxic) + len(clean))
+    chosen = sorted((f for f, n in in_toxic.items() if tells(n, in_clean[f], share)),
                     key=lambda f: (-in_toxic[f], f))[:MAX_FEATURES]
     if not chosen:
         return Field()
