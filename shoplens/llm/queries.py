@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import huffman, packing, quality, toxicity, trie_join, url_filter
+from shoplens.llm import byte_bpe, huffman, packing, quality, token_count, toxicity, trie_join, url_filter
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,13 @@ def op6_toxic_spans(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op7_trie_join(spark: SparkSession, base: str) -> DataFrame:
     return trie_join.join_documents(read_table(spark, base, "documents"))
+
+
+@query
+def op8_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    return token_count.count_tokens(read_table(spark, base, "documents"))
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
+    return byte_bpe.round_trip_digest(read_table(spark, base, "documents"))
