@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.session import scratch_path
@@ -55,11 +55,12 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     before = digest(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
+        # written first, so that both sides of the join are shuffled and a hot node can be split
+        low = materialise(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), f"{name}-low")
         large = (both.join(low, "u").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = materialise(large, f"{name}-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-low")
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("p")).select("p.*")
@@ -72,6 +73,17 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
 
+def small_side(df: DataFrame, weight: Column, limit: int = 4_000_000) -> DataFrame:
+    """``df``, written and counted, with a broadcast hint if its weights sum to ``limit`` at most.
+
+    The other side of the join, as a rule whole texts, then need not move;
+    beyond the limit Spark shuffles both sides as usual.
+    """
+    df = materialise(df, "small-side")
+    total = df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
+
+
 def text_runs(column, limit: int = SLICE_BYTES) -> Iterator:
     """(first row, Arrow string array) runs of about ``limit`` bytes; null reads as empty."""
     import numpy as np

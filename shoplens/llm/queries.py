@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import byte_bpe, huffman, packing, quality, token_count, toxicity, trie_join, url_filter
+from shoplens.llm import (byte_bpe, huffman, line_dedup, packing, quality, rp_forest, token_count,
+                          toxicity, trie_join, url_filter)
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,13 @@ def op8_token_counts(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op10_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
     return byte_bpe.round_trip_digest(read_table(spark, base, "documents"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return line_dedup.dedup_report(read_table(spark, base, "documents"))
+
+
+@query
+def op4_embedding_forest(spark: SparkSession, base: str) -> DataFrame:
+    return rp_forest.near_duplicates(read_table(spark, base, "embeddings"))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import components, materialise, split_words, text_runs
+from shoplens.llm.common import components, materialise, small_side, split_words, text_runs
 
 WORDS = 5
 NUM, DEN = 3, 4     # similarity of 0.75
@@ -289,7 +289,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, members: DataFrame, pairs: DataFrame, order: Order) -> DataFrame:
     """cid and shingles in global order of the classes that occur in ``pairs``."""
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    ids = members.join(wanted, "cid").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
+    ids = small_side(members.join(wanted, "cid").groupBy("cid").agg(F.min("doc_id").alias("doc_id")), F.lit(2))
     schema = "cid long, shingles binary"
 
     def run(batches: Iterator) -> Iterator:
@@ -328,8 +328,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     placed = shared.join(settled.withColumnRenamed("id", "cid"), "cid", "left").select(
         "token", "cid", "n", F.coalesce("component", "cid").alias("component"))
     placed = materialise(placed, "trie-placed")
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo != hi").select("token")
+    mixed = materialise(placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                        .where("lo != hi").select("token"), "trie-mixed")
     open_rows = placed.join(mixed, "token")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cid") < F.col("y.cid"))
@@ -346,6 +346,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
     rows = materialise(table.join(settled.withColumnRenamed("id", "cid"), "cid", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "cid").alias("_root")), "trie-rooted")
-    least = rows.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("component_id"))
+    least = materialise(rows.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("component_id")),
+                        "trie-least")
     return rows.join(least, "_root", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
