@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept, and returns a DataFrame that is written as Parquet and read again as the
-next one's docs. All but the last return the columns of documents.
+next one's docs. All but the last return the columns of documents. Decisions
+are by doc_id, null included: rows that share one stay if any of them is to
+stay.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import line_dedup, packing, quality, toxicity, trie_join
-from shoplens.llm.common import materialise, read_table, small_side
+from shoplens.llm.common import fresh, materialise, read_table, small_side
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is in ``kept``; texts move only if the ids are many."""
-    ids = small_side(kept.select("doc_id").distinct(), F.lit(2))
-    return docs.join(ids, "doc_id", "left_semi")
+    name = fresh(docs, "_kept")
+    ids = small_side(kept.select(F.col("doc_id").alias(name)).distinct(), F.lit(2))
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +36,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one holds; those left empty go."""
-    out = line_dedup.dedup_lines(docs)
-    return (out.where((F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out, _, removed = line_dedup.dedup_lines(docs)
+    return (out.where((F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
             .select(*docs.columns))
 
@@ -42,7 +45,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
     groups = trie_join.join_documents(docs)
-    return _only(docs, groups.where("doc_id = component_id"))
+    return _only(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,13 @@ def small_side(df: DataFrame, weight: Column, limit: int = 4_000_000) -> DataFra
     return F.broadcast(df) if total <= limit else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def text_runs(column, limit: int = SLICE_BYTES) -> Iterator:
     """(first row, Arrow string array) runs of about ``limit`` bytes; null reads as empty."""
     import numpy as np

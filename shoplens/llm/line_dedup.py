@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import materialise, small_side, split_words, text_runs
+from shoplens.llm.common import fresh, materialise, small_side, split_words, text_runs
 
 MIN_WORDS = 3
 NEAR_WORDS = 10
@@ -275,12 +275,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         .where(F.col("near") | ~F.struct("doc_id", "line").eqNullSafe(F.col("first"))).select("doc_id", "line")
 
 
-def strip_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with the lines (doc_id, line) of ``gone`` taken out of
-    text, and _lines and _removed, how many lines there were and went."""
-    lists = gone.groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))  # one text's lines
-    named = docs.join(small_side(lists, F.size("_gone") + 4), "doc_id", "left").select(*docs.columns, "_gone")
-    schema = T.StructType([*docs.schema, T.StructField("_lines", T.LongType()), T.StructField("_removed", T.LongType())])
+def strip_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str, str]:
+    """(rows, lines, removed): all columns of ``docs`` with the lines (doc_id, line)
+    of ``gone`` taken out of text, and the names of two more columns that say how
+    many lines there were and how many went."""
+    out, lines, removed = (fresh(docs, n) for n in ("_gone", "_lines", "_removed"))
+    lists = gone.groupBy("doc_id").agg(F.collect_set("line").alias(out))  # one text's lines
+    named = docs.join(small_side(lists, F.size(out) + 4), "doc_id", "left").select(*docs.columns, out)
+    schema = T.StructType([*docs.schema, T.StructField(lines, T.LongType()), T.StructField(removed, T.LongType())])
     at = docs.columns.index("text")
 
     def run(batches: Iterator) -> Iterator:
@@ -289,30 +291,29 @@ def strip_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, len(batch), 1000):
                 part = batch.slice(lo, 1000)
-                texts, lines, removed = [], [], []
-                for text, out in zip(part.column(at).to_pylist(), part.column(len(docs_columns)).to_pylist()):
+                texts, all_lines, went = [], [], []
+                for text, drop in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
                     split = (text or "").split("\n")
-                    out = set(out or ())
-                    kept = [x for i, x in enumerate(split) if i not in out] if out else split
-                    texts.append("\n".join(kept) if out else text)
-                    lines.append(len(split))
-                    removed.append(len(split) - len(kept))
+                    drop = set(drop or ())
+                    kept = [x for i, x in enumerate(split) if i not in drop] if drop else split
+                    texts.append("\n".join(kept) if drop else text)
+                    all_lines.append(len(split))
+                    went.append(len(split) - len(kept))
                 columns = part.columns[:-1]
                 columns[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(all_lines, pa.int64()), pa.array(went, pa.int64())],
                                                  names=schema.names)
 
-    docs_columns = docs.columns
-    return named.mapInArrow(run, schema)
+    return named.mapInArrow(run, schema), lines, removed
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, with the repeated lines taken out of text, and _lines and _removed."""
+def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """(rows, lines, removed) as ``strip_lines`` gives them, without the repeated lines."""
     return strip_lines(docs, materialise(repeated_lines(docs), "line-gone"))
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that stays, for every row."""
-    return dedup_lines(docs.select("doc_id", "text")).select(
-        "doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"),
-        F.col("text").alias("kept_text"))
+    rows, lines, removed = dedup_lines(docs.select("doc_id", "text"))
+    return rows.select("doc_id", F.col(lines).alias("n_lines"), F.col(removed).alias("n_removed"),
+                       F.col("text").alias("kept_text"))
