@@ -7,20 +7,62 @@ and operators together.
 
 from __future__ import annotations
 
-from shoplens.params import TaskParams
-from shoplens.plans.model import DEFAULT_PARAMS
-from shoplens.sources.adapters import CITY_AREA_ROWS
-from shoplens.functions.expr import AREA_LEVELS
+from dataclasses import dataclass
 
 ORACLE: dict[str, str] = {}
 
 
-def _date_filter(p: TaskParams) -> str:
+@dataclass(frozen=True)
+class Task:
+    """The registered tasks, written out here on their own."""
+    start_date: str = "2024-01-01"
+    end_date: str = "2024-01-30"
+    ages: tuple[int, int] | None = None
+    professionals: tuple[str, ...] = ()
+    cities: tuple[str, ...] = ()
+    sex: str | None = None
+    keywords: tuple[str, ...] = ()
+    category_ids: tuple[int, ...] = ()
+
+
+DEFAULT_PARAMS = Task(ages=(20, 50))
+WIDE_PARAMS = Task(ages=(25, 55), professionals=("BUILDING", "MACHINERY", "HOUSEHOLD"), sex="female",
+                   keywords=("kw0", "kw1", "kw3", "kw5", "kw7", "kw9"))
+CATEGORY_PARAMS = Task(
+    cities=("NATION_0", "NATION_2", "NATION_4", "NATION_6", "NATION_8", "NATION_10", "NATION_12",
+            "NATION_14", "NATION_16", "NATION_18", "NATION_20", "NATION_22", "NATION_24"),
+    category_ids=tuple(i for i in range(100) if i % 2 == 0))
+SAMPLE_TOTAL = 1000
+SAMPLE_SEED = "shoplens"
+BLACKLIST_THRESHOLD = 1
+PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
+
+# Cities, area levels, and the bucket bounds of visit length
+# (seconds) and step length (actions).
+CITY_AREA_ROWS = [
+    (0, "北京", "华北"), (1, "上海", "华东"), (2, "南京", "华东"),
+    (3, "广州", "华南"), (4, "三亚", "华南"), (5, "武汉", "华中"),
+    (6, "长沙", "华中"), (7, "西安", "西北"), (8, "成都", "西南"),
+    (9, "哈尔滨", "东北"),
+]
+AREA_LEVELS = {"华北": "A_Level", "华东": "A_Level", "华中": "B_Level", "华南": "B_Level",
+               "西南": "C_Level", "西北": "C_Level"}
+REGION_LEVELS = {"AMERICA": "A_Level", "EUROPE": "A_Level", "ASIA": "B_Level", "MIDDLE EAST": "C_Level"}
+VISIT_BUCKETS = (
+    ("visit_length_1s_3s", 1, 3), ("visit_length_4s_6s", 4, 6), ("visit_length_7s_9s", 7, 9),
+    ("visit_length_10s_30s", 10, 30), ("visit_length_30s_60s", 31, 60), ("visit_length_1m_3m", 61, 180),
+    ("visit_length_3m_10m", 181, 600), ("visit_length_10m_30m", 601, 1800), ("visit_length_30m", 1801, None))
+STEP_BUCKETS = (
+    ("step_length_1_3", 1, 3), ("step_length_4_6", 4, 6), ("step_length_7_9", 7, 9),
+    ("step_length_10_30", 10, 30), ("step_length_30_60", 31, 60), ("step_length_60", 61, None))
+
+
+def _date_filter(p: Task) -> str:
     return (f"ts >= DATE '{p.start_date}' "
             f"AND ts < DATE '{p.end_date}' + INTERVAL 1 DAY")
 
 
-def uva_cte(p: TaskParams | None = DEFAULT_PARAMS) -> str:
+def uva_cte(p: Task | None = DEFAULT_PARAMS) -> str:
     where = f"WHERE {_date_filter(p)}" if p else ""
     return f"""
 ev AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events {where}),
@@ -89,18 +131,14 @@ FROM ranked WHERE rn <= 3"""
 
 # --- A: session analysis ---------------------------------------------------
 
-from shoplens.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS  # noqa: E402
-from shoplens.plans.model import CATEGORY_PARAMS, SAMPLE_SEED, SAMPLE_TOTAL, WIDE_PARAMS  # noqa: E402
-
-
 def _q(vals) -> str:
     return ", ".join(f"'{v}'" for v in vals)
 
 
-def where_sql(p: TaskParams) -> str:
+def where_sql(p: Task) -> str:
     conds = []
-    if p.start_age is not None and p.end_age is not None:
-        conds.append(f"age BETWEEN {p.start_age} AND {p.end_age}")
+    if p.ages:
+        conds.append(f"age BETWEEN {p.ages[0]} AND {p.ages[1]}")
     if p.professionals:
         conds.append(f"professional IN ({_q(p.professionals)})")
     if p.cities:
@@ -133,7 +171,7 @@ SESS_CTE = """sess AS (
   FROM uva GROUP BY session_id)"""
 
 
-def sessions_ctes(p: TaskParams = DEFAULT_PARAMS) -> str:
+def sessions_ctes(p: Task = DEFAULT_PARAMS) -> str:
     return f"""{uva_cte(p)}, {USERS_CTE}, {SESS_CTE},
 enr AS (SELECT s.*, u.age, u.professional, u.city, u.sex FROM sess s JOIN users u USING (user_id)),
 filt AS (SELECT * FROM enr WHERE {where_sql(p)}),
@@ -217,7 +255,7 @@ SELECT count(*) AS session_count,
 FROM filt"""
 
 
-def _stats(p: TaskParams) -> str:
+def _stats(p: Task) -> str:
     return f"""
 WITH {sessions_ctes(p)},
 c AS (SELECT count(*) AS session_count,
@@ -337,8 +375,6 @@ pcnt AS (SELECT date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_
 mcnt AS (SELECT date_trunc('minute', ts) AS minute_start, adid, count(*) AS click_count
          FROM log GROUP BY 1, 2)"""
 
-from shoplens.plans.model import BLACKLIST_THRESHOLD  # noqa: E402
-
 LOG = LOG_CTES.format(threshold=BLACKLIST_THRESHOLD)
 
 ORACLE["ad_log_parsed"] = f"""
@@ -397,9 +433,7 @@ ORACLE["stream_sliding_hour_counts"] = ORACLE["hourly_sliding_clicks"]
 
 # --- page flow, area ranking over order lines --------------------------------
 
-from shoplens.plans.model import REGION_LEVELS  # noqa: E402
-
-_FLOW = DEFAULT_PARAMS.target_page_flow
+_FLOW = PAGE_FLOW
 _PAIRS = [f"{a}_{b}" for a, b in zip(_FLOW, _FLOW[1:])]
 _WANTED = ", ".join(f"({i}, '{s}')" for i, s in enumerate([str(_FLOW[0])] + _PAIRS))
 
@@ -476,7 +510,7 @@ ORACLE["string_exprs"] = f"""
 WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
 SELECT event_id, k,
        coalesce(CASE WHEN event_type = 'view' THEN k END, '') = '' AS k_empty_unless_view,
-       lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') AS padded,
+       CASE WHEN event_id % 200 BETWEEN 10 AND 99 THEN '' ELSE '0' END || CAST(event_id % 200 AS VARCHAR) AS padded,
        CAST(user_id AS VARCHAR) || ':' || event_type AS user_type,
        CAST(CAST(k AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(k AS BIGINT) AS VARCHAR) || ','
          || CAST(event_id % 7 AS VARCHAR) AS ids_roundtrip,
@@ -486,9 +520,9 @@ SELECT event_id, k,
 FROM e"""
 
 ORACLE["group_concat_users_by_type"] = """
-SELECT strftime(ts, '%Y-%m-%d') AS date, event_type,
+SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, user_id // 1000 AS user_range,
        string_agg(DISTINCT CAST(user_id AS VARCHAR), ',' ORDER BY CAST(user_id AS VARCHAR)) AS users
-FROM events GROUP BY 1, 2"""
+FROM events GROUP BY 1, 2, 3"""
 
 
 # --- sinks -----------------------------------------------------------------------
@@ -529,3 +563,44 @@ SELECT date, province, adid, CAST(c AS BIGINT) FROM t2"""
 ORACLE["upsert_add_inline"] = ORACLE["upsert_add"]
 ORACLE["upsert_set_inline"] = ORACLE["upsert_set"]
 ORACLE["replace_groups_inline"] = ORACLE["replace_groups"]
+
+# --- native tables, sinks, task JSON: the same statements ------------------------
+
+ORACLE["native_session_stats"] = ORACLE["session_stats"]
+ORACLE["native_top10_categories"] = ORACLE["top10_categories"]
+ORACLE["native_area_top3_products"] = ORACLE["area_top3_products"]
+ORACLE["native_filtered_actions"] = ORACLE["filtered_actions"]
+ORACLE["session_stats_from_json"] = f"""
+WITH s AS ({ORACLE["session_stats"]}) SELECT *, 'run-1' AS taskid FROM s"""
+ORACLE["replaced_table"] = ORACLE["clicks_by_city_ad_day"]
+
+# --- three micro-batches of the ad stream, restarted between them -----------------
+# Days up to the 9th, the 10th to the 19th, and from the 20th on: no key spans
+# two batches, so a batch blocks whom its own clean clicks put over the threshold.
+
+BATCHES = f"""{LOG},
+l1 AS (SELECT * FROM log WHERE ts < TIMESTAMP '2024-01-10'),
+x1 AS (SELECT DISTINCT userid FROM (SELECT userid, count(*) AS c FROM l1
+       GROUP BY strftime(ts, '%Y%m%d'), userid, adid) WHERE c > 1),
+l2 AS (SELECT * FROM log WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+       AND userid NOT IN (SELECT userid FROM x1)),
+x2 AS (SELECT DISTINCT userid FROM (SELECT userid, count(*) AS c FROM l2
+       GROUP BY strftime(ts, '%Y%m%d'), userid, adid) WHERE c > 1),
+l3 AS (SELECT * FROM log WHERE ts >= TIMESTAMP '2024-01-20'
+       AND userid NOT IN (SELECT userid FROM x1) AND userid NOT IN (SELECT userid FROM x2)),
+x3 AS (SELECT DISTINCT userid FROM (SELECT userid, count(*) AS c FROM l3
+       GROUP BY strftime(ts, '%Y%m%d'), userid, adid) WHERE c > 1),
+cleaned AS (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)"""
+ORACLE["stream_batches_blacklist"] = f"""
+WITH {BATCHES} SELECT userid FROM x1 UNION SELECT userid FROM x2 UNION SELECT userid FROM x3"""
+ORACLE["stream_batches_city_clicks"] = f"""
+WITH {BATCHES}
+SELECT strftime(ts, '%Y%m%d') AS date, province, city, adid, count(*) AS click_count
+FROM cleaned GROUP BY 1, 2, 3, 4"""
+ORACLE["stream_batches_province_top3"] = f"""
+WITH {BATCHES},
+p AS (SELECT strftime(ts, '%Y%m%d') AS date, province, adid, count(*) AS click_count
+      FROM cleaned GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn FROM p)
+SELECT date, province, adid, click_count FROM r WHERE rn <= 3"""
+ORACLE["stream_line_city_clicks"] = ORACLE["clicks_by_city_ad_day"]

@@ -100,7 +100,9 @@ def is_not_empty(c) -> Column:
 
 
 def pad2(c) -> Column:
-    return F.lpad(col_of(c).cast("string"), 2, "0")
+    """Two-character text as it is, any other with one "0" before it."""
+    text = col_of(c).cast("string")
+    return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
 
 
 # --- UDF-1, UDF-2, UDAF-1 and list helpers --------------------------------

@@ -30,15 +30,25 @@ def _count(log: DataFrame) -> Column:
     return c.alias("click_count")
 
 
-def preaggregate_clicks(clicks: DataFrame, geo: DataFrame) -> DataFrame:
-    """Collapse raw clicks (ts, userid, adid) to per-(minute, user, ad) counts
-    ``n`` (partial aggregation before the shuffle), then attach province and
-    city. A hot user reaches the join as at most one row per minute and ad.
+def minute_clicks(clicks: DataFrame) -> DataFrame:
+    """Collapse click rows to counts ``n`` per minute and their other columns
+    (partial aggregation before the shuffle; ``ts`` becomes the minute start).
     Every ad output is a count per day, minute, user, city or province, so
-    they are all exact on these rows (``ts`` becomes the minute start)."""
-    per_minute = clicks.groupBy(F.date_trunc("minute", "ts").alias("ts"), "userid", "adid") \
+    they are all exact on these rows."""
+    rest = [c for c in ("province", "city", "userid", "adid") if c in clicks.columns]
+    return clicks.groupBy(F.date_trunc("minute", "ts").alias("ts"), *rest) \
         .agg(F.count(F.lit(1)).alias("n"))
-    return per_minute.join(geo, "userid").select("ts", "province", "city", "userid", "adid", "n")
+
+
+def attach_geo(counts: DataFrame, geo: DataFrame) -> DataFrame:
+    """Province and city of each user, joined to minute counts."""
+    return counts.join(geo, "userid").select("ts", "province", "city", "userid", "adid", "n")
+
+
+def preaggregate_clicks(clicks: DataFrame, geo: DataFrame) -> DataFrame:
+    """Raw clicks (ts, userid, adid) as minute counts with province and city.
+    A hot user reaches the join as at most one row per minute and ad."""
+    return attach_geo(minute_clicks(clicks), geo)
 
 
 def clicks_by_user_ad_day(log: DataFrame) -> DataFrame:
@@ -82,23 +92,32 @@ def minute_counts(log: DataFrame) -> DataFrame:
         "adid", "click_count", "minute_start")
 
 
-def last_hour(minute_df: DataFrame, now: Column, minutes: int = 60) -> DataFrame:
-    """Minutes within the ``minutes`` minutes ending at ``now``'s minute."""
-    lo = F.date_trunc("minute", now) - F.make_interval(mins=F.lit(minutes - 1))
-    return minute_df.filter(F.col("minute_start") >= lo)
-
-
 def last_hour_trend(log: DataFrame, minutes: int = 60, now=None) -> DataFrame:
-    """Minute trend of the last hour. ``now`` defaults to the latest event
-    time of the log (one scalar subquery). Rows are cut to the hour before
-    they are counted: the bound is minute-aligned, so ``ts >= bound`` is the
-    same as ``minute_start >= bound``; with a literal ``now`` it reaches the
-    parquet scan."""
-    now_col = log.select(F.max("ts")).scalar() if now is None else F.lit(now).cast("timestamp")
+    """Minute trend of the last hour. ``now`` is a time, or a scalar column
+    such as a subquery; it defaults to the latest event time of the log. The
+    bound is minute-aligned and set on the raw ``ts``, so with click rows it
+    reaches the scan and only the last hour is counted."""
+    if now is None:
+        now = log.select(F.max("ts")).scalar()
+    now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     lo = F.date_trunc("minute", now_col) - F.make_interval(mins=F.lit(minutes - 1))
     return minute_counts(log.filter(F.col("ts") >= lo))
 
 
+def sliding_from_minutes(minutes: DataFrame, duration: str = "60 minutes",
+                         slide: str = "1 minute") -> DataFrame:
+    """Sliding-window counts from a table of minute counts (date, hour,
+    minute, adid, click_count), such as the running minute table: only the
+    counts are replicated into windows, and state holds minutes alone."""
+    start = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
+    w = F.window("minute_start", duration, slide)
+    return minutes.withColumn("minute_start", start).groupBy(w.alias("w"), "adid") \
+        .agg(F.sum("click_count").cast("bigint").alias("click_count")) \
+        .select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("window_start"),
+                F.date_format("w.end", "yyyy-MM-dd HH:mm").alias("window_end"),
+                "adid", "click_count")
+
+
 def sliding_counts(log: DataFrame, duration: str = "60 minutes",
                    slide: str = "1 minute") -> DataFrame:
     """Clicks per ad over sliding windows (every window holding an event).
@@ -174,7 +193,9 @@ def blacklist_step(batch_log: DataFrame, blacklist: DataFrame, totals: DataFrame
     clean = drop_blacklisted(batch_log, blacklist)
     counts = clicks_by_user_ad_day(clean)
     new_totals = add_counts(totals, counts, USER_AD_KEYS)
-    checked = lookup_totals(counts, new_totals)
+    # without earlier totals the batch's counts are the totals
+    checked = counts.withColumn("total", F.col("click_count")) if totals is None \
+        else lookup_totals(counts, new_totals)
     added = over_threshold(checked, threshold).select("userid").distinct() \
         .join(blacklist.select("userid"), "userid", "left_anti")
     return clean, counts, new_totals, added

@@ -16,19 +16,26 @@ def city_clicks(actions: DataFrame) -> DataFrame:
         .select("city_id", F.col("click_product_id").alias("pid"))
 
 
+def city_click_counts(clicks: DataFrame) -> DataFrame:
+    """Clicks ``n`` per (city_id, pid), partially aggregated before the shuffle."""
+    return clicks.groupBy("city_id", "pid").agg(F.count(F.lit(1)).alias("n"))
+
+
 def area_basic_info(clicks: DataFrame, city_dim: DataFrame) -> DataFrame:
-    """Clicks joined to the (broadcast) city dimension."""
-    return clicks.join(city_dim, "city_id").select("city_id", "city_name", "area", "pid")
+    """Clicks, or counts ``n`` of them, joined to the (broadcast) city dimension."""
+    n = [c for c in ("n",) if c in clicks.columns]
+    return clicks.join(city_dim, "city_id").select("city_id", "city_name", "area", "pid", *n)
 
 
 def area_product_clicks(basic: DataFrame) -> DataFrame:
     """Clicks per (area, pid) and the sorted distinct ``city_id:city_name`` list.
 
-    Both aggregates are partial before the shuffle: a hot (area, pid) sends
-    one count and its few distinct cities per map task, never its rows.
+    Fed with :func:`city_click_counts`, only one row per city and product
+    meets the strings and the distinct list.
     """
+    count = F.sum("n").cast("bigint") if "n" in basic.columns else F.count(F.lit(1))
     return basic.groupBy("area", "pid").agg(
-        F.count(F.lit(1)).alias("click_count"),
+        count.alias("click_count"),
         group_concat_distinct(concat_long_string("city_id", "city_name", ":")).alias("city_infos"),
     )
 
@@ -56,7 +63,8 @@ def top_n_per_area(info: DataFrame, n: int = 3, levels: dict[str, str] | None =
 
 def area_top3_products(actions: DataFrame, products: DataFrame, city_dim: DataFrame,
                        n: int = 3, levels: dict[str, str] | None = None) -> DataFrame:
-    counts = area_product_clicks(area_basic_info(city_clicks(actions), city_dim))
+    per_city = city_click_counts(city_clicks(actions))
+    counts = area_product_clicks(area_basic_info(per_city, city_dim))
     return top_n_per_area(area_product_info(counts, products), n, levels)
 
 
@@ -80,9 +88,5 @@ def area_top_products_from_orders(lineitem: DataFrame, orders: DataFrame, custom
     per_city = lineitem.select("l_orderkey", F.col("l_partkey").alias("pid")) \
         .join(order_city, F.col("l_orderkey") == F.col("o_orderkey")) \
         .groupBy("city_id", "pid").agg(F.count(F.lit(1)).alias("n"))
-    named = per_city.join(city_dim, "city_id")
-    counts = named.groupBy("area", "pid").agg(
-        F.sum("n").cast("bigint").alias("click_count"),
-        group_concat_distinct(concat_long_string("city_id", "city_name", ":")).alias("city_infos"),
-    )
+    counts = area_product_clicks(area_basic_info(per_city, city_dim))
     return top_n_per_area(area_product_info(counts, products), n, levels)

@@ -82,7 +82,7 @@ def page_flow_conversion(spark: SparkSession, actions: DataFrame, flow) -> DataF
         spark, list(enumerate([str(flow[0])] + pairs)),
         T.StructType([T.StructField("step_index", T.IntegerType()),
                       T.StructField("step", T.StringType())]))
-    counted = F.broadcast(wanted).join(steps.unionByName(start), "step", "left") \
+    counted = wanted.join(steps.unionByName(start), "step", "left") \
         .withColumn("step_count", F.coalesce("step_count", F.lit(0).cast("bigint")))
     prev = F.lag("step_count").over(Window.orderBy("step_index"))
     rate = F.when(F.col("step_index") == 0, F.lit(1.0)) \

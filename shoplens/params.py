@@ -8,6 +8,7 @@ string both mean "no constraint".
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass, field
 
@@ -28,6 +29,11 @@ def _opt_int(value) -> int | None:
     return int(value)
 
 
+def _date(value: str) -> str:
+    """An ISO date; anything else raises before it can reach a statement."""
+    return dt.date.fromisoformat(value).isoformat()
+
+
 def _opt_str(value) -> str | None:
     if value is None or str(value).strip() == "":
         return None
@@ -56,8 +62,8 @@ class TaskParams:
         if start is None or end is None:
             raise ValueError("startDate and endDate are required")
         return cls(
-            start_date=start,
-            end_date=end,
+            start_date=_date(start),
+            end_date=_date(end),
             start_age=_opt_int(raw.get("startAge")),
             end_age=_opt_int(raw.get("endAge")),
             professionals=_csv(raw.get("professionals")),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from shoplens.operators import areas, categories, sampling, sessions
 from shoplens.params import TaskParams
-from shoplens.sinks.writers import append_parquet, tag_run
+from shoplens.sinks.writers import append_jdbc, append_parquet, tag_run
 
 Sink = Callable[[str, DataFrame], None]
 
@@ -27,6 +27,14 @@ def parquet_sink(root: str) -> Sink:
     return lambda name, df: append_parquet(df, f"{root.rstrip('/')}/{name}")
 
 
+def jdbc_sink(url: str, properties: dict[str, str] | None = None, prefix: str = "",
+              num_partitions: int | None = 16) -> Sink:
+    """Append each output to the database table ``<prefix><output name>``; at most
+    ``num_partitions`` connections at once."""
+    return lambda name, df: append_jdbc(df, url, f"{prefix}{name}", properties,
+                                        num_partitions=num_partitions)
+
+
 def run_session_job(actions: DataFrame, users: DataFrame, products: DataFrame,
                     params: TaskParams, sink: Sink, sample_total: int = 100,
                     seed: str | None = None, top_n: int = 10,

@@ -7,11 +7,13 @@ strings and times as strings, so they compare exactly with the SQL oracles.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.operators import areas
+from shoplens.params import TaskParams
 from shoplens.plans.model import Model
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +31,8 @@ def query(name: str):
 
 @query("area_product_clicks")
 def q_area_product_clicks(m: Model) -> DataFrame:
-    clicks = areas.city_clicks(m.actions())
-    return areas.area_product_clicks(areas.area_basic_info(clicks, m.city_dim()))
+    counts = areas.city_click_counts(areas.city_clicks(m.actions()))
+    return areas.area_product_clicks(areas.area_basic_info(counts, m.city_dim()))
 
 
 @query("area_product_info")
@@ -49,6 +51,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shoplens.functions.expr import format_date, format_time, ids_to_csv  # noqa: E402
 from shoplens.operators import categories, sampling, sessions  # noqa: E402
+from shoplens.sinks.writers import replace_table, staged, tag_run  # noqa: E402
 from shoplens.plans.model import (CATEGORY_PARAMS, DEFAULT_PARAMS, SAMPLE_SEED,  # noqa: E402
                                   SAMPLE_TOTAL, WIDE_PARAMS)
 
@@ -87,7 +90,11 @@ def filtered_sessions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
 
 
 def kept_actions(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
-    return sessions.filtered_actions(m.actions(params), filtered_sessions(m, params))
+    """Actions of the kept sessions. The session ids are staged first: read
+    back, they have an exchange of their own in the join, so AQE can split a
+    session that holds many of the actions."""
+    kept = staged(filtered_sessions(m, params).select("session_id"), "kept-sessions")
+    return sessions.filtered_actions(m.actions(params), kept)
 
 
 def kept_session_counts(m: Model, params=DEFAULT_PARAMS) -> DataFrame:
@@ -172,7 +179,9 @@ def q_hour_quotas(m: Model) -> DataFrame:
 
 
 def extracted(m: Model) -> DataFrame:
-    return sampling.stratified_extract(filtered_sessions(m), SAMPLE_TOTAL, SAMPLE_SEED)
+    # quotas and ranks read the same sessions: one scan of the actions
+    kept = staged(filtered_sessions(m), "extract-sessions")
+    return sampling.stratified_extract(kept, SAMPLE_TOTAL, SAMPLE_SEED)
 
 
 @query("session_extract")
@@ -195,29 +204,36 @@ def q_filtered_actions(m: Model) -> DataFrame:
     return render_actions(kept_actions(m))
 
 
+def _kind_counts(m: Model, kind: str) -> DataFrame:
+    """Clicks, orders or pays per category from per-session counts."""
+    return kept_session_counts(m).groupBy("category_id") \
+        .agg(F.sum(kind).cast("bigint").alias(kind)).filter(F.col(kind) > 0)
+
+
 @query("category_click_counts")
 def q_category_click_counts(m: Model) -> DataFrame:
-    return categories.category_click_counts(kept_actions(m))
+    return _kind_counts(m, "click_count")
 
 
 @query("category_order_counts")
 def q_category_order_counts(m: Model) -> DataFrame:
-    return categories.category_order_counts(kept_actions(m))
+    return _kind_counts(m, "order_count")
 
 
 @query("category_pay_counts")
 def q_category_pay_counts(m: Model) -> DataFrame:
-    return categories.category_pay_counts(kept_actions(m))
+    return _kind_counts(m, "pay_count")
 
 
 @query("category_universe")
 def q_category_universe(m: Model) -> DataFrame:
-    return categories.category_universe(kept_actions(m))
+    return categories.funnel_from_session_counts(kept_session_counts(m)).select("category_id")
 
 
 @query("category_universe_first_action")
 def q_category_universe_first(m: Model) -> DataFrame:
-    return categories.category_universe(kept_actions(m), "first_action")
+    counts = categories.funnel_from_session_counts(kept_session_counts(m), "first_action")
+    return counts.select("category_id")
 
 
 @query("category_funnel_counts")
@@ -245,7 +261,7 @@ def q_top10_products_universe(m: Model) -> DataFrame:
 
 @query("top10_active_sessions")
 def q_top10_active_sessions(m: Model) -> DataFrame:
-    sc = kept_session_counts(m)
+    sc = staged(kept_session_counts(m), "session-counts")
     top = categories.top_categories(categories.funnel_from_session_counts(sc), 10)
     return categories.top_sessions_from_session_counts(sc, top, 10)
 
@@ -254,7 +270,7 @@ def q_top10_active_sessions(m: Model) -> DataFrame:
 
 from shoplens.operators import ads  # noqa: E402
 from shoplens.plans.model import BLACKLIST_THRESHOLD  # noqa: E402
-from shoplens.sources import adlog  # noqa: E402
+from shoplens.sources import adapters, adlog, native  # noqa: E402
 from shoplens.sources.adapters import ad_log_lines  # noqa: E402
 
 
@@ -320,7 +336,10 @@ def q_minute_trend(m: Model) -> DataFrame:
 
 @query("last_hour_trend")
 def q_last_hour_trend(m: Model) -> DataFrame:
-    return ads.last_hour_trend(m.ad_counts()).drop("minute_start")
+    t = m.tables
+    users = adapters.user_geo(t.customer, t.nation, t.region).select("userid")
+    known = adapters.ad_clicks(t.events).join(users, "userid", "left_semi")
+    return ads.last_hour_trend(known).drop("minute_start")
 
 
 @query("hourly_sliding_clicks")
@@ -332,15 +351,16 @@ def q_hourly_sliding_clicks(m: Model) -> DataFrame:
 
 from shoplens.session import scratch_path  # noqa: E402
 from shoplens.streaming import ad_stream  # noqa: E402
-from shoplens.streaming.sources import events_ad_stream, events_click_stream  # noqa: E402
+from shoplens.streaming.sources import (events_ad_stream, events_click_stream,  # noqa: E402
+                                        parsed_line_stream)
 
-_PIPELINE_RUNS: dict[tuple[int, str], str] = {}
+_PIPELINE_RUNS: dict[tuple, str] = {}
 
 
 def pipeline_tables(m: Model) -> ad_stream.AdTables:
     """Run the full stream job once per (session, input folder) over the
     events file stream with an available-now trigger; return its tables."""
-    key = (id(m.spark), m.tables.base)
+    key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
     if key not in _PIPELINE_RUNS:
         root = scratch_path(m.spark, "ad-pipeline")
         tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
@@ -396,8 +416,10 @@ def q_stream_running_city_counts(m: Model) -> DataFrame:
 
 @query("stream_sliding_hour_counts")
 def q_stream_sliding_hour_counts(m: Model) -> DataFrame:
-    return _stateful(m, ad_stream.running_sliding_counts, ad_stream.SLIDING,
-                     ("window_start", "adid"), "running-sliding")
+    """State holds minute counts; the windows are made when they are read."""
+    minutes = _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,
+                        ads.MINUTE_AD_KEYS, "running-sliding")
+    return ads.sliding_from_minutes(minutes)
 
 
 @query("stream_running_minute_counts")
@@ -410,7 +432,6 @@ def q_stream_running_minute_counts(m: Model) -> DataFrame:
 
 from shoplens.operators import funnel  # noqa: E402
 from shoplens.plans.model import REGION_LEVELS  # noqa: E402
-from shoplens.sources import adapters  # noqa: E402
 
 
 @query("page_flow_conversion")
@@ -472,7 +493,7 @@ def q_string_exprs(m: Model) -> DataFrame:
         "event_id",
         k.alias("k"),
         X.is_empty(F.when(F.col("event_type") == "view", k)).alias("k_empty_unless_view"),
-        X.pad2(F.col("event_id") % 60).alias("padded"),
+        X.pad2(F.col("event_id") % 200).alias("padded"),
         X.concat_long_string("user_id", "event_type", ":").alias("user_type"),
         X.ids_to_csv(X.ids_from_csv(csv)).alias("ids_roundtrip"),
         X.round_half_up(F.col("value") / 3, 2).alias("third_value"),
@@ -483,8 +504,10 @@ def q_string_exprs(m: Model) -> DataFrame:
 
 @query("group_concat_users_by_type")
 def q_group_concat_users_by_type(m: Model) -> DataFrame:
+    """One list per range of a thousand user ids, so no list grows with the data."""
     ev = m.tables.events
-    return ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"), "event_type").agg(
+    return ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"), "event_type",
+                      F.floor(F.col("user_id") / 1000).alias("user_range")).agg(
         X.group_concat_distinct(F.col("user_id").cast("string")).alias("users"))
 
 
@@ -555,3 +578,110 @@ def q_replace_groups_inline(m: Model) -> DataFrame:
     t1, t2 = [ads.top_n_per_province(ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(b)), 3)
               for b in (b1, b2)]
     return ads.replace_groups(t1, t2, ("date", "province"))
+
+
+# --- native tables: the original's stored form, read back ------------------------
+
+def native_model(m: Model) -> native.NativeModel:
+    """The adapted tables stored as the original stores them, under the shared folder."""
+    folder = scratch_path(m.spark, "native")
+    native.store_actions(m.actions(None)).write.parquet(f"{folder}/user_visit_action")
+    m.users().write.parquet(f"{folder}/user_info")
+    m.products().write.parquet(f"{folder}/product_info")
+    return native.NativeModel(m.spark, folder)
+
+
+@query("native_session_stats")
+def q_native_session_stats(m: Model) -> DataFrame:
+    return sessions.session_ratios(filtered_sessions(native_model(m)))
+
+
+@query("native_top10_categories")
+def q_native_top10_categories(m: Model) -> DataFrame:
+    counts = categories.funnel_from_session_counts(kept_session_counts(native_model(m)))
+    return categories.top_categories(counts, 10)
+
+
+@query("native_filtered_actions")
+def q_native_filtered_actions(m: Model) -> DataFrame:
+    return render_actions(kept_actions(native_model(m)))
+
+
+@query("native_area_top3_products")
+def q_native_area_top3_products(m: Model) -> DataFrame:
+    n = native_model(m)
+    return areas.area_top3_products(n.actions(DEFAULT_PARAMS), n.products(), n.city_dim())
+
+
+# --- task JSON, run tag, replaced table --------------------------------------------
+
+TASK_JSON = """{"startDate": "2024-01-01", "endDate": "2024-01-30", "startAge": 20, "endAge": 50,
+                "professionals": "", "cities": "", "sex": "", "keywords": "", "categoryIds": ""}"""
+
+
+@query("session_stats_from_json")
+def q_session_stats_from_json(m: Model) -> DataFrame:
+    params = TaskParams.from_json(TASK_JSON)
+    return tag_run(sessions.session_ratios(filtered_sessions(m, params)), "run-1")
+
+
+@query("replaced_table")
+def q_replaced_table(m: Model) -> DataFrame:
+    """A catalog table written, then replaced by other rows and columns."""
+    name = f"shoplens_clicks_{uuid.uuid4().hex}"
+    replace_table(ads.province_counts(m.ad_counts()), name)
+    replace_table(ads.clicks_by_city_ad_day(m.ad_counts()), name)
+    return m.spark.table(name)
+
+
+# --- the ad stream in three micro-batches, restarted in between ----------------------
+
+BATCH_DAYS = ("2024-01-10", "2024-01-20")
+BATCHES_THRESHOLD = 1
+_BATCH_RUNS: dict[tuple, str] = {}
+
+
+def batched_tables(m: Model) -> ad_stream.AdTables:
+    """Events arrive in three parts; the job is started anew from its checkpoint
+    for each, so the blacklist and totals of one part meet the next."""
+    key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
+    if key not in _BATCH_RUNS:
+        root = scratch_path(m.spark, "ad-batches")
+        ts, (low, high) = F.col("ts"), [F.lit(d).cast("timestamp_ntz") for d in BATCH_DAYS]
+        t = m.tables
+        for part in (ts < low, (ts >= low) & (ts < high), ts >= high):
+            t.events.filter(part).write.mode("append").parquet(f"{root}/events")
+            clicks, geo = events_click_stream(m.spark, t.base, None, events_dir=f"{root}/events")
+            ad_stream.start_ad_pipeline(
+                clicks, ad_stream.AdTables.at(m.spark, f"{root}/tables"), f"{root}/checkpoint",
+                threshold=BATCHES_THRESHOLD, trigger={"availableNow": True}, geo=geo,
+                compact_every=2).awaitTermination()
+        _BATCH_RUNS[key] = root
+    return ad_stream.AdTables.at(m.spark, f"{_BATCH_RUNS[key]}/tables")
+
+
+@query("stream_batches_blacklist")
+def q_stream_batches_blacklist(m: Model) -> DataFrame:
+    return batched_tables(m).blacklist.read()
+
+
+@query("stream_batches_city_clicks")
+def q_stream_batches_city_clicks(m: Model) -> DataFrame:
+    return batched_tables(m).ad_stat.read()
+
+
+@query("stream_batches_province_top3")
+def q_stream_batches_province_top3(m: Model) -> DataFrame:
+    return batched_tables(m).province_top3.read()
+
+
+@query("stream_line_city_clicks")
+def q_stream_line_city_clicks(m: Model) -> DataFrame:
+    """Log lines from text files, as a Kafka topic's values would arrive."""
+    root = scratch_path(m.spark, "ad-lines")
+    ad_log_lines(m.ad_log()).write.text(f"{root}/lines")
+    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+    lines = parsed_line_stream(m.spark, "text", path=f"{root}/lines")
+    ad_stream.start_line_pipeline(lines, tables, f"{root}/checkpoint", threshold=10 ** 9,
+                                  trigger={"availableNow": True}).awaitTermination()
+    return tables.ad_stat.read()

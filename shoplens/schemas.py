@@ -48,7 +48,6 @@ AD_LOG = T.StructType([
     T.StructField("adid", T.LongType()),
 ])
 
-AD_LOG_LINE = T.StructType([T.StructField("value", T.StringType())])
 
 # Declared schemas of the input tables. Reading with a declared schema skips
 # footer sampling for inference (which on a large table touches many files

@@ -42,7 +42,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    shared_root(spark)
     return spark
 
 
@@ -52,19 +51,54 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Does one process hold the driver and all executors?"""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names storage every executor can reach; it is
-    only filled in here when unset, which happens in local runs and tests.
+    On a cluster the setting must name storage that every executor can reach;
+    without it this raises. Only a local session, as in tests, gets a
+    temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to storage that all executors share")
         root = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _storage(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _storage(spark, path)
+    fs.mkdirs(at)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what an existing folder holds; a missing folder is an error."""
+    fs, at = _storage(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _storage(spark, path)
+    return fs.exists(at)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, at = _storage(spark, path)
+    fs.delete(at, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/shoplens/{name}-{uuid.uuid4().hex}"

@@ -5,7 +5,7 @@ Layout under the table folder::
     deltas/batch_id=<n>/[date=.../]     what batch n contributed
     snapshots/upto=<n>/[date=.../]      merged state of batches 0..n (of the
                                         dates touched since the previous one)
-    manifest/                           (upto, date) per completed snapshot
+    manifest/upto=<n>/                  the (upto, date) pairs in force from n on
 
 Each micro-batch overwrites only its own ``batch_id=<n>`` folder, so a
 replayed batch replaces what its first attempt wrote and never counts twice
@@ -18,36 +18,38 @@ derived on read from the latest snapshot plus the deltas after it:
 * ``members`` - a set of keys (a batch adds members).
 
 Reads accept ``before_batch`` (state as of the start of a batch, so a replay
-sees exactly what its first attempt saw) and ``dates`` (partition pruning).
-:meth:`compact` bounds the read cost: without it a read touches every delta
-ever written (at 5 s batches, some 17,000 per day). For date-partitioned
-tables a compaction rewrites only the dates touched since the previous one
-(old days are not copied again), and a read takes, per date, that date's
-latest snapshot plus its later deltas. A snapshot only counts once its
-manifest rows are written, so a compaction that dies half way is ignored and
-simply redone. Superseded deltas and snapshots are never read
-again; deleting them is left to a retention job on the storage.
+sees exactly what its first attempt saw) and ``dates`` (partition pruning);
+they name the batch and snapshot folders they need. :meth:`compact` bounds
+both the read cost and the number of folders: for date-partitioned tables it
+rewrites only the dates touched since the previous snapshot, and once its
+manifest is committed it deletes what two later snapshots have superseded.
+The generation before the newest one stays, because a replay of the batch that
+compacted reads the state before it. A snapshot counts only with a committed
+manifest, so a compaction that dies half way is ignored and redone.
+
+The folders are made with the table. A missing or unreadable folder after
+that is an error, never an empty table.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.session import folder_names, make_folder, path_exists, remove_path
+
 MODES = ("add", "set", "groups", "members")
+ROWS_PER_FILE = 500_000
 MANIFEST = T.StructType([T.StructField("upto", T.LongType()),
                          T.StructField("date", T.StringType())])
 
 
-def _missing(e: Exception) -> bool:
-    text = str(e)
-    return "PATH_NOT_FOUND" in text or "does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
-
-
 class RunningTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys,
-                 mode: str, group_keys=(), partition_by=("date",), files_per_partition: int = 4):
+                 mode: str, group_keys=(), partition_by=("date",),
+                 rows_per_file: int = ROWS_PER_FILE):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         self.spark = spark
@@ -58,52 +60,66 @@ class RunningTable:
         self.mode = mode
         self.group_keys = list(group_keys)
         self.partition_by = [c for c in partition_by if c in schema.fieldNames()]
+        self.rows_per_file = max(1, int(rows_per_file))
         self._manifest: list[tuple[int, str | None]] | None = None   # loaded once
-        self.files_per_partition = max(1, int(files_per_partition))
+        for sub in ("deltas", "snapshots", "manifest"):
+            make_folder(spark, f"{self.path}/{sub}")
 
     # -- storage ------------------------------------------------------------
     def _with(self, extra: str) -> T.StructType:
         return T.StructType(self.schema.fields + [T.StructField(extra, T.LongType())])
 
-    def _read(self, sub: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{sub}")
-        except Exception as e:  # noqa: BLE001 - nothing written there yet
-            if not _missing(e):
-                raise
+    def _ids(self, sub: str) -> list[int]:
+        """Numbers of the ``<name>=<n>`` folders under ``sub``."""
+        return sorted(int(n.split("=")[1]) for n in folder_names(self.spark, f"{self.path}/{sub}")
+                      if "=" in n)
+
+    def _read(self, sub: str, name: str, ids) -> DataFrame:
+        """Rows of the named folders, tagged with their number."""
+        schema = self._with(name)
+        if not ids:
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{sub}") \
+            .parquet(*[f"{self.path}/{sub}/{name}={i}" for i in ids])
 
     def _cast(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
-    def _clustered(self, df: DataFrame, files: int | None = None) -> DataFrame:
-        """Shuffle rows by (partition columns, key bucket) before writing: each
-        date partition gets at most ``files`` files instead of one per task,
-        and a date holding most rows still has that many writers."""
-        n = max(1, int(files or self.files_per_partition))
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(n))
-        return df.repartition(*[F.col(c) for c in self.partition_by], bucket)
-
-    def write_batch(self, df: DataFrame, batch_id: int, files: int | None = None) -> None:
-        """Write batch ``batch_id``'s contribution; ``files`` overrides the
-        number of files per partition (sized by the caller from the batch)."""
-        self._write(self._clustered(self._cast(df), files),
-                    f"{self.path}/deltas/batch_id={int(batch_id)}")
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        """Write batch ``batch_id``'s contribution."""
+        self._write(self._cast(df), f"{self.path}/deltas/batch_id={int(batch_id)}")
 
     def _write(self, df: DataFrame, path: str) -> None:
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(path)
+        """Files of about ``rows_per_file`` rows per partition: the rows of each
+        partition value are counted, and its keys are hashed over that many
+        writers, so a date that holds most rows is written by as many more."""
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not self.partition_by:
+                files = -(-df.count() // self.rows_per_file)
+                df.repartition(max(1, files), *self.keys).write.mode("overwrite").parquet(path)
+                return
+            files = df.groupBy(*self.partition_by).agg(
+                F.ceil(F.count(F.lit(1)) / self.rows_per_file).alias("_files"))
+            bucket = F.pmod(F.xxhash64(*self.keys), F.col("_files"))
+            # one row for each partition value of the batch
+            spread = df.join(F.broadcast(files), self.partition_by) \
+                .repartition(*self.partition_by, bucket).drop("_files")
+            spread.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        finally:
+            df.unpersist()
 
     def _by_date(self) -> bool:
         return "date" in self.partition_by
 
     def manifest(self) -> list[tuple[int, str | None]]:
-        """Completed (snapshot id, date) pairs, read from the manifest once per
-        table object; the writer keeps the list current as it compacts."""
+        """The (snapshot id, date) pairs in force, read from the newest committed
+        manifest once per table object; the writer keeps the list current."""
         if self._manifest is None:
-            rows = self._read("manifest", MANIFEST).distinct().collect()
+            done = [i for i in self._ids("manifest")
+                    if path_exists(self.spark, f"{self.path}/manifest/upto={i}/_SUCCESS")]
+            rows = self.spark.read.schema(MANIFEST).parquet(
+                f"{self.path}/manifest/upto={done[-1]}").collect() if done else []
             self._manifest = sorted((r["upto"], r["date"]) for r in rows)
         return self._manifest
 
@@ -131,39 +147,59 @@ class RunningTable:
     def compact(self, upto_batch: int) -> None:
         """Snapshot the merged state of batches ``0..upto_batch``; for
         date-partitioned tables only the dates written since the previous
-        snapshot."""
+        snapshot. Superseded folders go once the manifest is committed."""
         upto = int(upto_batch)
+        last = max([u for u, _ in self.manifest()] or [-1])
+        if upto <= last:
+            return
         dates = None
         if self._by_date():
-            last = max([u for u, _ in self.manifest()] or [-1])
-            recent = self._read("deltas", self._with("batch_id")) \
-                .filter((F.col("batch_id") > last) & (F.col("batch_id") <= upto))
+            recent = self._read("deltas", "batch_id", [i for i in self._ids("deltas") if last < i <= upto])
             dates = sorted(r[0] for r in recent.select("date").distinct().collect())
             if not dates:
                 return
-        state = self._clustered(self._cast(self.read(before_batch=upto + 1, dates=dates)))
-        self._write(state, f"{self.path}/snapshots/upto={upto}")
-        pairs = [(upto, d) for d in (dates or [None])]
-        self.spark.createDataFrame(pairs, MANIFEST).coalesce(1) \
-            .write.mode("append").parquet(f"{self.path}/manifest")
-        self._manifest = sorted(set(self.manifest()) | set(pairs))
+        self._write(self._cast(self.read(before_batch=upto + 1, dates=dates)),
+                    f"{self.path}/snapshots/upto={upto}")
+        every = sorted(set(self.manifest()) | {(upto, d) for d in (dates or [None])})
+        kept, gone = [], []
+        for pair in every:
+            newer = sum(d == pair[1] and u > pair[0] for u, d in every)
+            (gone if newer > 1 else kept).append(pair)
+        self.spark.createDataFrame(kept, MANIFEST).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.path}/manifest/upto={upto}")
+        self._manifest = kept
+        self._clean(gone, kept, last)
+
+    def _clean(self, gone: list, kept: list, last: int) -> None:
+        for u, d in gone:
+            remove_path(self.spark, f"{self.path}/snapshots/upto={u}" + (f"/date={d}" if d else ""))
+        used = {u for u, _ in kept}
+        for i in self._ids("snapshots"):
+            if i < last and i not in used:
+                remove_path(self.spark, f"{self.path}/snapshots/upto={i}")
+        for i in self._ids("deltas"):
+            if i <= last:
+                remove_path(self.spark, f"{self.path}/deltas/batch_id={i}")
+        for i in self._ids("manifest"):
+            if i < last:
+                remove_path(self.spark, f"{self.path}/manifest/upto={i}")
 
     # -- reading ------------------------------------------------------------
     def raw(self, before_batch: int | None = None, dates=None) -> DataFrame:
         """Snapshot rows (tagged with the snapshot's batch id) and later deltas."""
-        deltas = self._read("deltas", self._with("batch_id"))
-        if before_batch is not None:
-            deltas = deltas.filter(F.col("batch_id") < int(before_batch))
+        snap = self._snapshot_of(before_batch, dates)
+        # dates without a snapshot may have rows in any delta that is left
+        oldest = -1 if self._by_date() or not snap else snap[None]
+        ids = [i for i in self._ids("deltas")
+               if i > oldest and (before_batch is None or i < int(before_batch))]
+        deltas = self._read("deltas", "batch_id", ids)
         if dates is not None and self._by_date():
             deltas = deltas.filter(F.col("date").isin(list(dates)))
-        snap = self._snapshot_of(before_batch, dates)
         if not snap:
             return deltas
-        snapshots = self._read("snapshots", self._with("upto"))
+        snapshots = self._read("snapshots", "upto", sorted(set(snap.values())))
         if not self._by_date():
-            u = snap[None]
-            base = snapshots.filter(F.col("upto") == u)
-            deltas = deltas.filter(F.col("batch_id") > u)
+            base = snapshots
         else:
             # Group dates by their newest snapshot: a few partition filters.
             groups: dict[int, list[str]] = {}

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.session import scratch_path
+
 
 def tag_run(df: DataFrame, taskid: str | None = None) -> DataFrame:
     """Put the run id on every output row (a fresh UUID when not given)."""
@@ -20,6 +22,14 @@ def append_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     w.parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back: a result that
+    several parts of a query need is computed once and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                 batch_size: int = 1000, num_partitions: int | None = None) -> None:
     """Append through Spark's JDBC writer; one connection per partition and

@@ -20,19 +20,22 @@ stand in for them:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
 
+
 def ts_range(start_date: str | None, end_date: str | None, col: str = "ts") -> str:
     """``start_date <= date(ts) <= end_date`` written on the raw timestamp,
     so the bounds become parquet row-group filters."""
     cond = ["true"]
     if start_date:
-        cond.append(f"{col} >= CAST(DATE '{start_date}' AS TIMESTAMP_NTZ)")
+        cond.append(f"{col} >= CAST(DATE '{dt.date.fromisoformat(start_date)}' AS TIMESTAMP_NTZ)")
     if end_date:
-        cond.append(f"{col} < CAST(date_add(DATE '{end_date}', 1) AS TIMESTAMP_NTZ)")
+        cond.append(f"{col} < CAST(date_add(DATE '{dt.date.fromisoformat(end_date)}', 1) AS TIMESTAMP_NTZ)")
     return " AND ".join(cond)
 
 

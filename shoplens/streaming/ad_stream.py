@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplens.functions.expr import date_key
 from shoplens.operators import ads
 from shoplens.sinks.running import RunningTable
+from shoplens.sources import adlog
 
 L, S = T.LongType(), T.StringType()
 
@@ -45,29 +46,34 @@ PROVINCE_TOP3 = _schema(("date", S), ("province", S), ("adid", L), ("click_count
 CLICK_TREND = _schema(("date", S), ("hour", S), ("minute", S), ("adid", L), ("click_count", L))
 
 
+BAD_LINES = _schema(("raw", S), ("lines", L))
+
+
 @dataclass
 class AdTables:
-    """The five running tables of the job, under one folder."""
+    """The running tables of the job, under one folder."""
     blacklist: RunningTable
     user_clicks: RunningTable
     ad_stat: RunningTable
     province_top3: RunningTable
     click_trend: RunningTable
+    bad_lines: RunningTable
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         r = root.rstrip("/")
         tables = cls(
             blacklist=RunningTable(spark, f"{r}/ad_blacklist", BLACKLIST, ["userid"],
-                                   "members", partition_by=(), files_per_partition=1),
+                                   "members", partition_by=()),
             user_clicks=RunningTable(spark, f"{r}/ad_user_click_count", USER_CLICKS,
                                      ads.USER_AD_KEYS, "add"),
             ad_stat=RunningTable(spark, f"{r}/ad_stat", AD_STAT, ads.CITY_AD_KEYS, "add"),
             province_top3=RunningTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3,
                                        ads.PROVINCE_AD_KEYS, "groups",
-                                       group_keys=("date", "province"), files_per_partition=1),
+                                       group_keys=("date", "province")),
             click_trend=RunningTable(spark, f"{r}/ad_click_trend", CLICK_TREND,
                                      ads.MINUTE_AD_KEYS, "add"),
+            bad_lines=RunningTable(spark, f"{r}/ad_bad_lines", BAD_LINES, ["raw"], "add"),
         )
         return tables
 
@@ -76,42 +82,27 @@ class AdTables:
                 self.click_trend]
 
 
-ROWS_PER_FILE = 2_000_000
-MAX_FILES_PER_DATE = 64
-
-
-def files_per_date(rows: int, dates: int) -> int:
-    """Files per date partition for a batch of ``rows`` input rows: about
-    ROWS_PER_FILE rows per file (input rows bound the aggregated rows), so a
-    date holding most of a heavy batch is split over several writers."""
-    per_date = rows / max(dates, 1)
-    return int(max(1, min(MAX_FILES_PER_DATE, -(-per_date // ROWS_PER_FILE))))
-
-
 def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: int,
                   top_n: int = 3, compact_every: int = 0, geo: DataFrame | None = None) -> None:
     """All per-batch work of the job (also callable on a static DataFrame).
 
     ``batch`` holds ad-log rows (ts, province, city, userid, adid), or raw
     clicks (ts, userid, adid) when ``geo`` (userid -> province, city) is
-    given: blocked users are dropped first, then clicks are pre-aggregated
-    per (minute, user, ad) before the join to ``geo``.
+    given. Clicks are first counted per (minute, user, ad), so a hot user
+    reaches the blacklist and the join to ``geo`` as one row per minute and ad.
     With ``compact_every = n`` every n-th batch also snapshots the tables."""
-    batch = batch.persist()
+    counted = ads.minute_clicks(batch).persist()
+    clean = added = None
     try:
-        # Dates touched by this batch (a handful per micro-batch; they prune
-        # the date-partitioned running tables to the days that can change)
-        # and its size, which sets how many files each date gets.
-        stats = batch.agg(F.collect_set(date_key("ts")).alias("dates"),
-                          F.count(F.lit(1)).alias("n")).first()
-        dates = list(stats["dates"] or [])
+        # Dates touched by this batch: a handful per micro-batch; they prune
+        # the date-partitioned running tables to the days that can change.
+        dates = [r[0] for r in counted.select(date_key("ts")).distinct().collect()]
         if not dates:
             return
-        files = files_per_date(stats["n"], len(dates))
         blacklist = tables.blacklist.read(before_batch=batch_id)
-        clean = ads.drop_blacklisted(batch, blacklist)
+        clean = ads.drop_blacklisted(counted, blacklist)
         if geo is not None:
-            clean = ads.preaggregate_clicks(clean, geo)
+            clean = ads.attach_geo(clean, geo)
         clean = clean.persist()
 
         # 1. per-user totals; users over the threshold for a key of this batch
@@ -121,12 +112,13 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
         totals = ads.lookup_totals(counts, previous) \
             .withColumn("total", F.col("total") + F.col("click_count"))
         added = ads.over_threshold(totals, threshold).select("userid").distinct() \
-            .join(blacklist, "userid", "left_anti")
-        tables.user_clicks.write_batch(counts, batch_id, files)
+            .join(blacklist, "userid", "left_anti").persist()
+        tables.blacklist.write_batch(added, batch_id)
+        tables.user_clicks.write_batch(counts, batch_id)
 
         # 2. running counts per (date, province, city, ad)
         city = ads.clicks_by_city_ad_day(clean)
-        tables.ad_stat.write_batch(city, batch_id, files)
+        tables.ad_stat.write_batch(city, batch_id)
 
         # 3. top ads of every touched (date, province), over full current counts
         touched = city.select("date", "province").distinct()
@@ -135,19 +127,14 @@ def process_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold:
         tables.province_top3.write_batch(top, batch_id)
 
         # 4. per-minute trend
-        tables.click_trend.write_batch(ads.minute_counts(clean).drop("minute_start"), batch_id,
-                                       files)
-
-        # 5. the blacklist goes last, after `clean` is released: writing a
-        # folder makes Spark re-cache every persisted plan that reads it, and
-        # `clean` reads the blacklist.
-        clean.unpersist()
-        tables.blacklist.write_batch(added, batch_id)
+        tables.click_trend.write_batch(ads.minute_counts(clean).drop("minute_start"), batch_id)
         if compact_every and (batch_id + 1) % compact_every == 0:
             for t in tables.all():
                 t.compact(batch_id)
     finally:
-        batch.unpersist()
+        for df in (added, clean, counted):
+            if df is not None:
+                df.unpersist()
 
 
 def start_ad_pipeline(log_stream: DataFrame, tables: AdTables, checkpoint: str,
@@ -167,6 +154,25 @@ def start_ad_pipeline(log_stream: DataFrame, tables: AdTables, checkpoint: str,
     return w.start()
 
 
+def start_line_pipeline(parsed: DataFrame, tables: AdTables, checkpoint: str, threshold: int = 100,
+                        trigger: dict | None = None, compact_every: int = 100) -> StreamingQuery:
+    """The full job over parsed log lines: good ones feed :func:`process_batch`,
+    bad ones are counted in ``tables.bad_lines``."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            bad = adlog.invalid_lines(batch).groupBy("raw").agg(F.count(F.lit(1)).alias("lines"))
+            tables.bad_lines.write_batch(bad, batch_id)
+            process_batch(tables, adlog.valid_lines(batch), batch_id, threshold, compact_every=compact_every)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                tables.bad_lines.compact(batch_id)
+        finally:
+            batch.unpersist()
+
+    return parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each) \
+        .trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def running_city_counts(log_stream: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Running clicks per (date, province, city, ad) held in the state store;
     a day's state is dropped once the watermark passes its end."""
@@ -202,9 +208,15 @@ def running_sliding_counts(log_stream: DataFrame, duration: str = "60 minutes",
 
 
 def write_set_stream(counts: DataFrame, table: RunningTable, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Emit updated keys each batch (``update`` mode) and upsert-set them."""
+                     trigger: dict | None = None, compact_every: int = 100) -> StreamingQuery:
+    """Emit updated keys each batch (``update`` mode) and upsert-set them;
+    the table is compacted every ``compact_every`` batches."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        table.write_batch(df, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact(batch_id)
+
     return counts.writeStream.outputMode("update") \
         .option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda df, bid: table.write_batch(df, bid)) \
+        .foreachBatch(write) \
         .trigger(**(trigger or {"processingTime": "5 seconds"})).start()

@@ -28,7 +28,7 @@ def test_no_python_udf_no_cartesian(spark, name):
         assert bad not in p, f"{name}: {bad}"
 
 
-@pytest.mark.parametrize("name", ["session_stats", "session_extract", "top10_categories",
+@pytest.mark.parametrize("name", ["session_stats", "session_filtered", "top10_categories",
                                   "area_top3_products", "scan_actions_range"])
 def test_date_range_reaches_parquet(spark, name):
     p = plan_of(spark, name)

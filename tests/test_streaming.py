@@ -7,10 +7,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM
+from conftest import MEDIUM, SMALL
 from shoplens.operators import ads
 from shoplens.plans.model import Model
 from shoplens.schemas import AD_LOG
+from shoplens.session import folder_names, path_exists
 from shoplens.sources import adlog
 from shoplens.streaming import ad_stream
 
@@ -234,11 +235,69 @@ def test_incremental_compaction_over_revisited_dates(spark):
             comp.write_batch(batch(i), i)
             if i % 2 == 1:
                 comp.compact(i)
-        assert comp.manifest() == [(1, "20240101"), (1, "20240102"), (3, "20240101"),
-                                   (3, "20240103"), (5, "20240101"), (5, "20240102"),
-                                   (5, "20240103")]
+        # two generations of each date stay; what they supersede is deleted
+        assert comp.manifest() == [(1, "20240102"), (3, "20240101"), (3, "20240103"),
+                                   (5, "20240101"), (5, "20240102"), (5, "20240103")]
+        assert folder_names(spark, f"{comp.path}/deltas") == [f"batch_id={i}" for i in (4, 5, 6)]
+        assert not path_exists(spark, f"{comp.path}/snapshots/upto=1/date=20240101")
         fresh = RunningTable(spark, comp.path, ad_stream.AD_STAT, keys, mode)   # reloads manifest
-        for before in [None, 1, 2, 3, 4, 6, 7]:
+        for before in [None, 4, 5, 6, 7]:   # from the last but one snapshot on
             for dates in [None, ["20240101"], ["20240102", "20240103"]]:
                 assert rows_of(fresh.read(before, dates)) == rows_of(plain.read(before, dates)), \
                     (mode, before, dates)
+
+
+def test_folder_layout_gives_the_same_rows(spark):
+    """events.parquet as one file and as a folder of parts."""
+    from shoplens.plans.queries import REGISTRY
+    folder = tempfile.mkdtemp(prefix="parts-")
+    for name in ("customer", "nation", "region"):
+        os.symlink(f"{SMALL}/{name}.parquet", f"{folder}/{name}.parquet")
+    spark.read.parquet(f"{SMALL}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
+    for name in ("stream_province_city_clicks", "stream_running_city_counts", "stream_running_minute_counts"):
+        want = rows_of(REGISTRY[name](spark, SMALL))
+        assert want and rows_of(REGISTRY[name](spark, folder)) == want
+
+
+def test_no_matching_events_is_an_error(spark):
+    from shoplens.streaming.sources import event_files
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|no events"):
+        event_files(spark, tempfile.mkdtemp(prefix="none-"))
+
+
+def test_a_table_whose_folder_is_gone_is_an_error(spark):
+    from shoplens.sinks.running import RunningTable
+    path = tempfile.mkdtemp(prefix="gone-")
+    table = RunningTable(spark, f"{path}/t", ad_stream.AD_STAT, ads.CITY_AD_KEYS, "add")
+    assert table.read().count() == 0
+    table.path = f"{path}/other"
+    with pytest.raises(Exception):
+        table.read().count()
+
+
+def test_large_blacklist_has_many_writers_and_bounded_folders(spark):
+    from shoplens.sinks.running import RunningTable
+    table = RunningTable(spark, tempfile.mkdtemp(prefix="bl-"), ad_stream.BLACKLIST, ["userid"], "members",
+                         partition_by=())
+    table.write_batch(spark.range(3_000_000).withColumnRenamed("id", "userid"), 0)
+    files = [f for f in folder_names(spark, f"{table.path}/deltas/batch_id=0") if f.startswith("part-")]
+    assert len(files) >= 5
+    for i in range(1, 13):
+        table.write_batch(spark.range(i, i + 1).withColumnRenamed("id", "userid"), i)
+        if i % 3 == 2:
+            table.compact(i)
+            assert len(folder_names(spark, f"{table.path}/deltas")) <= 7
+            assert len(folder_names(spark, f"{table.path}/snapshots")) <= 2
+    assert table.read().count() == 3_000_000
+
+
+def test_bad_lines_are_kept(spark):
+    from shoplens.streaming.sources import parsed_line_stream
+    folder, root = tempfile.mkdtemp(prefix="bad-"), tempfile.mkdtemp(prefix="bad-run-")
+    with open(os.path.join(folder, "a.txt"), "w") as f:
+        f.write("1704110400000 P C 1 2\ngarbage\ngarbage\n1 2 3\n")
+    tables = ad_stream.AdTables.at(spark, f"{root}/tables")
+    ad_stream.start_line_pipeline(parsed_line_stream(spark, "text", path=folder), tables, f"{root}/c",
+                                  trigger={"availableNow": True}).awaitTermination()
+    assert {(r.raw, r.lines) for r in tables.bad_lines.read().collect()} == {("garbage", 2), ("1 2 3", 1)}
+    assert tables.ad_stat.read().count() == 1
