@@ -11,8 +11,10 @@ conditional likelihood.
 Scoring runs over every whole text. Words without a weighted feature all have
 the same potentials, so runs of them are powers of one 2 x 2 matrix, and
 forward-backward visits only the other words; the marginals are those of the
-full chain. A document's score is its largest toxic marginal, its spans are
-the words whose marginal reaches ``SPAN``.
+full chain. A document's spans are the words whose marginal reaches ``SPAN``;
+its score is a logistic function, fitted to the same labelled documents, of
+its largest marginal and of the expected number and share of toxic words, so
+that a word which clean documents also hold now and then does not decide alone.
 
 Defined cases: null and empty text score 0 and have no spans; without labelled
 documents of both kinds every score is 0; a doc_id that is labelled more than
@@ -27,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 from zlib import crc32
 
 import numpy as np
@@ -39,7 +42,7 @@ from shoplens.llm.common import split_words, text_runs
 SAMPLE = 4000       # labelled documents of each kind that fitting reads
 MAX_FEATURES = 5000
 PREFIXES = (4, 5, 6, 7)
-MIN_RATIO = 8.0     # times the share of clean documents that a feature must have of toxic ones
+MIN_RATIO = 4.0     # times the share of clean documents that a feature must have of toxic ones
 MIN_EVIDENCE = 25.0  # its log-likelihood ratio against independence of the label
 WINDOW = 256        # words of a training sequence
 SPAN = 0.5
@@ -64,6 +67,7 @@ class Field:
     enter: float = 0.0  # 0 -> 1
     leave: float = 0.0  # 1 -> 0
     stay: float = 0.0   # 1 -> 1
+    score: tuple[float, ...] = (0.0, 1.0, 0.0, 0.0)  # of the document: intercept, and by evidence()
 
     def __post_init__(self):
         self.known: dict[str, float] = {}
@@ -144,14 +148,16 @@ def held_out():
 
 
 def distinct_texts(texts: list[str]) -> list[list[str]]:
-    """Words of the texts, leaving out near copies of an earlier one."""
+    """Words of the texts, leaving out near copies of an earlier one: texts that
+    share two of their three smallest shingle hashes."""
     seen, out = set(), []
     for t in sorted(texts):
         words = WORD.findall(t)
         marks = sorted({crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))})[:3]
-        if words and not seen.intersection(marks):
+        pairs = set(combinations(marks, 2)) or set(marks)
+        if words and not seen.intersection(pairs):
             out.append(words)
-        seen.update(marks)
+        seen.update(pairs)
     return out
 
 
@@ -185,26 +191,53 @@ def fit(toxic_texts: list[str], clean_texts: list[str], rounds: int = 60) -> Fie
         return Field()
     number = {f: i for i, f in enumerate(chosen)}
 
-    # windows of labelled tokens: (word, label); words as lists of feature numbers
-    runs = [(words[i:i + WINDOW], y) for group, y in ((toxic, 1), (clean, 0))
-            for words in group for i in range(0, len(words), WINDOW)]
-    steps, lanes = max(len(w) for w, _ in runs), len(runs)
-    length = np.array([len(w) for w, _ in runs])
-    spots, feats, label = [], [], np.zeros((steps, lanes), bool)
-    for lane, (words, y) in enumerate(runs):
-        for t, w in enumerate(words):
-            ids = [number[f] for f in of(w) if f in number]
-            if ids:
-                spots += [t * lanes + lane] * len(ids)
-                feats += ids
-                label[t, lane] = bool(y)
-    spots, feats = np.array(spots), np.array(feats)
-    return _ascend(chosen, spots, feats, label, length, steps, lanes, rounds)
-
-
-def _ascend(chosen, spots, feats, label, length, steps, lanes, rounds) -> Field:
-    """Gradient ascent on the labelled windows' conditional likelihood (Adam)."""
-    n = len(chosen)
+    # windows of labelled words as (place, feature numbers); those of one length
+    # without any feature are alike and share a lane
+    runs, plain = [], Counter()
+    for group, y in ((toxic, 1), (clean, 0)):
+        for words in group:
+            for i in range(0, len(words), WINDOW):
+                part = words[i:i + WINDOW]
+                held = [(t, ids) for t, w in enumerate(part) if (ids := [number[f] for f in of(w) if f in number])]
+                if held:
+                    runs.append((len(part), held, y))
+                else:
+                    plain[len(part)] += 1
+    runs += [(n, [], 0) for n in sorted(plain)]
+    lanes, length = len(runs), np.array([n for n, _, _ in runs])
+    times = np.array([1 if held else plain[n] for n, held, _ in runs], float)
+    steps = int(length.max())
+    label = np.zeros((steps, lanes), bool)
+    spots = np.array([t * lanes + k for k, (_, held, _) in enumerate(runs) for t, ids in held for _ in ids], np.int64)
+    feats = np.array([f for _, held, _ in runs for _, ids in held for f in ids], np.int64)
+    for k, (_, held, y) in enumerate(runs):
+        for t, _ in held:
+            label[t, k] = bool(y)
+    model = _ascend(chosen, spots, feats, label, length, times, rounds)
+    # the document score, from all labelled texts
+    import pyarrow as pa
+    texts = toxic_texts + clean_texts
+    seen = np.concatenate([evidence(model, run)[0] for _, run in text_runs(pa.array(texts, pa.large_string()))])
+    model.score = _logistic(seen, np.arange(len(texts)) < len(toxic_texts))
+    return model
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+    """Intercept and weights of a small logistic regression (Newton)."""
+    x = np.column_stack([np.ones(len(x)), x])
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (y - p) - ridge * w
+        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        w = w + np.linalg.solve(hess, grad)
+    return tuple(map(float, w))
+
+
+def _ascend(chosen, spots, feats, label, length, times, rounds) -> Field:
+    """Gradient ascent on the labelled windows' conditional likelihood (Adam);
+    window k counts times[k] times."""
+    n, (steps, lanes) = len(chosen), label.shape
     theta = np.concatenate([np.zeros(n), [-4.0, 0.0, 0.0, 0.0]])  # weights, bias, enter, leave, stay
     here = np.arange(steps)[:, None] < length[None, :]
     prev = np.vstack([np.zeros((1, lanes), bool), label[:-1]])
@@ -231,11 +264,11 @@ def _ascend(chosen, spots, feats, label, length, steps, lanes, rounds) -> Field:
             right[:, 1] *= own[t]
             both = old[:, :, None] * move[None] * right[:, None, :]
             both /= both.sum((1, 2), keepdims=True)
-            pairs += both[here[t]].sum(0)
+            pairs += (both * (times * here[t])[:, None, None]).sum(0)
             x = right @ move.T
             behind = np.where(here[t][:, None], x / x.sum(1, keepdims=True), 1.0)
         expect = np.concatenate([np.bincount(feats, weights=tokens.reshape(-1)[spots], minlength=n),
-                                 [tokens.sum(), pairs[0, 1], pairs[1, 0], pairs[1, 1]]])
+                                 [(tokens * times).sum(), pairs[0, 1], pairs[1, 0], pairs[1, 1]]])
         grad = seen - expect - 0.05 * np.concatenate([theta[:n], np.zeros(1), theta[n + 1:]])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta += 0.25 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
@@ -264,8 +297,10 @@ def tag(docs: DataFrame, model: Field) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def score_run(model: Field, texts) -> tuple[np.ndarray, list[list[dict]]]:
-    """(scores, spans) of an Arrow string array."""
+def evidence(model: Field, texts):
+    """(evidence of each text, p, doc, place): log of the expected toxic words,
+    largest marginal and expected share, of an Arrow string array; and the
+    marginal, text and word number of each weighted word."""
     bounds, codes, words = split_words(texts)
     weight = np.array([model.emission(w) for w in words.to_numpy(zero_copy_only=False)], float)
     each = weight[codes] if len(codes) else np.zeros(0)
@@ -281,12 +316,20 @@ def score_run(model: Field, texts) -> tuple[np.ndarray, list[list[dict]]]:
     some = np.diff(cut) > 0
     last[some] = place[cut[1:][some] - 1]
     p = model.marginals(each[active], gaps, cut, size - last - 1)
+    total, top = np.bincount(doc, weights=p, minlength=len(texts)), np.zeros(len(texts))
+    np.maximum.at(top, doc, p)
+    share = total / np.maximum(size, 1)
+    return np.column_stack([np.log1p(total), top, 10 * np.sqrt(share)]), p, doc, place
+
+
+def score_run(model: Field, texts) -> tuple[np.ndarray, list[list[dict]]]:
+    """(scores, spans) of an Arrow string array."""
+    seen, p, doc, place = evidence(model, texts)
     score = np.zeros(len(texts))
     if model.weights:
-        # a text with words but no weighted one: the marginal of a plain word
-        plain = model.step[0] * np.exp([0.0, model.bias])
-        score[size > 0] = plain[1] / plain.sum()
-        np.maximum.at(score, doc, p)
+        score = 1 / (1 + np.exp(-np.clip(model.score[0] + seen @ np.array(model.score[1:]), -30, 30)))
+        score[[not t.strip(" \t\n\v\f\r") for t in texts.to_pylist()]] = 0.0
+    cut = np.searchsorted(doc, np.arange(len(texts) + 1))
     found: list[list[dict]] = [[] for _ in range(len(texts))]
     hit = p >= SPAN
     for i in np.unique(doc[hit]):
@@ -294,7 +337,7 @@ def score_run(model: Field, texts) -> tuple[np.ndarray, list[list[dict]]]:
         for k in cut[i] + np.flatnonzero(hit[cut[i]:cut[i + 1]]):
             a, b = at[place[k]]
             found[i].append({"start": a, "end": b, "marginal": float(p[k])})
-    return np.clip(score, 0.0, 1.0), found
+    return score, found
 
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:

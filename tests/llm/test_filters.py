@@ -128,15 +128,19 @@ def brute_marginals(model, weights):
 def test_marginals_are_those_of_the_full_chain():
     model = toxicity.Field({"bad$": 5.0, "worse$": 8.0}, -3.0, -0.5, 0.3, 1.2)
     texts = ["a bad b c worse bad", "bad", "a b c d", "worse worse x y z bad q", "", "x bad"]
-    score, spans = toxicity.score_run(model, pa.array(texts, pa.large_string()))
-    for t, s, found in zip(texts, score, spans):
+    column = pa.array(texts, pa.large_string())
+    seen, p, doc, place = toxicity.evidence(model, column)
+    score, spans = toxicity.score_run(model, column)
+    for i, t in enumerate(texts):
         w = t.split()
         weights = [model.emission(x) for x in w]
         want = brute_marginals(model, weights) if w else np.zeros(0)
-        active = [i for i, x in enumerate(weights) if x]
-        assert np.isclose(s, max([want[i] for i in active] + [brute_marginals(model, [0.0])[0] if w else 0.0]))
-        assert [(x["start"], x["end"]) for x in found] == \
-            [m.span() for i, m in enumerate(re.finditer(r"\S+", t)) if i in active and want[i] >= 0.5]
+        active = [k for k, x in enumerate(weights) if x]
+        assert place[doc == i].tolist() == active and np.allclose(p[doc == i], want[active])
+        assert np.isclose(seen[i, 0], np.log1p(want[active].sum()))
+        assert [(x["start"], x["end"]) for x in spans[i]] == \
+            [m.span() for k, m in enumerate(re.finditer(r"\S+", t)) if k in active and want[k] >= 0.5]
+    assert score[texts.index("")] == 0 and ((0 <= score) & (score <= 1)).all()
 
 
 def toxic_docs(n=600):
