@@ -46,3 +46,34 @@ def test_hot_session(spark):
         categories.session_category_counts(acts)).collect())
     b = sorted(tuple(r) for r in categories.category_funnel_counts(acts).collect())
     assert a == b
+
+
+def test_hot_session_is_split_by_the_join(spark):
+    """Staged session ids have an exchange of their own, so AQE splits the hot session."""
+    from pyspark.sql import functions as F
+
+    from shoplens.sinks.writers import staged
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        acts = spark.range(0, 120_000, 1, 12).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 900)).alias("session_id"),
+            "id", F.md5(F.col("id").cast("string")).alias("page"))
+        kept = staged(acts.select("session_id").distinct(), "kept")
+        out = sessions.filtered_actions(acts, kept)
+        assert out.count() == 120_000
+        rows = sessions.filtered_actions(acts, kept)
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
