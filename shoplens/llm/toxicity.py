@@ -39,11 +39,11 @@ from pyspark.sql import types as T
 
 from shoplens.llm.common import split_words, text_runs
 
-SAMPLE = 4000       # labelled documents of each kind that fitting reads
+SAMPLE = 2000       # labelled documents of each kind that fitting reads
 MAX_FEATURES = 5000
 PREFIXES = (4, 5, 6, 7)
 MIN_RATIO = 4.0     # times the share of clean documents that a feature must have of toxic ones
-MIN_EVIDENCE = 25.0  # its log-likelihood ratio against independence of the label
+MIN_EVIDENCE = 18.0  # its log-likelihood ratio against independence of the label
 WINDOW = 256        # words of a training sequence
 SPAN = 0.5
 EDGES = re.compile(r"^\W+|\W+$")
@@ -150,9 +150,9 @@ def held_out():
 def distinct_texts(texts: list[str]) -> list[list[str]]:
     """Words of the texts, leaving out near copies of an earlier one: texts that
     share two of their three smallest shingle hashes."""
-    seen, out = set(), []
+    seen, out, pool = set(), [], {}
     for t in sorted(texts):
-        words = WORD.findall(t)
+        words = [pool.setdefault(w, w) for w in WORD.findall(t)]  # one object for each word
         marks = sorted({crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))})[:3]
         pairs = set(combinations(marks, 2)) or set(marks)
         if words and not seen.intersection(pairs):
