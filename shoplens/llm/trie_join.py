@@ -7,10 +7,11 @@ the first ones of both (prefix filter), so
 
 1. equal sets fall together into one class;
 2. each class emits its prefix shingles; those that only one class has vanish
-   in a streamed pass over the sorted postings, which also pairs every other
-   class with the smallest class of its size band (star pairs);
-3. star pairs are verified and joined into components; large groups of near
-   copies are settled here with a linear number of pairs;
+   in a streamed pass over the sorted postings;
+3. in a few rounds, every class is paired with one hub for each shingle and
+   size band (star pairs, as many as postings at most), the pairs are verified
+   and joined into components; large groups of near copies are settled here
+   without pairing their members;
 4. postings whose classes still lie in different components pair up exactly:
    shared prefix shingles are counted per pair, and a pair survives only if
    that count plus the remaining lengths can reach the needed overlap;
@@ -35,6 +36,7 @@ table gives no rows; input columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +50,7 @@ WORDS = 5
 NUM, DEN = 3, 4     # similarity of 0.75
 FREQUENT = 65_536   # shingles that the frequent part of the order lists at most
 FREQUENT_MIN = 8    # documents that such a shingle occurs in at least
+ROUNDS = 3          # of star pairs, each with other hubs
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -189,44 +192,50 @@ def postings(classes: DataFrame) -> DataFrame:
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
-    """Postings of shingles that two classes or more share, with each one's hub.
-
-    Rows are streamed in (token, n, cid) order, so no group is held: the hub
-    is the first class of the token's current size band.
-    """
+    """Postings of shingles that two classes or more share. Rows are streamed in
+    shingle order, so no group is held."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        last, held, hub, hub_n = None, None, 0, 0
+        last, held = None, None
         for batch in batches:
             if not len(batch):
                 continue
-            t, n, c = (batch.column(k).to_numpy() for k in range(3))
+            columns = [batch.column(k).to_numpy() for k in range(3)]
+            t = columns[0]
             again = np.append([last is not None and t[0] == last], t[1:] == t[:-1])
             more = np.append(t[:-1] == t[1:], False)
-            rows = []
-            for i in np.flatnonzero(again | more):
-                if not again[i]:
-                    hub, hub_n = c[i], n[i]
-                elif held is not None:
-                    rows.append(held)
-                    hub, hub_n = held[1], held[2]
-                held = None
-                if DEN * hub_n < NUM * n[i]:
-                    hub, hub_n = c[i], n[i]
-                rows.append((t[i], c[i], n[i], hub, hub_n))
-            if not again[-1]:
-                held = (t[-1], c[-1], n[-1], c[-1], n[-1])
-            elif held is not None and t[-1] != held[0]:
-                held = None
+            out = [c[again | more] for c in columns]
+            if again[0] and held is not None:
+                out = [np.append(c, h) for c, h in zip(out, held)]
+            held = None if again[-1] else [c[-1] for c in columns]
             last = t[-1]
-            if rows:
-                out = np.array(rows, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(5)],
-                                                 names=["token", "cid", "n", "hub", "hub_n"])
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["token", "n", "cid"])
+
+    return (rows.repartition("token").sortWithinPartitions("token")
+            .mapInArrow(run, "token long, n long, cid long"))
 
-    return (rows.repartition("token").sortWithinPartitions("token", "n", "cid")
-            .mapInArrow(run, "token long, cid long, n long, hub long, hub_n long"))
+
+def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
+    """(a, b): each class with the hub of its shingle and size band, or of the band below.
+
+    Sets that can link lie in the same band or in neighbouring ones. The hub is
+    the class of the least seeded hash, so it is mostly one for all shingles of
+    a group of near copies; pairs within a component are left out.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(DEN / NUM)).cast("int")
+    rows = placed.withColumn("band", band)
+    hubs = materialise(rows.groupBy("token", "band").agg(F.min(F.struct(
+        F.xxhash64(F.col("cid"), F.lit(seed)).alias("h"), F.col("cid").alias("a"), F.col("n").alias("na"),
+        F.col("component").alias("ca"))).alias("hub")).select("token", "band", "hub.*").drop("h"), "trie-hubs")
+    near = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    pairs = near.join(hubs, ["token", "band"]).where(
+        (F.col("component") != F.col("ca")) & (DEN * F.col("n") >= NUM * F.col("na"))
+        & (DEN * F.col("na") >= NUM * F.col("n")))
+    counted = pairs.groupBy("a", "na", F.col("cid").alias("b"), F.col("n").alias("nb")).agg(
+        (2 * F.count("*")).alias("shared"))  # some of a pair's shingles have another hub
+    return counted.where(possible()).select("a", "b")
 
 
 def possible() -> F.Column:
@@ -310,6 +319,12 @@ def sets_of(docs: DataFrame, members: DataFrame, pairs: DataFrame, order: Order)
         .mapInArrow(run, schema).dropDuplicates(["cid"])
 
 
+def place(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """Adds the component of each row's class, which is its own if it has no link."""
+    return rows.join(settled.withColumnRenamed("id", "cid"), "cid", "left").withColumn(
+        "component", F.coalesce("component", "cid"))
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     order = Order(frequent_shingles(docs))
@@ -318,16 +333,21 @@ def join_documents(docs: DataFrame) -> DataFrame:
     classes = table.where("cid is not null").dropDuplicates(["cid"])
     shared = materialise(shared_postings(postings(classes)), "trie-postings")
 
-    star = shared.where("cid != hub").groupBy(F.col("hub").alias("a"), F.col("hub_n").alias("na"),
-                                              F.col("cid").alias("b"), F.col("n").alias("nb")) \
-        .agg(F.count("*").alias("shared")).where(possible())
-    star = materialise(star.select("a", "b"), "trie-star")
-    links = materialise(verified(star, materialise(sets_of(docs, members, star, order), "trie-sets")), "trie-links")
-    settled = components(links, "trie-cc")
-
-    placed = shared.join(settled.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "token", "cid", "n", F.coalesce("component", "cid").alias("component"))
-    placed = materialise(placed, "trie-placed")
+    placed, links, tried, settled = shared.withColumn("component", F.col("cid")), None, None, None
+    for seed in range(ROUNDS):
+        star = star_pairs(placed, seed)
+        if tried is not None:
+            star = star.join(tried, ["a", "b"], "left_anti")
+        star = materialise(star, "trie-star")
+        if star.isEmpty():
+            break
+        found = materialise(verified(star, materialise(sets_of(docs, members, star, order), "trie-sets")), "trie-links")
+        tried = star if tried is None else tried.unionByName(star)
+        links = found if links is None else links.unionByName(found)
+        if found.isEmpty():
+            break
+        settled = components(links, "trie-cc")
+        placed = materialise(place(shared, settled), "trie-placed")
     mixed = materialise(placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                         .where("lo != hi").select("token"), "trie-mixed")
     open_rows = placed.join(mixed, "token")
@@ -338,14 +358,16 @@ def join_documents(docs: DataFrame) -> DataFrame:
              .groupBy(F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("y.cid").alias("b"),
                       F.col("y.n").alias("nb"))
              .agg(F.count("*").alias("shared")).where(possible()).select("a", "b"))
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "trie-pairs")
+    if tried is not None:
+        tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    pairs = materialise(pairs, "trie-pairs")
     if not pairs.isEmpty():
-        more = verified(pairs, materialise(sets_of(docs, members, pairs, order), "trie-sets"))
-        settled = components(links.unionByName(materialise(more, "trie-links")), "trie-cc")
+        more = materialise(verified(pairs, materialise(sets_of(docs, members, pairs, order), "trie-sets")), "trie-links")
+        settled = components(more if links is None else links.unionByName(more), "trie-cc")
 
-    rows = materialise(table.join(settled.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "cid").alias("_root")), "trie-rooted")
+    rooted = table.withColumn("component", F.col("cid")) if settled is None else place(table, settled)
+    rows = materialise(rooted.select("doc_id", "n_shingles", F.col("component").alias("_root")), "trie-rooted")
     least = materialise(rows.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("component_id")),
                         "trie-least")
     return rows.join(least, "_root", "left").select(
