@@ -43,7 +43,8 @@ class Model:
         self.spark = spark
         self.tables = Tables(spark, base)
 
-    def actions(self, params: TaskParams | None = DEFAULT_PARAMS) -> DataFrame:
+    def actions(self, params: TaskParams | None) -> DataFrame:
+        """Actions of the task's days, or of all days without a task."""
         if params is None:
             return adapters.user_visit_action(self.tables.events)
         return adapters.user_visit_action(self.tables.events, params.start_date, params.end_date)

@@ -31,7 +31,7 @@ def query(name: str):
 
 @query("area_product_clicks")
 def q_area_product_clicks(m: Model) -> DataFrame:
-    counts = areas.city_click_counts(areas.city_clicks(m.actions()))
+    counts = areas.city_click_counts(areas.city_clicks(m.actions(DEFAULT_PARAMS)))
     return areas.area_product_clicks(areas.area_basic_info(counts, m.city_dim()))
 
 
@@ -42,7 +42,7 @@ def q_area_product_info(m: Model) -> DataFrame:
 
 @query("area_top3_products")
 def q_area_top3_products(m: Model) -> DataFrame:
-    return areas.area_top3_products(m.actions(), m.products(), m.city_dim())
+    return areas.area_top3_products(m.actions(DEFAULT_PARAMS), m.products(), m.city_dim())
 
 
 # --- A: session analysis ---------------------------------------------------
@@ -112,7 +112,7 @@ def q_scan_actions_range(m: Model) -> DataFrame:
 
 @query("action_kind_counts")
 def q_action_kind_counts(m: Model) -> DataFrame:
-    a = m.actions()
+    a = m.actions(DEFAULT_PARAMS)
     parts = [
         sessions.clicks_only(a).groupBy(format_date("date").alias("date"))
         .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("click")),
@@ -129,12 +129,12 @@ def q_action_kind_counts(m: Model) -> DataFrame:
 
 @query("sessionize")
 def q_sessionize(m: Model) -> DataFrame:
-    return render_sessions(sessions.sessionize(m.actions()))
+    return render_sessions(sessions.sessionize(m.actions(DEFAULT_PARAMS)))
 
 
 @query("session_enriched")
 def q_session_enriched(m: Model) -> DataFrame:
-    enriched = sessions.enrich(sessions.sessionize(m.actions()), m.users())
+    enriched = sessions.enrich(sessions.sessionize(m.actions(DEFAULT_PARAMS)), m.users())
     return render_sessions(enriched, "age", "professional", "city", "sex")
 
 
@@ -196,7 +196,7 @@ def q_session_extract(m: Model) -> DataFrame:
 def q_session_detail(m: Model) -> DataFrame:
     # The extract holds at most SAMPLE_TOTAL sessions: a proven bound.
     picked = F.broadcast(extracted(m).select("session_id"))
-    return render_actions(m.actions().join(picked, "session_id", "left_semi"))
+    return render_actions(m.actions(DEFAULT_PARAMS).join(picked, "session_id", "left_semi"))
 
 
 @query("filtered_actions")
@@ -436,12 +436,12 @@ from shoplens.plans.model import REGION_LEVELS  # noqa: E402
 
 @query("page_flow_conversion")
 def q_page_flow_conversion(m: Model) -> DataFrame:
-    return funnel.page_flow_conversion(m.spark, m.actions(), DEFAULT_PARAMS.target_page_flow)
+    return funnel.page_flow_conversion(m.spark, m.actions(DEFAULT_PARAMS), DEFAULT_PARAMS.target_page_flow)
 
 
 @query("page_steps")
 def q_page_steps(m: Model) -> DataFrame:
-    return funnel.page_steps(m.actions()).groupBy("page_id", "next_page_id") \
+    return funnel.page_steps(m.actions(DEFAULT_PARAMS)).groupBy("page_id", "next_page_id") \
         .agg(F.count(F.lit(1)).alias("moves"))
 
 

@@ -34,8 +34,8 @@ def test_session_job_outputs_equal_queries(spark):
 def test_area_job_appends(spark):
     m = Model(spark, SMALL)
     out = tempfile.mkdtemp(prefix="area-job-")
-    run_area_job(m.actions(), m.products(), m.city_dim(), parquet_sink(out), taskid="t1")
-    run_area_job(m.actions(), m.products(), m.city_dim(), parquet_sink(out), taskid="t2")
+    run_area_job(m.actions(DEFAULT_PARAMS), m.products(), m.city_dim(), parquet_sink(out), taskid="t1")
+    run_area_job(m.actions(DEFAULT_PARAMS), m.products(), m.city_dim(), parquet_sink(out), taskid="t2")
     got = spark.read.parquet(f"{out}/area_top3_product")
     n = REGISTRY["area_top3_products"](spark, SMALL).count()
     assert got.count() == 2 * n
