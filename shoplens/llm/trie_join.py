@@ -346,6 +346,10 @@ def join_documents(docs: DataFrame) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
             break
+        # between rounds, classes linked to one hub count as settled with it
+        heads = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
+        placed = materialise(place(shared, heads), "trie-placed")
+    if links is not None and not links.isEmpty():
         settled = components(links, "trie-cc")
         placed = materialise(place(shared, settled), "trie-placed")
     mixed = materialise(placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
