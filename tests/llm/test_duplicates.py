@@ -39,6 +39,25 @@ def test_forest_against_brute_force(spark):
     assert all(got[i].kept == (got[i].component_id == i) for i in ids)
 
 
+def test_links_of_crowds_are_complete(spark, monkeypatch):
+    """Two crowds whose members are about as far apart as the threshold, next to
+    each other and to single vectors, with copies, in several blocks."""
+    monkeypatch.setattr(rp_forest, "BLOCK", 700)
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(64)
+    other = centre + 0.6 * rng.standard_normal(64)
+    points = np.vstack([rng.standard_normal((2500, 64)), centre + 0.33 * rng.standard_normal((2500, 64)),
+                        other + 0.3 * rng.standard_normal((800, 64)), centre + 0.5 * rng.standard_normal((300, 64))])
+    points = np.vstack([points, points[2500:2540], points[5790:5810]]).astype(np.float32)
+    rows = [(i, p.tolist(), 0) for i, p in enumerate(points)]
+    n, root, _ = brute_links(points.astype(float), list(range(len(points))))
+    got = {r.vec_id: r for r in rp_forest.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    found = np.array([got[i].n_links for i in range(len(points))])
+    assert (found == n).mean() >= 0.99 and (found[2500:5000] == n[2500:5000]).all()
+    assert [got[i].component_id for i in range(len(points))] == root
+
+
 def test_forest_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [nan, 1.0]),
