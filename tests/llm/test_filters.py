@@ -100,6 +100,23 @@ def test_outliers_go_and_plain_documents_stay(spark):
     assert kept == set(range(240))
 
 
+def test_junk_of_a_junk_heavy_source_goes(spark):
+    """Sources with 30, 45 and 70 % of symbol-filled rows; the language is mostly clean."""
+    rows, junk = [], set()
+    for source, n, bad in (("a", 300, 0), ("b", 100, 30), ("c", 100, 45), ("d", 100, 70)):
+        for i in range(n):
+            key = len(rows)
+            text = prose(key, 120)
+            if i < bad:
+                junk.add(key)
+                text = " ".join(w + "%" * (3 + key % 3) for w in text.split())
+            rows.append((key, text, "en", source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.judge(docs).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == junk
+
+
 def test_estimate_withstands_a_quarter_of_outliers(spark):
     rng = np.random.default_rng(1)
     good = rng.multivariate_normal([1, 2], [[1.0, 0.6], [0.6, 1.0]], 800)
