@@ -117,6 +117,21 @@ def test_junk_of_a_junk_heavy_source_goes(spark):
     assert {r.doc_id for r in got if not r.kept} == junk
 
 
+def test_junk_of_small_groups_goes(spark):
+    """A small source of a large language and a small language, too few to pool."""
+    rows, junk = [], set()
+    for lang, source, n, bad in (("en", "a", 200, 0), ("en", "b", 10, 4), ("fr", "a", 6, 2)):
+        for i in range(n):
+            key = len(rows)
+            text = prose(key, 120)
+            if i < bad:
+                junk.add(key)
+                text = " ".join(w + "%%%" for w in text.split())
+            rows.append((key, text, lang, source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.judge(docs).where("not kept").collect()} == junk
+
+
 def test_estimate_withstands_a_quarter_of_outliers(spark):
     rng = np.random.default_rng(1)
     good = rng.multivariate_normal([1, 2], [[1.0, 0.6], [0.6, 1.0]], 800)
