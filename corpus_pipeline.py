@@ -56,8 +56,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [("quality_rules", quality_rules), ("toxicity", toxicity_filter), ("line_dedup", line_dedup_stage),
           ("ngram_jaccard_join", ngram_join), ("best_fit_packing", best_fit_packing)]
 
-# Outliers, the random field and the joins are not expressible in SQL; tests
-# hold each stage against a brute-force version.
+# Outliers, the random field and the joins are not expressible in SQL. Tests hold
+# each stage against its operator, and the operators of line_dedup and
+# ngram_jaccard_join against brute force; of quality_rules and toxicity only the
+# counts and the marginals are, their verdicts are tested on made-up documents.
 ORACLE_SQL = None
 
 
