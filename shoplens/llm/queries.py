@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import (byte_bpe, huffman, line_dedup, packing, quality, rp_forest, token_count,
-                          toxicity, trie_join, url_filter)
+from shoplens.llm import (byte_bpe, cover_lloyd, fill_middle, forest_search, huffman, line_dedup, packing, quality,
+                          rp_forest, token_count, toxicity, trie_join, url_filter)
 from shoplens.llm.common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,100 @@ def op9_line_dedup(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op4_embedding_forest(spark: SparkSession, base: str) -> DataFrame:
     return rp_forest.near_duplicates(read_table(spark, base, "embeddings"))
+
+
+@query
+def op11_cover_lloyd(spark: SparkSession, base: str) -> DataFrame:
+    return cover_lloyd.compress(read_table(spark, base, "embeddings"))
+
+
+@query
+def op12_forest_search(spark: SparkSession, base: str) -> DataFrame:
+    return forest_search.nearest(read_table(spark, base, "embeddings"))
+
+
+@query
+def op13_fill_middle(spark: SparkSession, base: str) -> DataFrame:
+    return fill_middle.transform_digest(read_table(spark, base, "documents"))
+
+
+ORACLE["op13_fill_middle"] = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM hashed),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# Every pair compared: what the search finds on tables that one leaf holds.
+ORACLE["op12_forest_search"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
+def lloyd_sql(parts: int = cover_lloyd.PARTS, entries: int = cover_lloyd.ENTRIES, rounds: int = cover_lloyd.ROUNDS) -> str:
+    """Every entry compared in each round; ``book`` has a row for each part, entry and component."""
+    steps = [f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+points AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+  FROM kept, range({parts}) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, e, x FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM points)
+  WHERE e < {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f""",
+near{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(label) AS label, p, any_value(a.x) AS x,
+         min(list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 256 + e) AS best
+  FROM points a JOIN book{k} b USING (p) GROUP BY vec_id, p)""")
+        if k < rounds:
+            steps.append(f""",
+mean{k} AS MATERIALIZED (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS x
+  FROM (SELECT p, best % 256 AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+        FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY p, best % 256, i)
+  GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e)""")
+    steps.append(f""",
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code,
+         sum(best // 256)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded, digest""")
+    return "".join(steps)
+
+
+ORACLE["op11_cover_lloyd"] = lloyd_sql()
