@@ -570,6 +570,12 @@ ORACLE["native_session_stats"] = ORACLE["session_stats"]
 ORACLE["native_top10_categories"] = ORACLE["top10_categories"]
 ORACLE["native_area_top3_products"] = ORACLE["area_top3_products"]
 ORACLE["native_filtered_actions"] = ORACLE["filtered_actions"]
+ORACLE["native_raw_session_stats"] = ORACLE["session_stats"]
+ORACLE["native_bucketed_filtered_actions"] = ORACLE["filtered_actions"]
+ORACLE["native_rejects"] = """
+SELECT (['date', 'action_time', 'click_category_id', 'order_category_ids', 'session_id'])[user_id % 5 + 1] AS reason,
+       count(*) AS rows
+FROM events WHERE event_type = 'purchase' GROUP BY 1"""
 ORACLE["session_stats_from_json"] = f"""
 WITH s AS ({ORACLE["session_stats"]}) SELECT *, 'run-1' AS taskid FROM s"""
 ORACLE["replaced_table"] = ORACLE["clicks_by_city_ad_day"]
@@ -604,3 +610,29 @@ p AS (SELECT strftime(ts, '%Y%m%d') AS date, province, adid, count(*) AS click_c
 r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn FROM p)
 SELECT date, province, adid, click_count FROM r WHERE rn <= 3"""
 ORACLE["stream_line_city_clicks"] = ORACLE["clicks_by_city_ad_day"]
+ORACLE["stream_timed_city_clicks"] = ORACLE["clicks_by_city_ad_day"]
+
+# --- late rows: days 10 to 24 arrive last, watermark ten days behind the newest click ----
+
+LATE = """
+WITH evk AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+clicks AS (SELECT ts, k % 20 AS adid, date_trunc('minute', ts) AS m,
+                  CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 WHEN ts >= TIMESTAMP '2024-01-25' THEN 2 ELSE 3 END AS part
+           FROM evk WHERE event_type = 'click'),
+low AS (SELECT max(ts) - INTERVAL 10 DAY AS low FROM clicks WHERE part < 3),
+judged AS (SELECT *, part = 3 AND m + INTERVAL 1 MINUTE <= low AS late FROM clicks, low)"""
+ORACLE["stream_late_minutes"] = LATE + """
+SELECT strftime(m, '%Y%m%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute, adid,
+       count(*) AS click_count
+FROM judged WHERE NOT late GROUP BY m, adid"""
+ORACLE["stream_late_report"] = LATE + """
+SELECT part::INT AS part, count(*) AS rows_in, count(*) FILTER (NOT late) AS rows_kept,
+       count(*) FILTER (late) AS rows_dropped, count(DISTINCT (m, adid)) FILTER (late) AS late_groups
+FROM judged GROUP BY part"""
+
+ORACLE["date_helpers"] = """
+WITH d AS (SELECT make_timestamp(epoch_us(now()))::DATE AS today)
+SELECT event_type, count(*) AS events, count(*) FILTER (ts::DATE < today) AS before_today,
+       count(*) FILTER (ts::DATE < today - 1) AS before_yesterday,
+       strftime(any_value(today), '%Y-%m-%d') AS today, strftime(any_value(today) - 1, '%Y-%m-%d') AS yesterday
+FROM events, d GROUP BY event_type"""

@@ -51,7 +51,6 @@ def _args(argv):
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--threshold", type=int, default=100)
     a.add_argument("--interval", default="5 seconds")
-    a.add_argument("--compact-every", type=int, default=100)
     a.add_argument("--max-files", type=int, default=FILES_PER_TRIGGER, help="files a batch takes at most")
     a.add_argument("--max-offsets", type=int, default=10_000_000, help="Kafka records a batch takes at most")
     a.add_argument("--once", action="store_true", help="process what is there, then stop")
@@ -85,11 +84,10 @@ def main(argv=None) -> int:
         if args.format in bound:
             opts.setdefault(bound[args.format][0], str(bound[args.format][1]))
         q = ad_stream.start_line_pipeline(parsed_line_stream(spark, args.format, opts, args.path), tables,
-                                          args.checkpoint, args.threshold, trigger, args.compact_every)
+                                          args.checkpoint, args.threshold, trigger)
     else:
         log, geo = events_click_stream(spark, args.input, args.max_files)
-        q = ad_stream.start_ad_pipeline(log, tables, args.checkpoint, args.threshold, trigger,
-                                        compact_every=args.compact_every, geo=geo)
+        q = ad_stream.start_ad_pipeline(log, tables, args.checkpoint, args.threshold, trigger, geo=geo)
     q.awaitTermination()
     return 0
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 
 from shoplens.operators import areas
 from shoplens.params import TaskParams
@@ -351,8 +351,7 @@ def q_hourly_sliding_clicks(m: Model) -> DataFrame:
 
 from shoplens.session import scratch_path  # noqa: E402
 from shoplens.streaming import ad_stream  # noqa: E402
-from shoplens.streaming.sources import (events_ad_stream, events_click_stream,  # noqa: E402
-                                        parsed_line_stream)
+from shoplens.streaming.sources import events_click_stream, parsed_line_stream  # noqa: E402
 
 _PIPELINE_RUNS: dict[tuple, str] = {}
 
@@ -375,7 +374,7 @@ def pipeline_tables(m: Model) -> ad_stream.AdTables:
 
 @query("stream_blacklist")
 def q_stream_blacklist(m: Model) -> DataFrame:
-    return pipeline_tables(m).blacklist.read()
+    return pipeline_tables(m).blocked()
 
 
 @query("stream_user_click_totals")
@@ -398,34 +397,36 @@ def q_stream_minute_trend(m: Model) -> DataFrame:
     return pipeline_tables(m).click_trend.read()
 
 
-def _stateful(m: Model, build, schema, keys, name: str) -> DataFrame:
-    from shoplens.sinks.running import RunningTable
+def _chained(m: Model, name: str, keys, duration: str, slide: str | None = None) -> DataFrame:
+    """Windows of the two-step stream over the events files: closed ones from its
+    output, open ones from its state."""
     root = scratch_path(m.spark, name)
-    table = RunningTable(m.spark, f"{root}/table", schema, keys, "set")
-    q = ad_stream.write_set_stream(build(events_ad_stream(m.spark, m.tables.base)), table,
-                                   f"{root}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    return table.read()
+    clicks, geo = events_click_stream(m.spark, m.tables.base)
+    counts = ad_stream.chained_counts(clicks, geo, keys, duration, slide)
+    ad_stream.start_closed(counts, f"{root}/closed", f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    closed = m.spark.read.schema(counts.schema).parquet(f"{root}/closed")
+    opened = ad_stream.open_counts(m.spark, f"{root}/checkpoint", geo, keys, duration, slide)
+    return ad_stream.all_counts(closed, opened, keys)
 
 
 @query("stream_running_city_counts")
 def q_stream_running_city_counts(m: Model) -> DataFrame:
-    return _stateful(m, ad_stream.running_city_counts, ad_stream.AD_STAT,
-                     ads.CITY_AD_KEYS, "running-city")
+    counts = _chained(m, "running-city", ["province", "city", "adid"], "1 day")
+    return counts.select(X.date_key("start").alias("date"), "province", "city", "adid", "click_count")
 
 
 @query("stream_sliding_hour_counts")
 def q_stream_sliding_hour_counts(m: Model) -> DataFrame:
-    """State holds minute counts; the windows are made when they are read."""
-    minutes = _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,
-                        ads.MINUTE_AD_KEYS, "running-sliding")
-    return ads.sliding_from_minutes(minutes)
+    counts = _chained(m, "running-sliding", ["adid"], "60 minutes", "1 minute")
+    return counts.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("window_start"),
+                         F.date_format("end", "yyyy-MM-dd HH:mm").alias("window_end"), "adid", "click_count")
 
 
 @query("stream_running_minute_counts")
 def q_stream_running_minute_counts(m: Model) -> DataFrame:
-    return _stateful(m, ad_stream.running_minute_counts, ad_stream.CLICK_TREND,
-                     ads.MINUTE_AD_KEYS, "running-minute")
+    counts = _chained(m, "running-minute", ["adid"], "1 minute")
+    return counts.select(X.date_key("start").alias("date"), F.date_format("start", "HH").alias("hour"),
+                         F.date_format("start", "mm").alias("minute"), "adid", "click_count")
 
 
 # --- page flow, area ranking over order lines --------------------------------
@@ -526,36 +527,36 @@ def two_batches(m: Model):
             log.filter(F.col("ts") >= F.lit(SPLIT_HIGH).cast("timestamp")))
 
 
-def _feed(m: Model, name: str, schema, keys, mode: str, frames, group_keys=()) -> DataFrame:
-    table = RunningTable(m.spark, scratch_path(m.spark, name), schema, keys, mode, group_keys)
+def _fed(m: Model, name: str, schema, frames, combine) -> DataFrame:
+    table = RunningTable(m.spark, scratch_path(m.spark, name), schema)
     for batch_id, df in enumerate(frames):
-        table.write_batch(df, batch_id)
+        table.merge(df, batch_id, combine)
     # A replayed batch overwrites its own output: the result must not change.
-    table.write_batch(frames[-1], len(frames) - 1)
+    table.merge(frames[-1], len(frames) - 1, combine)
     return table.read()
 
 
 @query("upsert_add")
 def q_upsert_add(m: Model) -> DataFrame:
     b1, b2 = two_batches(m)
-    return _feed(m, "upsert-add", ad_stream.USER_CLICKS, ads.USER_AD_KEYS, "add",
-                 [ads.clicks_by_user_ad_day(b1), ads.clicks_by_user_ad_day(b2)])
+    return _fed(m, "upsert-add", ad_stream.USER_CLICKS, [ads.clicks_by_user_ad_day(b1), ads.clicks_by_user_ad_day(b2)],
+                ad_stream.adding(ads.USER_AD_KEYS))
 
 
 @query("upsert_set")
 def q_upsert_set(m: Model) -> DataFrame:
     b1, b2 = two_batches(m)
-    return _feed(m, "upsert-set", ad_stream.AD_STAT, ads.CITY_AD_KEYS, "set",
-                 [ads.clicks_by_city_ad_day(b1), ads.clicks_by_city_ad_day(b2)])
+    return _fed(m, "upsert-set", ad_stream.AD_STAT, [ads.clicks_by_city_ad_day(b1), ads.clicks_by_city_ad_day(b2)],
+                ad_stream.setting(ads.CITY_AD_KEYS))
 
 
 @query("replace_groups")
 def q_replace_groups(m: Model) -> DataFrame:
-    b1, b2 = two_batches(m)
-    tops = [ads.top_n_per_province(ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(b)), 3)
-            for b in (b1, b2)]
-    return _feed(m, "replace-groups", ad_stream.PROVINCE_TOP3, ads.PROVINCE_AD_KEYS, "groups",
-                 tops, group_keys=("date", "province"))
+    """Each (date, province) is a partition; the batch's overwrite those it has rows for."""
+    table = RunningTable(m.spark, scratch_path(m.spark, "replace-groups"), ad_stream.PROVINCE_TOP3, ("date", "province"))
+    for b in two_batches(m):
+        table.replace(ads.top_n_per_province(ads.clicks_by_province_ad_day(ads.clicks_by_city_ad_day(b)), 3))
+    return table.read()
 
 
 @query("upsert_add_inline")
@@ -582,13 +583,58 @@ def q_replace_groups_inline(m: Model) -> DataFrame:
 
 # --- native tables: the original's stored form, read back ------------------------
 
+_NATIVE: dict[tuple, str] = {}
+
+
+def with_faults(stored: DataFrame) -> DataFrame:
+    """Stored actions as text, and of each one with orders a copy that cannot be
+    read: a wrong date, time, id, list or no session, by its user."""
+    rows = stored.select(*[F.col(c).cast("string").alias(c) for c in stored.columns]) \
+        .withColumn("click_category_id", F.when(F.col("click_category_id") != "-1", F.col("click_category_id")).otherwise(""))
+    kind = F.col("user_id").cast("bigint") % 5
+    fault = {"date": F.lit("2024-13-45"), "action_time": F.lit("noon"), "click_category_id": F.lit("x1"),
+             "order_category_ids": F.concat("order_category_ids", F.lit(",b")), "session_id": F.lit("")}
+    broken = rows.where("order_category_ids is not null").withColumns(
+        {c: F.when(kind == i, v).otherwise(F.col(c)) for i, (c, v) in enumerate(fault.items())})
+    return rows.unionByName(broken)
+
+
 def native_model(m: Model) -> native.NativeModel:
-    """The adapted tables stored as the original stores them, under the shared folder."""
-    folder = scratch_path(m.spark, "native")
-    native.store_actions(m.actions(None)).write.parquet(f"{folder}/user_visit_action")
-    m.users().write.parquet(f"{folder}/user_info")
-    m.products().write.parquet(f"{folder}/product_info")
-    return native.NativeModel(m.spark, folder)
+    """The adapted tables stored as the original stores them, faults included, and
+    admitted; once per session and input, under the shared folder."""
+    key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
+    if key not in _NATIVE:
+        folder = scratch_path(m.spark, "native")
+        with_faults(native.store_actions(m.actions(None))).write.partitionBy("date").parquet(f"{folder}/user_visit_action")
+        m.users().write.parquet(f"{folder}/user_info")
+        m.products().write.parquet(f"{folder}/product_info")
+        native.admit(native.table(m.spark, folder, "user_visit_action"), f"{folder}/admitted")
+        _NATIVE[key] = folder
+    return native.NativeModel(m.spark, _NATIVE[key], f"{_NATIVE[key]}/admitted")
+
+
+@query("native_rejects")
+def q_native_rejects(m: Model) -> DataFrame:
+    """Rows that could not be read, by the first field at fault."""
+    return native_model(m).rejected().groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("native_raw_session_stats")
+def q_native_raw_session_stats(m: Model) -> DataFrame:
+    """Straight from the stored table, its faulty rows left out while it is read."""
+    raw = native.NativeModel(m.spark, native_model(m).source)
+    return sessions.session_ratios(filtered_sessions(raw))
+
+
+@query("native_bucketed_filtered_actions")
+def q_native_bucketed_filtered_actions(m: Model) -> DataFrame:
+    """Actions bucketed by session: neither sessionising nor the semi-join moves them."""
+    n = native_model(m)
+    name = f"shoplens_actions_{uuid.uuid4().hex}"
+    buckets = int(m.spark.conf.get("spark.sql.shuffle.partitions"))
+    acts = native.bucketed(n.actions(DEFAULT_PARAMS), name, scratch_path(m.spark, "bucketed"), buckets)
+    kept = sessions.filter_sessions(sessions.enrich(sessions.sessionize(acts), n.users()), DEFAULT_PARAMS)
+    return render_actions(sessions.filtered_actions(acts, staged(kept.select("session_id"), "kept-sessions")))
 
 
 @query("native_session_stats")
@@ -654,15 +700,14 @@ def batched_tables(m: Model) -> ad_stream.AdTables:
             clicks, geo = events_click_stream(m.spark, t.base, None, events_dir=f"{root}/events")
             ad_stream.start_ad_pipeline(
                 clicks, ad_stream.AdTables.at(m.spark, f"{root}/tables"), f"{root}/checkpoint",
-                threshold=BATCHES_THRESHOLD, trigger={"availableNow": True}, geo=geo,
-                compact_every=2).awaitTermination()
+                threshold=BATCHES_THRESHOLD, trigger={"availableNow": True}, geo=geo).awaitTermination()
         _BATCH_RUNS[key] = root
     return ad_stream.AdTables.at(m.spark, f"{_BATCH_RUNS[key]}/tables")
 
 
 @query("stream_batches_blacklist")
 def q_stream_batches_blacklist(m: Model) -> DataFrame:
-    return batched_tables(m).blacklist.read()
+    return batched_tables(m).blocked()
 
 
 @query("stream_batches_city_clicks")
@@ -685,3 +730,89 @@ def q_stream_line_city_clicks(m: Model) -> DataFrame:
     ad_stream.start_line_pipeline(lines, tables, f"{root}/checkpoint", threshold=10 ** 9,
                                   trigger={"availableNow": True}).awaitTermination()
     return tables.ad_stat.read()
+
+
+@query("stream_timed_city_clicks")
+def q_stream_timed_city_clicks(m: Model) -> DataFrame:
+    """Batches started by a timer, one file of events each, until all are read."""
+    root = scratch_path(m.spark, "ad-timed")
+    m.tables.events.repartition(3, F.to_date("ts")).write.parquet(f"{root}/events")
+    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+    clicks, geo = events_click_stream(m.spark, m.tables.base, 1, events_dir=f"{root}/events")
+    q = ad_stream.start_ad_pipeline(clicks, tables, f"{root}/checkpoint", threshold=10 ** 9,
+                                    trigger={"processingTime": "1 second"}, geo=geo)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return tables.ad_stat.read()
+
+
+# --- late rows ------------------------------------------------------------------------
+
+LATE_DAYS = ("2024-01-10", "2024-01-25")
+LATE_DELAY = "10 days"
+_LATE_RUNS: dict[tuple, str] = {}
+
+
+def _part(ts) -> Column:
+    """1: before the late days, 2: after them, 3: the late days, which arrive last."""
+    low, high = (F.lit(d).cast("timestamp_ntz") for d in LATE_DAYS)
+    return F.when(ts < low, 1).when(ts >= high, 2).otherwise(3)
+
+
+def late_run(m: Model) -> tuple[RunningTable, str]:
+    """Minute counts of three parts of the events, each in a run of its own from
+    the checkpoint; most of the third is later than the watermark of the second."""
+    key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
+    if key not in _LATE_RUNS:
+        root = scratch_path(m.spark, "late")
+        table = RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND)
+        name = root.split("/")[-1]
+        report = ad_stream.BatchReport(m.spark, f"{root}/report", name)
+        m.spark.streams.addListener(report)
+        try:
+            for part in (1, 2, 3):
+                m.tables.events.where(_part(F.col("ts")) == part).write.mode("append").parquet(f"{root}/events")
+                clicks, _ = events_click_stream(m.spark, m.tables.base, None, events_dir=f"{root}/events")
+                counts = ad_stream.running_minute_counts(ad_stream.observed(clicks), LATE_DELAY)
+                ad_stream.write_set_stream(counts, table, ads.MINUTE_AD_KEYS, f"{root}/checkpoint",
+                                           {"availableNow": True}, name).awaitTermination()
+                report.ended.wait(60)
+        finally:
+            m.spark.streams.removeListener(report)
+        _LATE_RUNS[key] = root
+    root = _LATE_RUNS[key]
+    return RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND), f"{root}/report"
+
+
+@query("stream_late_minutes")
+def q_stream_late_minutes(m: Model) -> DataFrame:
+    """Minute counts without the clicks that came too late."""
+    return late_run(m)[0].read()
+
+
+@query("stream_late_report")
+def q_stream_late_report(m: Model) -> DataFrame:
+    """Clicks that each part brought, that were counted, and that were dropped as
+    late; the dropped (minute, ad) groups are the engine's own count."""
+    table, path = late_run(m)
+    day = X.parse_date_key("date").cast("timestamp_ntz")
+    kept = table.read().groupBy(_part(day).alias("part")).agg(F.sum("click_count").alias("rows_kept"))
+    report = m.spark.read.schema(ad_stream.REPORT).parquet(path).where("rows_in > 0")
+    part = Window.orderBy("batch_id")  # a row for each of the three runs
+    return report.withColumn("part", F.row_number().over(part)).join(kept, "part", "left") \
+        .select("part", "rows_in", F.coalesce("rows_kept", F.lit(0).cast("bigint")).alias("rows_kept"),
+                (F.col("rows_in") - F.coalesce("rows_kept", F.lit(0))).alias("rows_dropped"), "late_groups")
+
+
+# --- today and yesterday ------------------------------------------------------------------
+
+@query("date_helpers")
+def q_date_helpers(m: Model) -> DataFrame:
+    """Events of each type, and those before today and before yesterday (UTC days)."""
+    day = F.to_date("ts")
+    return m.tables.events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(X.before(day, X.today())).alias("before_today"),
+        F.count_if(X.before(day, X.yesterday())).alias("before_yesterday")) \
+        .withColumns({"today": X.format_date(X.today()), "yesterday": X.format_date(X.yesterday())})

@@ -1,234 +1,73 @@
-"""Running tables fed one micro-batch at a time.
-
-Layout under the table folder::
-
-    deltas/batch_id=<n>/[date=.../]     what batch n contributed
-    snapshots/upto=<n>/[date=.../]      merged state of batches 0..n (of the
-                                        dates touched since the previous one)
-    manifest/upto=<n>/                  the (upto, date) pairs in force from n on
-
-Each micro-batch overwrites only its own ``batch_id=<n>`` folder, so a
-replayed batch replaces what its first attempt wrote and never counts twice
-(a plain path overwrite: no dynamic-overwrite staging and renames). The current value is
-derived on read from the latest snapshot plus the deltas after it:
-
-* ``add``     - existing key: old + new (sum over batches);
-* ``set``     - existing key: overwritten (value of the latest batch);
-* ``groups``  - whole groups replaced by the latest batch that wrote them;
-* ``members`` - a set of keys (a batch adds members).
-
-Reads accept ``before_batch`` (state as of the start of a batch, so a replay
-sees exactly what its first attempt saw) and ``dates`` (partition pruning);
-they name the batch and snapshot folders they need. :meth:`compact` bounds
-both the read cost and the number of folders: for date-partitioned tables it
-rewrites only the dates touched since the previous snapshot, and once its
-manifest is committed it deletes what two later snapshots have superseded.
-The generation before the newest one stays, because a replay of the batch that
-compacted reads the state before it. A snapshot counts only with a committed
-manifest, so a compaction that dies half way is ignored and redone.
-
-The folders are made with the table. A missing or unreadable folder after
-that is an error, never an empty table.
+"""Running tables of a stream: partitioned Parquet that micro-batches overwrite.
+
+A batch never appends. It overwrites, by Spark's dynamic partition overwrite,
+the partitions it touches: :meth:`RunningTable.replace` with rows that stand for
+whole partitions, :meth:`RunningTable.merge` with its rows merged into what the
+partitions held. A merge first writes the merged partitions to the batch's own
+folder beside the table, and overwrites from there. A batch that is replayed
+finds that folder complete and only overwrites again; one that failed earlier
+left the table as it was. So every batch counts once, and the folder of the
+last batch is all that is kept besides the table.
+
+The folder is made with the table; if it is gone later, reading is an error.
+An empty text in a partition column reads back as null, as in any such table.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.session import folder_names, make_folder, path_exists, remove_path
 
-MODES = ("add", "set", "groups", "members")
-ROWS_PER_FILE = 500_000
-MANIFEST = T.StructType([T.StructField("upto", T.LongType()),
-                         T.StructField("date", T.StringType())])
+Combine = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 class RunningTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys,
-                 mode: str, group_keys=(), partition_by=("date",),
-                 rows_per_file: int = ROWS_PER_FILE):
-        if mode not in MODES:
-            raise ValueError(f"mode must be one of {MODES}")
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.keys = list(keys)
-        self.values = [f.name for f in schema.fields if f.name not in self.keys]
-        self.mode = mode
-        self.group_keys = list(group_keys)
-        self.partition_by = [c for c in partition_by if c in schema.fieldNames()]
-        self.rows_per_file = max(1, int(rows_per_file))
-        self._manifest: list[tuple[int, str | None]] | None = None   # loaded once
-        for sub in ("deltas", "snapshots", "manifest"):
-            make_folder(spark, f"{self.path}/{sub}")
-
-    # -- storage ------------------------------------------------------------
-    def _with(self, extra: str) -> T.StructType:
-        return T.StructType(self.schema.fields + [T.StructField(extra, T.LongType())])
-
-    def _ids(self, sub: str) -> list[int]:
-        """Numbers of the ``<name>=<n>`` folders under ``sub``."""
-        return sorted(int(n.split("=")[1]) for n in folder_names(self.spark, f"{self.path}/{sub}")
-                      if "=" in n)
-
-    def _read(self, sub: str, name: str, ids) -> DataFrame:
-        """Rows of the named folders, tagged with their number."""
-        schema = self._with(name)
-        if not ids:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{sub}") \
-            .parquet(*[f"{self.path}/{sub}/{name}={i}" for i in ids])
-
-    def _cast(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Write batch ``batch_id``'s contribution."""
-        self._write(self._cast(df), f"{self.path}/deltas/batch_id={int(batch_id)}")
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        """Files of about ``rows_per_file`` rows per partition: the rows of each
-        partition value are counted, and its keys are hashed over that many
-        writers, so a date that holds most rows is written by as many more."""
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not self.partition_by:
-                files = -(-df.count() // self.rows_per_file)
-                df.repartition(max(1, files), *self.keys).write.mode("overwrite").parquet(path)
-                return
-            files = df.groupBy(*self.partition_by).agg(
-                F.ceil(F.count(F.lit(1)) / self.rows_per_file).alias("_files"))
-            bucket = F.pmod(F.xxhash64(*self.keys), F.col("_files"))
-            # one row for each partition value of the batch
-            spread = df.join(F.broadcast(files), self.partition_by) \
-                .repartition(*self.partition_by, bucket).drop("_files")
-            spread.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
-        finally:
-            df.unpersist()
-
-    def _by_date(self) -> bool:
-        return "date" in self.partition_by
-
-    def manifest(self) -> list[tuple[int, str | None]]:
-        """The (snapshot id, date) pairs in force, read from the newest committed
-        manifest once per table object; the writer keeps the list current."""
-        if self._manifest is None:
-            done = [i for i in self._ids("manifest")
-                    if path_exists(self.spark, f"{self.path}/manifest/upto={i}/_SUCCESS")]
-            rows = self.spark.read.schema(MANIFEST).parquet(
-                f"{self.path}/manifest/upto={done[-1]}").collect() if done else []
-            self._manifest = sorted((r["upto"], r["date"]) for r in rows)
-        return self._manifest
-
-    def snapshot_ids(self) -> list[int]:
-        return sorted({u for u, _ in self.manifest()})
-
-    def latest_snapshot(self, before_batch: int | None = None) -> int | None:
-        """Id of the newest completed snapshot below ``before_batch``."""
-        ids = [i for i in self.snapshot_ids()
-               if before_batch is None or i < int(before_batch)]
-        return ids[-1] if ids else None
-
-    def _snapshot_of(self, before_batch: int | None, dates=None) -> dict:
-        """date (None for tables without dates) -> newest snapshot id."""
-        out: dict = {}
-        wanted = None if dates is None else set(dates)
-        for u, d in self.manifest():
-            if before_batch is not None and u >= int(before_batch):
-                continue
-            if wanted is not None and self._by_date() and d not in wanted:
-                continue
-            out[d] = max(u, out.get(d, -1))
-        return out
-
-    def compact(self, upto_batch: int) -> None:
-        """Snapshot the merged state of batches ``0..upto_batch``; for
-        date-partitioned tables only the dates written since the previous
-        snapshot. Superseded folders go once the manifest is committed."""
-        upto = int(upto_batch)
-        last = max([u for u, _ in self.manifest()] or [-1])
-        if upto <= last:
-            return
-        dates = None
-        if self._by_date():
-            recent = self._read("deltas", "batch_id", [i for i in self._ids("deltas") if last < i <= upto])
-            dates = sorted(r[0] for r in recent.select("date").distinct().collect())
-            if not dates:
-                return
-        self._write(self._cast(self.read(before_batch=upto + 1, dates=dates)),
-                    f"{self.path}/snapshots/upto={upto}")
-        every = sorted(set(self.manifest()) | {(upto, d) for d in (dates or [None])})
-        kept, gone = [], []
-        for pair in every:
-            newer = sum(d == pair[1] and u > pair[0] for u, d in every)
-            (gone if newer > 1 else kept).append(pair)
-        self.spark.createDataFrame(kept, MANIFEST).coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.path}/manifest/upto={upto}")
-        self._manifest = kept
-        self._clean(gone, kept, last)
-
-    def _clean(self, gone: list, kept: list, last: int) -> None:
-        for u, d in gone:
-            remove_path(self.spark, f"{self.path}/snapshots/upto={u}" + (f"/date={d}" if d else ""))
-        used = {u for u, _ in kept}
-        for i in self._ids("snapshots"):
-            if i < last and i not in used:
-                remove_path(self.spark, f"{self.path}/snapshots/upto={i}")
-        for i in self._ids("deltas"):
-            if i <= last:
-                remove_path(self.spark, f"{self.path}/deltas/batch_id={i}")
-        for i in self._ids("manifest"):
-            if i < last:
-                remove_path(self.spark, f"{self.path}/manifest/upto={i}")
-
-    # -- reading ------------------------------------------------------------
-    def raw(self, before_batch: int | None = None, dates=None) -> DataFrame:
-        """Snapshot rows (tagged with the snapshot's batch id) and later deltas."""
-        snap = self._snapshot_of(before_batch, dates)
-        # dates without a snapshot may have rows in any delta that is left
-        oldest = -1 if self._by_date() or not snap else snap[None]
-        ids = [i for i in self._ids("deltas")
-               if i > oldest and (before_batch is None or i < int(before_batch))]
-        deltas = self._read("deltas", "batch_id", ids)
-        if dates is not None and self._by_date():
-            deltas = deltas.filter(F.col("date").isin(list(dates)))
-        if not snap:
-            return deltas
-        snapshots = self._read("snapshots", "upto", sorted(set(snap.values())))
-        if not self._by_date():
-            base = snapshots
-        else:
-            # Group dates by their newest snapshot: a few partition filters.
-            groups: dict[int, list[str]] = {}
-            for d, u in snap.items():
-                groups.setdefault(u, []).append(d)
-            base_cond = F.lit(False)
-            newer = ~F.col("date").isin(list(snap))
-            for u, ds in groups.items():
-                base_cond = base_cond | ((F.col("upto") == u) & F.col("date").isin(ds))
-                newer = newer | (F.col("date").isin(ds) & (F.col("batch_id") > u))
-            base = snapshots.filter(base_cond)
-            deltas = deltas.filter(newer)
-        return base.withColumnRenamed("upto", "batch_id").unionByName(deltas)
-
-    def read(self, before_batch: int | None = None, dates=None,
-             only: DataFrame | None = None) -> DataFrame:
-        """Current value. ``only`` (a frame of key columns) restricts the
-        merge to those keys: raw rows are semi-joined to it first, so a
-        batch that touches few keys does not re-merge a whole day."""
-        df = self.raw(before_batch, dates)
-        if only is not None:
-            df = df.join(only.distinct(), list(only.columns), "left_semi")
-        if self.mode == "add":
-            return df.groupBy(*self.keys).agg(
-                *[F.sum(v).cast("bigint").alias(v) for v in self.values])
-        if self.mode == "set":
-            return df.groupBy(*self.keys).agg(
-                *[F.max_by(v, "batch_id").alias(v) for v in self.values])
-        if self.mode == "groups":
-            latest = df.groupBy(*self.group_keys).agg(F.max("batch_id").alias("batch_id"))
-            return df.join(latest, self.group_keys + ["batch_id"], "left_semi").drop("batch_id")
-        return df.select(*self.keys).distinct()
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_by=("date",)):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by = list(partition_by)
+        self.batches = f"{self.path}-batches"
+        for folder in (self.path, self.batches):
+            make_folder(spark, folder)
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(path).select(*self.schema.names)
+
+    def read(self) -> DataFrame:
+        return self._read(self.path)
+
+    def replace(self, rows: DataFrame) -> None:
+        """Overwrite the partitions that ``rows`` hold; others stay."""
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(*self.partition_by).parquet(self.path)
+
+    def merge(self, rows: DataFrame, batch_id: int, combine: Combine, touched: list | None = None) -> DataFrame:
+        """Partitions that ``rows`` touch, as ``combine(old rows, rows)`` leaves them, put in place.
+
+        For tables with one partition column; ``touched`` are its values in
+        ``rows``, if the caller knows them. Returns the partitions; on a replay,
+        as its first attempt left them. They can be read until the next batch's
+        merge."""
+        folder = f"{self.batches}/batch_id={int(batch_id)}"
+        if not path_exists(self.spark, f"{folder}/_SUCCESS"):
+            part = self.partition_by[0]
+            if touched is None:
+                touched = [r[0] for r in rows.select(part).distinct().collect()]
+            merged = combine(self.read().where(F.col(part).isin(touched) | (F.col(part).isNull() & F.lit(None in touched))), rows)
+            # many partitions get one writer each, few are shared out over all writers
+            width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            files = 1 if len(touched) >= width else -(-4 * width // max(1, len(touched)))
+            merged.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]) \
+                .repartition(width, part, F.pmod(F.xxhash64(*self.schema.names), F.lit(files))) \
+                .write.mode("overwrite").parquet(folder)
+        merged = self._read(folder)
+        self.replace(merged)
+        for name in folder_names(self.spark, self.batches):
+            if name != f"batch_id={int(batch_id)}":
+                remove_path(self.spark, f"{self.batches}/{name}")
+        return merged
