@@ -21,9 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import spread, text_runs, tokenizer_file
+from shoplens.llm.common import byte_runs, spread, text_runs, tokenizer_file
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+RUN_BYTES = 1_000_000
+MATCHES = 100_000   # pre-tokens that are looked up at once; a longer text is encoded in parts
+KEPT_BYTES = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -124,9 +127,10 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class ByteEncoder:
-    """Both tiers over one vocabulary; what misses gave is kept, bounded by ``limit``."""
+    """Both tiers over one vocabulary; what misses gave is kept, bounded by ``limit``
+    pre-tokens of at most ``KEPT_BYTES``."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 400_000):
+    def __init__(self, path: str, pattern: str, limit: int = 100_000):
         import regex
 
         self.ranks = read_ranks(path)
@@ -135,14 +139,12 @@ class ByteEncoder:
         self.hash = PerfectHash(self.keys)
         self.whole = [self.ids[k].astype("<u4").tobytes() for k in self.hash.key_at]
         self.at = [self.keys[k] for k in self.hash.key_at]
-        self.cut = regex.compile(pattern).findall
+        self.cut = regex.compile(pattern)
         self.limit = limit
         self.merged: dict[bytes, bytes] = {}
 
     def pre_tokens(self, items: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each pre-token."""
-        if len(self.merged) > self.limit:
-            self.merged.clear()
         merged, at, whole, out = self.merged, self.at, self.whole, []
         for item, slot in zip(items, self.hash.slots(items).tolist()):
             if at[slot] == item:
@@ -150,23 +152,55 @@ class ByteEncoder:
                 continue
             got = merged.get(item)
             if got is None:
-                got = merged[item] = np.array(merge_bytes(item, self.ranks), "<u4").tobytes()
+                got = np.array(merge_bytes(item, self.ranks), "<u4").tobytes()
+                if len(item) <= KEPT_BYTES:
+                    if len(merged) >= self.limit:
+                        merged.clear()
+                    merged[item] = got
             out.append(got)
         return out
 
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The text's pre-tokens, in lists of about ``MATCHES``."""
+        if len(text) <= MATCHES:
+            yield self.cut.findall(text)
+            return
+        held = []
+        for m in self.cut.finditer(text):
+            held.append(m.group())
+            if len(held) >= MATCHES:
+                yield held
+                held = []
+        yield held
+
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of an Arrow string array."""
+        out, size = [np.zeros(0, "<u4")], np.zeros(len(texts), np.int64)
+        items, owners, counts = [], [], []
+
+        def flush() -> None:
+            ids, bounds = self._ids(items, np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]))
+            out.append(ids)
+            np.add.at(size, owners, np.diff(bounds))
+            for held in (items, owners, counts):
+                held.clear()
+
+        for i, t in enumerate(texts):
+            for part in self.pieces(t.as_py()):
+                items += part
+                owners.append(i)
+                counts.append(len(part))
+                if len(items) >= MATCHES:
+                    flush()
+        flush()
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(size)])
+
+    def _ids(self, items: list[str], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
 
-        parts, size = [], []
-        for t in texts.to_numpy(zero_copy_only=False):
-            found = self.cut(t)
-            size.append(len(found))
-            parts.append(pa.array(found, pa.large_string()))
-        bounds = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        coded = pa.concat_arrays(parts).dictionary_encode() if parts else pa.array([], pa.large_string()).dictionary_encode()
-        items = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
-        return spread(self.pre_tokens(list(items)), coded.indices.to_numpy().astype(np.int64), bounds)
+        coded = pa.array(items, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        return spread(self.pre_tokens(list(distinct)), coded.indices.to_numpy().astype(np.int64), bounds)
 
 
 _ENCODERS: dict[str, ByteEncoder] = {}
@@ -181,21 +215,25 @@ def byte_encoder(name: str) -> ByteEncoder:
     return _ENCODERS[name]
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit) of every row."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType())])
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, decoded: bool = False) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit) of every row; with ``decoded``
+    also the bytes that these ids decode to."""
+    fields = [docs.schema["doc_id"], T.StructField("ids", T.BinaryType())]
+    schema = T.StructType(fields + ([T.StructField("bytes", T.BinaryType())] if decoded else []))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         enc = byte_encoder(vocabulary)
+        dec = byte_decoder(vocabulary) if decoded else None
         for batch in batches:
-            for first, texts in text_runs(batch.column(1)):
+            for first, texts in text_runs(batch.column(1), RUN_BYTES):
                 ids, bounds = enc.encode(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)),
-                     pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
-                    names=schema.names)
+                raw = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                columns = [batch.column(0).slice(first, len(texts)), pa.array(raw, pa.binary())]
+                if dec:
+                    columns.append(pa.array([dec.decode(np.frombuffer(x, "<u4")) for x in raw], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -213,6 +251,9 @@ class ByteDecoder:
         self.first = np.cumsum(self.size) - self.size
 
     def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(self._bytes(ids[lo:lo + MATCHES]) for lo in range(0, len(ids), MATCHES))
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
         size = self.size[ids]
         end = np.cumsum(size)
         at = np.repeat(self.first[ids] - (end - size), size)
@@ -223,19 +264,26 @@ class ByteDecoder:
 _DECODERS: dict[str, ByteDecoder] = {}
 
 
+def byte_decoder(name: str) -> ByteDecoder:
+    """The decoder of this Python worker, made on first use."""
+    if name not in _DECODERS:
+        _DECODERS[name] = ByteDecoder(tokenizer_file(name))
+    return _DECODERS[name]
+
+
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, ids and the decoded bytes of every row; null ids decode to no bytes."""
     schema = T.StructType([encoded.schema["doc_id"], encoded.schema["ids"], T.StructField("bytes", T.BinaryType())])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        if vocabulary not in _DECODERS:
-            _DECODERS[vocabulary] = ByteDecoder(tokenizer_file(vocabulary))
-        dec = _DECODERS[vocabulary]
+        dec = byte_decoder(vocabulary)
         for batch in batches:
-            for lo in range(0, len(batch), 1000):
-                part = batch.slice(lo, 1000)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in byte_runs(size, RUN_BYTES):
+                part = batch.slice(lo, hi - lo)
                 out = [dec.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())],
                                                  names=schema.names)
@@ -245,6 +293,6 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def round_trip_digest(docs: DataFrame) -> DataFrame:
     """Token count and digests of ids and decoded bytes of every row."""
-    return decode(encode(docs)).select(
+    return encode(docs, decoded=True).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -12,7 +12,7 @@ from shoplens.session import scratch_path
 
 # Bytes of text that one run of a batch may hold; bounds what is alive at once
 # whatever the batch size. A longer text makes a run of its own.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 2_000_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -91,20 +91,43 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def byte_runs(sizes, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of items whose ``sizes`` sum to about ``limit``; a larger item is a run of its own.
+
+    After the last one, free memory goes back to the system, so that what an
+    idle worker holds does not add up.
+    """
+    import numpy as np
+
+    end, lo = np.cumsum(sizes), 0
+    while lo < len(end):
+        before = end[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(end, before + limit, "right")))
+        yield lo, hi
+        lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory of Arrow and of the C library to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_runs(column, limit: int = SLICE_BYTES) -> Iterator:
     """(first row, Arrow string array) runs of about ``limit`` bytes; null reads as empty."""
-    import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
     column = pc.fill_null(column.cast(pa.large_string()), "")
-    size = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
-    lo = 0
-    while lo < len(column):
-        before = size[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(size, before + limit, "right")))
+    for lo, hi in byte_runs(pc.binary_length(column).to_numpy(zero_copy_only=False), limit):
         yield lo, column.slice(lo, hi - lo)
-        lo = hi
 
 
 def split_words(texts):
@@ -173,7 +196,7 @@ class WordEncoder:
     whole library. What is kept is bounded: at ``limit`` words it starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import fresh, materialise, small_side, split_words, text_runs
+from shoplens.llm.common import byte_runs, fresh, materialise, small_side, split_words, text_runs
 
 MIN_WORDS = 3
-NEAR_WORDS = 10
+NEAR_WORDS = 5
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2 ** 64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 TWIST = np.uint64(0xD6E8FEB86659FD93)
@@ -287,10 +287,12 @@ def strip_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str, str]:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
-            for lo in range(0, len(batch), 1000):
-                part = batch.slice(lo, 1000)
+            size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in byte_runs(size + 100):
+                part = batch.slice(lo, hi - lo)
                 texts, all_lines, went = [], [], []
                 for text, drop in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
                     split = (text or "").split("\n")

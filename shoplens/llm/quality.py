@@ -40,11 +40,15 @@ STEPS = 4
 STARTS = 3
 TABLE = "all"  # the group of all rows
 # Squared distance, in units where a normal sample's median is that of a
-# chi-squared variable with as many degrees of freedom as features.
-CUTOFF = 400.0
+# chi-squared variable with as many degrees of freedom as features: that
+# variable's quantile of 1 - 1/10,000, so a normal sample loses so many.
+CUTOFF = 23.5
 # Least standard deviation of each feature: smaller spreads are noise, and a
 # feature that most documents have at zero must not make any value an outlier.
-FLOORS = {"x_length": 0.3, "x_symbols": 0.02, "x_lines": 0.04, "x_repeats": 0.04}
+# A document rejected by one feature alone differs from its group's centre by
+# more than sqrt(CUTOFF) of these: words longer or shorter by a third, a symbol
+# in seven words, a repeated line in 26 words, a third of the words repeated.
+FLOORS = {"x_length": 0.06, "x_symbols": 0.08, "x_lines": 0.04, "x_repeats": 0.12}
 
 
 def text_counts(docs: DataFrame) -> DataFrame:

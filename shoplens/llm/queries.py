@@ -164,3 +164,67 @@ FROM coded, digest""")
 
 
 ORACLE["op11_cover_lloyd"] = lloyd_sql()
+
+ORACLE["op4_embedding_forest"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS id, vec_id AS root FROM embeddings
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id),
+roots AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+degrees AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots ON roots.id = vec_id LEFT JOIN degrees ON degrees.id = vec_id
+"""
+
+SQL_WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+# Every pair of documents that share a shingle is counted.
+ORACLE["op7_trie_join"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+flat AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) + any_value(y.n) AS n, count(*) AS shared
+                    FROM flat x JOIN flat y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  WHERE 100 * shared >= 75 * (n - shared)),
+reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT id, min(root) AS component_id FROM reach GROUP BY id) ON id = doc_id
+"""
+
+# Lines one word edit apart share the line without that word, at one place or as a whole line.
+ORACLE["op9_line_dedup"] = f"""
+WITH split AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS MATERIALIZED (
+  SELECT doc_id, line, {SQL_WORDS.format("lines[line + 1]")} AS w
+  FROM (SELECT doc_id, lines, unnest(range(len(lines))) AS line FROM split)),
+classes AS MATERIALIZED (
+  SELECT w, min((doc_id, line)) AS first FROM lines WHERE len(w) >= 3 GROUP BY w),
+variants AS MATERIALIZED (
+  SELECT first, w, 0 AS spot, md5(array_to_string(w, ' ')) AS key FROM classes WHERE len(w) >= 5
+  UNION ALL
+  SELECT first, w, spot, md5(array_to_string(w[:spot - 1] || w[spot + 1:], ' '))
+  FROM (SELECT first, w, unnest(range(1, len(w) + 1)) AS spot FROM classes WHERE len(w) >= 5)),
+near AS (
+  SELECT DISTINCT x.w FROM variants x JOIN variants y
+  ON x.key = y.key AND x.first > y.first AND (x.spot = y.spot OR x.spot = 0 OR y.spot = 0)),
+gone AS MATERIALIZED (
+  SELECT doc_id, line FROM lines JOIN classes USING (w) WHERE first <> (doc_id, line)
+  UNION SELECT doc_id, line FROM lines JOIN near USING (w)),
+removed AS (SELECT doc_id, count(*) AS n, list(line) AS numbers FROM gone GROUP BY doc_id)
+SELECT doc_id, len(lines) AS n_lines, coalesce(n, 0) AS n_removed,
+       CASE WHEN n IS NULL THEN text
+            ELSE array_to_string(list_filter(lines, lambda x, i: NOT list_contains(numbers, i - 1)), chr(10)) END AS kept_text
+FROM split LEFT JOIN removed USING (doc_id)
+"""

@@ -6,8 +6,8 @@ median of its points' projections on a random direction, and points within
 ``SPILL`` of the median, by rank, go to both sides, so a tree's leaves overlap
 and follow the density. Trees are added until the linked pairs of the sample
 share a leaf as often as ``RECALL`` asks for. Every class is then sent to its
-leaves of every tree, compared within each leaf in double precision (a leaf
-that holds more than the sample foretold is split further in place), and the
+leaves of every tree, all classes of a leaf are compared in double precision (a
+leaf of more than ``BLOCK`` classes in salted blocks, each with each), and the
 verified pairs of all trees are united.
 
 Crowds, places where the sample tells of ``CROWD`` classes or more within the
@@ -55,7 +55,8 @@ TREES = (6, 24)   # at least, at most
 CROWD = 256       # classes within the threshold of one that make a crowd
 SEEN = 16         # sample points that a crowd shows at least
 REACH = 1.5       # radius of a crowd, in angles of the threshold
-BLOCK = 4096      # classes of a crowd's block
+BLOCK = 4096      # classes of a block of a crowd or leaf
+FOREST_BYTES = 1 << 26  # of the directions of all trees; wide vectors get fewer, larger leaves
 PROBES = 256      # classes whose links are counted over the whole table
 
 
@@ -159,7 +160,8 @@ def grow(sample: np.ndarray, total: int, threshold: float, seed: int = 7, least:
     rng = np.random.default_rng(seed)
     shrink = math.log(1 / (0.5 + SPILL))
     depth = max(0, min(math.ceil(math.log(max(1, total / LEAF)) / shrink),
-                       int(math.log(max(1, len(sample) / LEAST)) / shrink)))
+                       int(math.log(max(1, len(sample) / LEAST)) / shrink),
+                int(math.log2(max(1, FOREST_BYTES // (4 * TREES[1] * sample.shape[1]))))))
     checked = sample[:CHECKED]
     a, b = linked(checked, threshold)
     if len(a) > 200_000:
@@ -178,22 +180,6 @@ def grow(sample: np.ndarray, total: int, threshold: float, seed: int = 7, least:
     return trees
 
 
-def leaf_pairs(points: np.ndarray, threshold: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs within a leaf; one far over LEAF is split by further trees in place."""
-    if len(points) <= 4 * LEAF:
-        return linked(points, threshold)
-    depth = math.ceil(math.log(len(points) / LEAF) / math.log(1 / (0.5 + SPILL)))
-    found = set()
-    for _ in range(TREES[0] // 2):
-        at, node = Tree(points, depth, rng).leaves(points)
-        order = np.argsort(node, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
-            i, j = linked(points[at[part]], threshold)
-            found.update(zip(np.minimum(at[part][i], at[part][j]).tolist(), np.maximum(at[part][i], at[part][j]).tolist()))
-    pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
-
-
 def valid(vector: str = "embedding"):
     """Is the vector usable?"""
     v = F.col(vector)
@@ -218,11 +204,12 @@ def packed(points: np.ndarray) -> np.ndarray:
 
 def sampled(classes: DataFrame, n: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """(cids, unit vectors) of the n classes of the lowest hash, by length."""
-    out: dict[int, list] = {}
-    for r in classes.orderBy(F.xxhash64("cid"), "cid").limit(n).select("cid", "embedding").collect():
-        out.setdefault(len(r["embedding"]), []).append(r)
-    return {d: (np.array([r["cid"] for r in rows], np.int64), unit(np.array([r["embedding"] for r in rows])))
-            for d, rows in out.items()}
+    table = classes.orderBy(F.xxhash64("cid"), "cid").limit(n).select("cid", "embedding").toArrow().combine_chunks()
+    out = {}
+    for batch in table.to_batches():  # one, or none of an empty table
+        for d, rows, points in by_length(batch, 1):
+            out[d] = batch.column(0).to_numpy()[rows], points
+    return out
 
 
 def place(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float) -> DataFrame:
@@ -305,38 +292,71 @@ def crowd_links(placed: DataFrame, threshold: float) -> DataFrame:
     return dealt.groupBy("size", "crowd", "low", "high").applyInArrow(compare, "a long, b long, n long")
 
 
-def forest_links(classes: DataFrame, forests: dict[int, list[Tree]], threshold: float) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of linked classes that share a leaf."""
-    def route(batches: Iterator) -> Iterator:
+def routed(classes: DataFrame, forests: dict[int, list[Tree]], crowded: dict | None) -> DataFrame:
+    """Leaf counts (size, tree, leaf, n), or (if ``crowded`` names the blocks of large
+    leaves) the classes of each leaf, dealt to the pairs of its blocks."""
+    schema = "size int, tree int, leaf long, n long" if crowded is None else \
+        "size int, tree int, leaf long, low int, high int, own int, cid long, point binary"
+
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for d, rows, points in by_length(batch, 1):
-                raw, cid = packed(points), batch.column(0).to_numpy()[rows]
-                # a length that the sample does not hold has one leaf, split in place
+                raw, cid = packed(points) if crowded is not None else None, batch.column(0).to_numpy()[rows]
+                # a length that the sample does not hold has one leaf
                 for t, tree in enumerate(forests.get(d, [None])):
                     at, node = tree.leaves(points) if tree else (np.arange(len(rows)), np.zeros(len(rows), np.int64))
-                    for lo in range(0, len(at), 5000):
-                        i = at[lo:lo + 5000]
+                    if crowded is None:
+                        leaf, n = np.unique(node, return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(leaf), d, np.int32)), pa.array(np.full(len(leaf), t, np.int32)),
+                             pa.array(leaf), pa.array(n)], names=["size", "tree", "leaf", "n"])
+                        continue
+                    blocks = np.ones(len(node), np.int64)
+                    for leaf, b in crowded.get((d, t), {}).items():
+                        blocks[node == leaf] = b
+                    own = (cid[at] * 0x9E3779B1 >> 16) % blocks
+                    # block b meets each block of its leaf, itself included
+                    copy = np.repeat(np.arange(len(at)), blocks)
+                    other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                    for lo in range(0, len(copy), 5000):
+                        i, o = copy[lo:lo + 5000], other[lo:lo + 5000]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(i), d, np.int32)), pa.array(np.full(len(i), t, np.int32)),
-                             pa.array(node[lo:lo + 5000]), pa.array(cid[i]), pa.array(raw[i], pa.binary())],
-                            names=["size", "tree", "leaf", "cid", "point"])
+                            [pa.array(np.full(len(i), d, np.int32)), pa.array(np.full(len(i), t, np.int32)), pa.array(node[i]),
+                             pa.array(np.minimum(own[i], o).astype(np.int32)), pa.array(np.maximum(own[i], o).astype(np.int32)),
+                             pa.array(own[i].astype(np.int32)), pa.array(cid[at[i]]), pa.array(raw[at[i]], pa.binary())],
+                            names=["size", "tree", "leaf", "low", "high", "own", "cid", "point"])
+
+    return classes.select("cid", "embedding").mapInArrow(run, schema)
+
+
+def forest_links(classes: DataFrame, forests: dict[int, list[Tree]], threshold: float) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of linked classes that share a leaf; all of them."""
+    crowded: dict[tuple[int, int], dict[int, int]] = {}
+    # at most a row for each leaf of the forest
+    for r in routed(classes, forests, None).groupBy("size", "tree", "leaf").agg(F.sum("n").alias("n")) \
+            .where(F.col("n") > BLOCK).collect():
+        crowded.setdefault((r["size"], r["tree"]), {})[r["leaf"]] = -(-r["n"] // BLOCK)
 
     def compare(table):
         import pyarrow as pa
 
         cid = table.column("cid").to_numpy()
-        order = np.argsort(cid)
-        cid = cid[order]
-        raw = table.column("point").to_pylist()
-        points = np.frombuffer(b"".join(raw[i] for i in order), "<f8").reshape(len(cid), -1)
-        i, j = leaf_pairs(points, threshold, np.random.default_rng(len(cid)))
-        return pa.table({"a": pa.array(cid[i], pa.int64()), "b": pa.array(cid[j], pa.int64())})
-
-    routed = classes.select("cid", "embedding").mapInArrow(
-        route, "size int, tree int, leaf long, cid long, point binary")
-    return routed.groupBy("size", "tree", "leaf").applyInArrow(compare, "a long, b long").distinct()
+        points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<f8").reshape(len(cid), -1)
+        own, low, high = table.column("own").to_numpy(), table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        if low == high:
+            i, j = linked(points, threshold)
+        else:
+            left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+            met = [np.nonzero(points[left[lo:lo + 1024]] @ points[right].T >= threshold) for lo in range(0, len(left), 1024)]
+            i = np.concatenate([left[:0], *[left[lo + x] for lo, (x, _) in zip(range(0, len(left), 1024), met)]])
+            j = np.concatenate([right[:0], *[right[y] for _, y in met]])
+        return pa.table({"a": pa.array(np.minimum(cid[i], cid[j]), pa.int64()),
+                         "b": pa.array(np.maximum(cid[i], cid[j]), pa.int64())})
+
+    return routed(classes, forests, crowded).groupBy("size", "tree", "leaf", "low", "high") \
+        .applyInArrow(compare, "a long, b long").distinct()
 
 
 def probe_links(classes: DataFrame, probes: dict[int, tuple[np.ndarray, np.ndarray]], threshold: float) -> DataFrame:

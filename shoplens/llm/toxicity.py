@@ -37,9 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import split_words, text_runs
+from shoplens.llm.common import give_back, split_words, text_runs
 
 SAMPLE = 2000       # labelled documents of each kind that fitting reads
+SAMPLE_BYTES = 65_536  # of such a document; longer ones are judged, but not read for the fit
 MAX_FEATURES = 5000
 PREFIXES = (4, 5, 6, 7)
 MIN_RATIO = 4.0     # times the share of clean documents that a feature must have of toxic ones
@@ -76,7 +77,7 @@ class Field:
     def emission(self, word: str) -> float:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 1_000_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             w = self.weights
             got = self.known[word] = sum([w[f] for f in word_features(word) if f in w])
@@ -132,15 +133,19 @@ class Field:
 def sample_texts(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> tuple[list[str], list[str]]:
     """(toxic texts, clean texts) of at most ``limit`` labelled documents each.
 
-    Rows with crc32(doc_id as text) mod 4 = 2 are held out.
+    Only labels of documents that are there count, and only texts of up to
+    ``SAMPLE_BYTES`` are read. Rows with crc32(doc_id as text) mod 4 = 2 are held out.
     """
+    there = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).select("doc_id").distinct()
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic")).where(~held_out())
+        F.max("toxic").alias("toxic")).where(~held_out()).join(there, "doc_id", "left_semi")
     picked = [known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
               for kind in (1, 0)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * limit rows at most
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic").collect()
-    return ([r["text"] or "" for r in rows if r["toxic"] == 1], [r["text"] or "" for r in rows if r["toxic"] == 0])
+    rows = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).select("doc_id", "text") \
+        .join(ids, "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic").toArrow()
+    texts, kinds = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
+    return tuple([t or "" for t, k in zip(texts, kinds) if k == kind] for kind in (1, 0))
 
 
 def held_out():
@@ -179,12 +184,16 @@ def fit(toxic_texts: list[str], clean_texts: list[str], rounds: int = 60) -> Fie
 
     def of(word: str) -> list[str]:
         if word not in known:
+            if len(known) > 100_000:
+                known.clear()
             known[word] = word_features(word)
         return known[word]
 
-    in_toxic, in_clean = (Counter(f for words in group for f in {f for w in set(words) for f in of(w)})
-                          for group in (toxic, clean))
     share = len(toxic) / (len(toxic) + len(clean))
+    in_toxic = Counter(f for words in toxic for f in {f for w in set(words) for f in of(w)})
+    # rarer features cannot have the evidence, even if no clean document has them
+    in_toxic = Counter({f: n for f, n in in_toxic.items() if tells(n, 0, share)})
+    in_clean = Counter(f for words in clean for f in {f for w in set(words) for f in of(w) if f in in_toxic})
     chosen = sorted((f for f, n in in_toxic.items() if tells(n, in_clean[f], share)),
                     key=lambda f: (-in_toxic[f], f))[:MAX_FEATURES]
     if not chosen:
@@ -219,6 +228,7 @@ def fit(toxic_texts: list[str], clean_texts: list[str], rounds: int = 60) -> Fie
     texts = toxic_texts + clean_texts
     seen = np.concatenate([evidence(model, run)[0] for _, run in text_runs(pa.array(texts, pa.large_string()))])
     model.score = _logistic(seen, np.arange(len(texts)) < len(toxic_texts))
+    model.known.clear()  # travels to the tasks
     return model
 
 
@@ -342,7 +352,9 @@ def score_run(model: Field, texts) -> tuple[np.ndarray, list[list[dict]]]:
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score and spans; the field is fitted to the labelled rows of ``docs``."""
-    return tag(docs, fit(*sample_texts(docs, labels)))
+    model = fit(*sample_texts(docs, labels))
+    give_back()
+    return tag(docs, model)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

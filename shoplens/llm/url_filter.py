@@ -4,7 +4,7 @@ A url that a rule fits takes the longest rule's verdict. Any other url is
 judged by logistic regression on hashed character n-grams of its host and
 path, trained here from a small labelled url table: by default the urls that
 the rules themselves decide, at most ``LABELLED`` of them (those of the lowest
-url hash), so that the model carries the rules over to look-alike hosts and
+url hash, and of ``LABELLED_BYTES`` at most), so that the model carries the rules over to look-alike hosts and
 paths. Only the weights, ``BUCKETS`` numbers, travel to the tasks.
 
 Defined cases: a null url and one without ``://`` have empty host and path;
@@ -22,11 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.llm.common import byte_runs
+
 # (verdict, host, path prefix): the rules of the query's contract.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 LABELLED = 4096
+LABELLED_BYTES = 2048   # of host and path; longer urls are judged, but not used for training
+RUN_BYTES = 500_000     # of urls that are scored at once; a longer one makes a run of its own
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,6 +123,7 @@ def labelled_urls(judged: DataFrame, limit: int = LABELLED) -> DataFrame:
     """host, path and block (0 or 1) of at most ``limit`` urls that rules decide."""
     return (judged.where("rule_verdict is not null").select(
         "host", "path", (F.col("rule_verdict") == "block").cast("int").alias("block"))
+        .where(F.octet_length("host") + F.octet_length("path") <= LABELLED_BYTES)
         .distinct().orderBy(F.xxhash64("host", "path"), "host", "path").limit(limit))
 
 
@@ -139,14 +144,18 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES,
 
     def judge(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
-            got = scores(batch.column(1).to_pylist(), batch.column(2).to_pylist(), weights, intercept)
-            ruled = batch.column(4).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), batch.column(3),
-                 pa.array([v or ("block" if p > 0.5 else "allow") for v, p in zip(ruled, got)], pa.string()),
-                 pa.array([None if v else float(p) for v, p in zip(ruled, got)], pa.float64())],
-                names=schema.names)
+            size = [pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False) for k in (1, 2)]
+            for lo, hi in byte_runs(size[0] + size[1] + 50, RUN_BYTES):
+                part = batch.slice(lo, hi - lo)
+                got = scores(part.column(1).to_pylist(), part.column(2).to_pylist(), weights, intercept)
+                ruled = part.column(4).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:4],
+                     pa.array([v or ("block" if p > 0.5 else "allow") for v, p in zip(ruled, got)], pa.string()),
+                     pa.array([None if v else float(p) for v, p in zip(ruled, got)], pa.float64())],
+                    names=schema.names)
 
     return judged.mapInArrow(judge, schema)

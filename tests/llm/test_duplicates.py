@@ -58,6 +58,20 @@ def test_links_of_crowds_are_complete(spark, monkeypatch):
     assert [got[i].component_id for i in range(len(points))] == root
 
 
+def test_all_links_within_a_leaf_are_found(spark, monkeypatch):
+    """One leaf of 2,500 and one of 4,500 vectors about as far apart as the threshold, as one block and as several."""
+    rng = np.random.default_rng(8)
+    for n, block in ((2500, 4096), (4500, 1000)):
+        monkeypatch.setattr(rp_forest, "BLOCK", block)
+        points = (rng.standard_normal(64) + 0.33 * rng.standard_normal((n, 64))).astype(np.float32)
+        unit = rp_forest.unit(points)
+        a, b = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+        classes = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "cid long, embedding array<float>")
+        got = rp_forest.forest_links(classes, {}, 0.9).toArrow()   # no tree: one leaf
+        found = set(zip(got.column("a").to_pylist(), got.column("b").to_pylist()))
+        assert len(a) > n and found == set(zip(a.tolist(), b.tolist()))
+
+
 def test_forest_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [nan, 1.0]),
@@ -156,18 +170,32 @@ def test_join_of_awkward_rows(spark):
     assert trie_join.join_documents(empty(spark)).count() == 0
 
 
+def one_apart(a, b):
+    """Are two word sequences at most one edit apart? Of equal length they differ at one
+    place; else the longer one without some word is the shorter one."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    a, b = sorted((a, b), key=len)
+    cut = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return len(b) - len(a) == 1 and a[cut:] == b[cut + 1:]
+
+
 def brute_lines(rows):
-    """(doc_id, line) of every line that goes."""
+    """(doc_id, line) of every line that goes: lines of three words and more that are equal
+    to an earlier one, of five words and more also those one word edit from it."""
     lines = [((i, k), tuple(low_words(x))) for i, t in rows if i is not None for k, x in enumerate((t or "").split("\n"))]
     first = {}
     for place, w in sorted(lines):
-        if len(w) >= line_dedup.MIN_WORDS:
+        if len(w) >= 3:
             first.setdefault(w, place)
-    near = set()
-    long = [(p, w) for w, p in first.items() if len(w) >= line_dedup.NEAR_WORDS]
-    for p, w in long:
-        for q, v in long:
-            if q < p and line_dedup.one_edit(list(w), list(v)):
+    near, by = set(), defaultdict(list)
+    for w, p in first.items():
+        if len(w) >= 5:
+            by[len(w)].append((p, w))
+    for w, p in first.items():
+        for n in (len(w) - 1, len(w), len(w) + 1) if len(w) >= 5 else ():
+            # one edit leaves at least one of the first and last two words alone
+            if any(q < p and (v[:2] == w[:2] or v[-2:] == w[-2:]) and one_apart(w, v) for q, v in by[n]):
                 near.add(w)
     return {p for p, w in lines if w in near or w in first and first[w] != p}
 
@@ -201,6 +229,13 @@ def test_line_edits(spark):
     assert (10, 0) in gone and (3, 0) in gone and (6, 0) not in gone and (5, 0) not in gone and (4, 0) not in gone
 
 
+def test_short_line_edits(spark):
+    lines = ["one two three four five", "one two three four six", "one two three four", "a b c d", "a b c e",
+             "two three four five", "zero one two three four five", "one x three four y"]
+    gone = check_lines(spark, spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert gone == {(1, 0), (6, 0)}
+
+
 def test_lines_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]

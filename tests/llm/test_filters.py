@@ -62,6 +62,20 @@ def test_url_model_on_held_out_urls(spark):
     assert ((p > 0.5) == y[~half]).mean() >= 0.9
 
 
+def test_long_urls_are_scored_in_bounded_runs(spark, monkeypatch):
+    """Runs bound what is widened at once, and change no verdict."""
+    base = [f"http://h{i}.com/" + "ab" * (50_000 if i % 40 == 0 else 20) for i in range(200)] + ["http://x.net/de/a", "http://y.org/fr/b"]
+    pages = spark.createDataFrame(list(enumerate(base)), "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.block_score) for r in url_filter.filter_urls(pages).collect()}
+    sizes = []
+    one = url_filter.gram_buckets
+    monkeypatch.setattr(url_filter, "gram_buckets", lambda h, p: sizes.append(sum(map(len, h + p))) or one(h, p))
+    runs = list(url_filter.byte_runs([len(u) for u in base], url_filter.RUN_BYTES))
+    for lo, hi in runs:
+        url_filter.gram_buckets([""] * (hi - lo), base[lo:hi])
+    assert max(sizes) <= url_filter.RUN_BYTES + 200 and len(runs) >= 2 and len(got) == len(base)
+
+
 def brute_counts(text):
     w, t = words(text), text or ""
     seen, repeated = set(), 0
@@ -100,6 +114,28 @@ def test_outliers_go_and_plain_documents_stay(spark):
     assert kept == set(range(240))
 
 
+def test_each_feature_rejects(spark):
+    """Long words, repeated lines, repeated windows and one-word lines, each beyond what the
+    base limits see, in a clean group; a few repeats and symbols stay."""
+    rows = [(i, prose(i, 150), "en", "a") for i in range(400)]
+    bad = {}
+    for i in range(20):
+        w = prose(5000 + i, 150).split()
+        long = " ".join("".join(prose(6000 + 200 * i + k, 12).split())[:30] for k in range(80))
+        line = " ".join(w[:2])
+        twice = w[:90] + w[:30] + w[90:120]
+        bad[1000 + i] = long
+        bad[2000 + i] = "\n".join([" ".join(w[4:60])] + [x for k in range(13) for x in (line, f"{w[60 + k]} {w[80 + k]}")])
+        bad[3000 + i] = " ".join(twice)
+        bad[4000 + i] = "\n".join([" ".join(w[:70])] + [x for k in range(30) for x in (w[100], w[101 + k])])
+        light = w[:40] + ["see #1", "50%"] + w[40:120]
+        rows.append((7000 + i, " ".join(light), "en", "a"))
+    rows += [(k, t, "en", "a") for k, t in bad.items()]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(bad)
+
+
 def test_junk_of_a_junk_heavy_source_goes(spark):
     """Sources with 30, 45 and 70 % of symbol-filled rows; the language is mostly clean."""
     rows, junk = [], set()
@@ -200,6 +236,20 @@ def test_toxic_documents_are_found_in_held_out_rows(spark):
     assert "scumbag." in [text[s.start:s.end] for s in spans]
 
 
+def test_labels_of_absent_documents_do_not_use_up_the_sample(spark, monkeypatch):
+    """A labels table wider than the documents, and texts too long for the fit."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 200)
+    rows, labels = toxic_docs(400)
+    rows += [(900, " ".join(prose(900, 20_000).split()), "en", "s", 1)]
+    labels += [(i, 1, i % 2) for i in range(100_000, 105_000)] + [(900, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    texts = toxicity.sample_texts(docs, marks, 200)
+    assert len(texts[0]) + len(texts[1]) >= 250 and max(map(len, texts[0])) <= toxicity.SAMPLE_BYTES
+    got = {r.doc_id: r.predicted for r in toxicity.judge(docs, marks).collect()}
+    assert all(got[i] == int(i % 4 == 0) for i in range(400)) and got[900] == 0
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows, labels = toxic_docs(200)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")

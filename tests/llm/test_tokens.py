@@ -201,6 +201,39 @@ def test_byte_pairs_match_tiktoken_and_decode():
         assert dec.decode(own) == t.encode()
 
 
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    """Parts and a store that starts anew give the ids of the whole."""
+    enc = byte_bpe.byte_encoder(byte_bpe.VOCABULARY)
+    texts = fuzz() + [" ".join(fuzz())]
+    want, bounds = enc.encode(pa.array(texts, pa.large_string()))
+    monkeypatch.setattr(byte_bpe, "MATCHES", 7)
+    monkeypatch.setattr(enc, "limit", 20)
+    ids, parts = enc.encode(pa.array(texts, pa.large_string()))
+    assert len(enc.merged) <= 20 and (ids == want).all() and (parts == bounds).all()
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    import os
+    import subprocess
+    import sys
+    code = """
+import random, resource
+import pyarrow as pa
+from shoplens.llm import byte_bpe
+enc, dec = byte_bpe.byte_encoder(byte_bpe.VOCABULARY), byte_bpe.byte_decoder(byte_bpe.VOCABULARY)
+r = random.Random(1)
+words = ["".join(r.choice("abcdefghijklmnopq") for _ in range(r.randint(2, 9))) for _ in range(20_000)]
+text = " ".join(r.choice(words) for _ in range(1_900_000))
+ids, _ = enc.encode(pa.array([text], pa.large_string()))
+assert len(text) > 12_000_000 and dec.decode(ids) == text.encode()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env={**os.environ, "PYTHONPATH": root})
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.split()[-1]) < 400
+
+
 def test_byte_round_trip_of_awkward_rows(spark):
     enc = byte_bpe.byte_encoder(byte_bpe.VOCABULARY)
     docs, want = awkward(spark), Counter()
