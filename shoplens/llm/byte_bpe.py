@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from shoplens.llm.common import byte_runs, spread, text_runs, tokenizer_file
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-RUN_BYTES = 1_000_000
-MATCHES = 100_000   # pre-tokens that are looked up at once; a longer text is encoded in parts
+RUN_BYTES = 4_000_000
+MATCHES = 1_000_000  # pre-tokens that are looked up at once; a longer text is encoded in parts
 KEPT_BYTES = 64
 
 
@@ -130,7 +130,7 @@ class ByteEncoder:
     """Both tiers over one vocabulary; what misses gave is kept, bounded by ``limit``
     pre-tokens of at most ``KEPT_BYTES``."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 100_000):
+    def __init__(self, path: str, pattern: str, limit: int = 300_000):
         import regex
 
         self.ranks = read_ranks(path)
