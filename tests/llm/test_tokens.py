@@ -208,6 +208,7 @@ def test_long_texts_are_encoded_in_parts(monkeypatch):
     want, bounds = enc.encode(pa.array(texts, pa.large_string()))
     monkeypatch.setattr(byte_bpe, "MATCHES", 7)
     monkeypatch.setattr(enc, "limit", 20)
+    enc.merged.clear()
     ids, parts = enc.encode(pa.array(texts, pa.large_string()))
     assert len(enc.merged) <= 20 and (ids == want).all() and (parts == bounds).all()
 
