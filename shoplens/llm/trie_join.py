@@ -2,20 +2,24 @@
 
 A document's set holds 64-bit hashes of its distinct five-word shingles, in
 one global order: rare shingles by hash, then the frequent ones by how often
-they occur. Two sets of similarity ``NUM / DEN`` or more share a shingle among
-the first ones of both (prefix filter), so
+they occur. Of two sets of similarity ``NUM / DEN`` or more, the first three
+eighths of both, in that order, have at least an eighth of a set in common
+(prefix filter with a long prefix), so
 
 1. equal sets fall together into one class;
 2. each class emits its prefix shingles; those that only one class has vanish
    in a streamed pass over the sorted postings;
-3. in a few rounds, every class is paired with one hub for each shingle and
+3. a class with fewer shared prefix shingles than any link needs goes, and so
+   do shingles that only one class is left with, in a few rounds; texts that
+   meet by chance, in a shingle here and there, are gone before any pair forms;
+4. in a few rounds, every class is paired with one hub for each shingle and
    size band (star pairs, as many as postings at most), the pairs are verified
    and joined into components; large groups of near copies are settled here
    without pairing their members;
-4. postings whose classes still lie in different components pair up exactly:
+5. postings whose classes still lie in different components pair up exactly:
    shared prefix shingles are counted per pair, and a pair survives only if
    that count plus the remaining lengths can reach the needed overlap;
-5. surviving pairs are verified like star pairs, and all links together give
+6. surviving pairs are verified like star pairs, and all links together give
    the components.
 
 Verification stores the candidate sets of one probe, in global order, in a
@@ -48,9 +52,11 @@ from shoplens.llm.common import components, materialise, small_side, split_words
 
 WORDS = 5
 NUM, DEN = 3, 4     # similarity of 0.75
+LATER = 5, 8        # share of a set after its prefix; less than the similarity
 FREQUENT = 65_536   # shingles that the frequent part of the order lists at most
 FREQUENT_MIN = 8    # documents that such a shingle occurs in at least
 ROUNDS = 3          # of star pairs, each with other hubs
+PRUNING = 3         # rounds that drop classes with too few shared shingles
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -59,8 +65,30 @@ def needed(nx, ny):
     return -(-NUM * (nx + ny) // (NUM + DEN))
 
 
+def rest(n):
+    """Shingles of a set of n after its prefix."""
+    return max(0, LATER[0] * n // LATER[1] - 1)
+
+
 def prefix_length(n):
-    return n - -(-NUM * n // DEN) + 1
+    return n - rest(n)
+
+
+def least_shared(n: F.Column) -> F.Column:
+    """Prefix shingles that a set of n has in common with those of any set it links with.
+
+    The prefix that ends first lies within what the other prefix spans, so the
+    two share the needed overlap but for the rest of one of them. That is least
+    for the smallest partner (NUM / DEN of n), or, as rounding goes, the largest.
+    """
+    smallest = F.ceil(F.lit(NUM) * n / DEN) - rest_of(n)
+    largest = F.ceil(n * (LATER[1] * NUM - LATER[0] * DEN) / (LATER[1] * NUM)) + 1
+    return F.greatest(F.lit(1), F.least(smallest, largest))
+
+
+def rest_of(n: F.Column) -> F.Column:
+    """``rest`` of a column."""
+    return F.greatest(F.lit(0), F.floor(F.lit(LATER[0]) * n / LATER[1]) - 1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -217,6 +245,16 @@ def shared_postings(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "token long, n long, cid long"))
 
 
+def live_postings(shared: DataFrame) -> DataFrame:
+    """The shared postings of classes that can have a link at all."""
+    for _ in range(PRUNING):
+        live = (shared.groupBy("cid", "n").agg(F.count("*").alias("shared"))
+                .where(F.col("shared") >= least_shared(F.col("n"))).select("cid"))
+        shared = materialise(shared_postings(shared.join(small_side(live, F.lit(1)), "cid").select("token", "n", "cid")),
+                             "trie-live")
+    return shared
+
+
 def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
     """(a, b): each class with the hub of its shingle and size band, or of the band below.
 
@@ -240,8 +278,8 @@ def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
 
 def possible() -> F.Column:
     """Can a pair (a, na, b, nb) with ``shared`` common prefix shingles reach the threshold?"""
-    rest = F.greatest(*[F.floor(F.lit(-1) * F.floor(-F.lit(NUM) * F.col(x) / DEN)) - 1 for x in ("na", "nb")])
-    return F.col("shared") + rest >= F.ceil(F.lit(NUM) * (F.col("na") + F.col("nb")) / (NUM + DEN))
+    after = F.greatest(rest_of(F.col("na")), rest_of(F.col("nb")))
+    return F.col("shared") + after >= F.ceil(F.lit(NUM) * (F.col("na") + F.col("nb")) / (NUM + DEN))
 
 
 def trie_links(probe: np.ndarray, sets: list[np.ndarray]) -> list[int]:
@@ -330,8 +368,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
     order = Order(frequent_shingles(docs))
     table = materialise(class_table(docs, order), "trie-classes")
     members = table.where("cid is not null").select("doc_id", "cid")
-    classes = table.where("cid is not null").dropDuplicates(["cid"])
-    shared = materialise(shared_postings(postings(classes)), "trie-postings")
+    one = small_side(members.groupBy("cid").agg(F.min("doc_id").alias("doc_id")), F.lit(2))
+    classes = table.join(one, ["cid", "doc_id"])  # prefixes move only if the classes are many
+    shared = live_postings(materialise(shared_postings(postings(classes)), "trie-postings"))
 
     placed, links, tried, settled = shared.withColumn("component", F.col("cid")), None, None, None
     for seed in range(ROUNDS):

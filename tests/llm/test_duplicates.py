@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cases import Groups, awkward, empty, low_words, prose, shingles
 from conftest import SMALL
@@ -102,6 +103,19 @@ def test_trie_links_are_exact():
         assert sorted(trie_join.trie_links(probe, rest)) == want
 
 
+def test_no_link_needs_fewer_shared_shingles(spark):
+    """Sets at the threshold, with all that is not shared first in the order, share as
+    many prefix shingles as ``least_shared`` says, or more."""
+    got = {r.n: r.least for r in spark.range(1, 400).select(
+        F.col("id").alias("n"), trie_join.least_shared(F.col("id")).alias("least")).collect()}
+    for n in got:
+        for m in range(-(-3 * n // 4), 4 * n // 3 + 1):
+            both = next(k for k in range(min(n, m) + 1) if 100 * k >= 75 * (n + m - k))
+            # own shingles first, then the common ones, which stand in the same order in both
+            shared = min(trie_join.prefix_length(n) - (n - both), trie_join.prefix_length(m) - (m - both))
+            assert max(got[n], got.get(m, 0)) <= shared, (n, m)
+
+
 def brute_groups(rows):
     sets = {i: shingles(t) for i, t in rows}
     by, groups, seen = defaultdict(list), Groups(), set()
