@@ -15,10 +15,12 @@ eighths of both, in that order, have at least an eighth of a set in common
 4. in a few rounds, every class is paired with one hub for each shingle and
    size band (star pairs, as many as postings at most), the pairs are verified
    and joined into components; large groups of near copies are settled here
-   without pairing their members;
-5. postings whose classes still lie in different components pair up exactly:
-   shared prefix shingles are counted per pair, and a pair survives only if
-   that count plus the remaining lengths can reach the needed overlap;
+   without pairing their members. After each round, shingles whose classes lie
+   in one component go, and with them classes that then share too few for a
+   link to any other component, so each round works on what is still open;
+5. the postings that are open in the end pair up exactly: shared prefix
+   shingles are counted per pair, and a pair survives only if that count plus
+   the remaining lengths can reach the needed overlap;
 6. surviving pairs are verified like star pairs, and all links together give
    the components.
 
@@ -55,7 +57,8 @@ NUM, DEN = 3, 4     # similarity of 0.75
 LATER = 5, 8        # share of a set after its prefix; less than the similarity
 FREQUENT = 65_536   # shingles that the frequent part of the order lists at most
 FREQUENT_MIN = 8    # documents that such a shingle occurs in at least
-ROUNDS = 3          # of star pairs, each with other hubs
+ROUNDS = 3          # of star pairs, each with other hubs, at most
+SETTLED = 0.9       # share of the postings still open after a round from which on no further one is made
 PRUNING = 3         # rounds that drop classes with too few shared shingles
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -248,13 +251,30 @@ def shared_postings(rows: DataFrame) -> DataFrame:
 def live_postings(shared: DataFrame) -> DataFrame:
     """The shared postings of classes that can have a link at all."""
     for _ in range(PRUNING):
-        live = (shared.groupBy("cid", "n").agg(F.count("*").alias("shared"))
-                .where(F.col("shared") >= least_shared(F.col("n"))).select("cid"))
-        shared = materialise(shared_postings(shared.join(small_side(live, F.lit(1)), "cid").select("token", "n", "cid")),
-                             "trie-live")
+        shared = materialise(shared_postings(linkable(shared).select("token", "n", "cid")), "trie-live")
     return shared
 
 
+def linkable(rows: DataFrame) -> DataFrame:
+    """The postings of classes that have as many as any link needs."""
+    live = (rows.groupBy("cid", "n").agg(F.count("*").alias("shared"))
+            .where(F.col("shared") >= least_shared(F.col("n"))).select("cid"))
+    return rows.join(small_side(live, F.lit(1)), "cid")
+
+
+def open_postings(placed: DataFrame) -> DataFrame:
+    """The placed postings that a link between two components can rest on.
+
+    Classes of different components share only shingles that both hold, so a
+    shingle whose classes all lie in one component tells nothing more, and a
+    class with too few other shingles links with none outside its own.
+    """
+    mixed = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo != hi").select("token"))
+    rows = materialise(placed.join(small_side(mixed, F.lit(1)), "token"), "trie-mixed")
+    return materialise(linkable(rows), "trie-open")
+
+
 def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
     """(a, b): each class with the hub of its shingle and size band, or of the band below.
 
@@ -387,14 +407,13 @@ def join_documents(docs: DataFrame) -> DataFrame:
             break
         # between rounds, classes linked to one hub count as settled with it
         heads = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
-        placed = materialise(place(shared, heads), "trie-placed")
+        before, placed = placed.count(), open_postings(place(placed.drop("component"), heads))
+        if placed.count() > SETTLED * before:
+            break
     if links is not None and not links.isEmpty():
         settled = components(links, "trie-cc")
-        placed = materialise(place(shared, settled), "trie-placed")
-    mixed = materialise(placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                        .where("lo != hi").select("token"), "trie-mixed")
-    open_rows = placed.join(mixed, "token")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+        placed = open_postings(place(placed.drop("component"), settled))
+    x, y = placed.alias("x"), placed.alias("y")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cid") < F.col("y.cid"))
                     & (F.col("x.component") != F.col("y.component"))
                     & (DEN * F.col("x.n") >= NUM * F.col("y.n")) & (DEN * F.col("y.n") >= NUM * F.col("x.n")))
