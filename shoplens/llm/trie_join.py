@@ -58,8 +58,8 @@ LATER = 5, 8        # share of a set after its prefix; less than the similarity
 FREQUENT = 65_536   # shingles that the frequent part of the order lists at most
 FREQUENT_MIN = 8    # documents that such a shingle occurs in at least
 ROUNDS = 3          # of star pairs, each with other hubs, at most
-SETTLED = 0.9       # share of the postings still open after a round from which on no further one is made
-PRUNING = 3         # rounds that drop classes with too few shared shingles
+SETTLED = 0.9       # share of the postings left after a round of either kind beyond which no further one is made
+PRUNING = 3         # rounds that drop classes with too few shared shingles, at most
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -251,7 +251,10 @@ def shared_postings(rows: DataFrame) -> DataFrame:
 def live_postings(shared: DataFrame) -> DataFrame:
     """The shared postings of classes that can have a link at all."""
     for _ in range(PRUNING):
+        before = shared.count()
         shared = materialise(shared_postings(linkable(shared).select("token", "n", "cid")), "trie-live")
+        if shared.count() > SETTLED * before:
+            break
     return shared
 
 
@@ -332,7 +335,10 @@ def trie_links(probe: np.ndarray, sets: list[np.ndarray]) -> list[int]:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of linked classes; ``sets`` has cid and shingles in global order."""
+    """The pairs (a, b) of linked classes; ``sets`` has cid and shingles in global order.
+
+    Both sides read one shuffle of the sets by class (a reused exchange).
+    """
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b"))
 
@@ -400,7 +406,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         star = materialise(star, "trie-star")
         if star.isEmpty():
             break
-        found = materialise(verified(star, materialise(sets_of(docs, members, star, order), "trie-sets")), "trie-links")
+        found = materialise(verified(star, sets_of(docs, members, star, order)), "trie-links")
         tried = star if tried is None else tried.unionByName(star)
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
@@ -425,7 +431,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
     pairs = materialise(pairs, "trie-pairs")
     if not pairs.isEmpty():
-        more = materialise(verified(pairs, materialise(sets_of(docs, members, pairs, order), "trie-sets")), "trie-links")
+        more = materialise(verified(pairs, sets_of(docs, members, pairs, order)), "trie-links")
         settled = components(more if links is None else links.unionByName(more), "trie-cc")
 
     rooted = table.withColumn("component", F.col("cid")) if settled is None else place(table, settled)
