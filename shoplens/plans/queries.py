@@ -767,7 +767,7 @@ def late_run(m: Model) -> tuple[RunningTable, str]:
     key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
     if key not in _LATE_RUNS:
         root = scratch_path(m.spark, "late")
-        table = RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND)
+        table = RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND, months=True)
         name = root.split("/")[-1]
         report = ad_stream.BatchReport(m.spark, f"{root}/report", name)
         m.spark.streams.addListener(report)
@@ -783,7 +783,7 @@ def late_run(m: Model) -> tuple[RunningTable, str]:
             m.spark.streams.removeListener(report)
         _LATE_RUNS[key] = root
     root = _LATE_RUNS[key]
-    return RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND), f"{root}/report"
+    return RunningTable(m.spark, f"{root}/minutes", ad_stream.CLICK_TREND, months=True), f"{root}/report"
 
 
 @query("stream_late_minutes")

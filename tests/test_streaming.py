@@ -420,3 +420,31 @@ def test_timed_triggers_start_batches(spark, log):
     part = log.filter(F.col("ts") < F.lit(SPLITS[2]).cast("timestamp"))
     assert rows_of(tables.ad_stat.read()) == rows_of(ads.clicks_by_city_ad_day(part))
 
+
+
+def test_a_table_by_month_has_few_partitions_and_the_same_rows(spark):
+    """400 days in 14 folders; a second batch, replayed, touches two of the months and a null date."""
+    from shoplens.sinks.running import RunningTable
+
+    def days(first, last, clicks):
+        return spark.range(first, last).selectExpr(
+            "date_format(date_add(DATE '2024-01-01', CAST(id AS INT)), 'yyyyMMdd') AS date", "'P' AS province",
+            "'C' AS city", "id AS adid", f"CAST({clicks} AS BIGINT) AS click_count")
+
+    none = spark.sql("SELECT CAST(NULL AS STRING) AS date, 'P' AS province, 'C' AS city, 7L AS adid, 4L AS click_count")
+    tables = [RunningTable(spark, tempfile.mkdtemp(prefix="month-"), ad_stream.AD_STAT, months=m) for m in (True, False)]
+    for table in tables:
+        table.merge(days(0, 400, 1).unionByName(none), 0, ADD)
+        before = {n: folder_names(spark, f"{table.path}/{n}") for n in folder_names(spark, table.path) if "=" in n}
+        more = days(20, 40, 5).unionByName(none)
+        for _ in range(2):
+            table.merge(more, 1, ADD, [r[0] for r in more.select("date").distinct().collect()])
+        after = {n: folder_names(spark, f"{table.path}/{n}") for n in before}
+        if table.months:
+            assert len(before) == 15        # 14 months and the null date
+            assert sorted(n for n in after if after[n] != before[n]) == \
+                ["month=202401", "month=202402", "month=__HIVE_DEFAULT_PARTITION__"]
+    rows = [sorted(map(tuple, t.read().collect()), key=str) for t in tables]
+    assert rows[0] == rows[1] and len(rows[0]) == 401 and (None, "P", "C", 7, 8) in rows[0]
+    with pytest.raises(ValueError, match="partitioned by month"):
+        RunningTable(spark, tables[0].path, ad_stream.AD_STAT)
