@@ -362,14 +362,14 @@ def pipeline_tables(m: Model) -> ad_stream.AdTables:
     key = (m.spark.sparkContext.applicationId, *sorted(m.tables.events.inputFiles()))
     if key not in _PIPELINE_RUNS:
         root = scratch_path(m.spark, "ad-pipeline")
-        tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+        tables = ad_stream.AdTables.at(m.spark, f"{root}/tables", months=True)
         clicks, geo = events_click_stream(m.spark, m.tables.base)
         q = ad_stream.start_ad_pipeline(
             clicks, tables, f"{root}/checkpoint", threshold=BLACKLIST_THRESHOLD,
             trigger={"availableNow": True}, geo=geo)
         q.awaitTermination()
         _PIPELINE_RUNS[key] = root
-    return ad_stream.AdTables.at(m.spark, f"{_PIPELINE_RUNS[key]}/tables")
+    return ad_stream.AdTables.at(m.spark, f"{_PIPELINE_RUNS[key]}/tables", months=True)
 
 
 @query("stream_blacklist")
@@ -528,7 +528,7 @@ def two_batches(m: Model):
 
 
 def _fed(m: Model, name: str, schema, frames, combine) -> DataFrame:
-    table = RunningTable(m.spark, scratch_path(m.spark, name), schema)
+    table = RunningTable(m.spark, scratch_path(m.spark, name), schema, months=True)
     for batch_id, df in enumerate(frames):
         table.merge(df, batch_id, combine)
     # A replayed batch overwrites its own output: the result must not change.
@@ -699,10 +699,10 @@ def batched_tables(m: Model) -> ad_stream.AdTables:
             t.events.filter(part).write.mode("append").parquet(f"{root}/events")
             clicks, geo = events_click_stream(m.spark, t.base, None, events_dir=f"{root}/events")
             ad_stream.start_ad_pipeline(
-                clicks, ad_stream.AdTables.at(m.spark, f"{root}/tables"), f"{root}/checkpoint",
+                clicks, ad_stream.AdTables.at(m.spark, f"{root}/tables", months=True), f"{root}/checkpoint",
                 threshold=BATCHES_THRESHOLD, trigger={"availableNow": True}, geo=geo).awaitTermination()
         _BATCH_RUNS[key] = root
-    return ad_stream.AdTables.at(m.spark, f"{_BATCH_RUNS[key]}/tables")
+    return ad_stream.AdTables.at(m.spark, f"{_BATCH_RUNS[key]}/tables", months=True)
 
 
 @query("stream_batches_blacklist")
@@ -725,7 +725,7 @@ def q_stream_line_city_clicks(m: Model) -> DataFrame:
     """Log lines from text files, as a Kafka topic's values would arrive."""
     root = scratch_path(m.spark, "ad-lines")
     ad_log_lines(m.ad_log()).write.text(f"{root}/lines")
-    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables", months=True)
     lines = parsed_line_stream(m.spark, "text", path=f"{root}/lines")
     ad_stream.start_line_pipeline(lines, tables, f"{root}/checkpoint", threshold=10 ** 9,
                                   trigger={"availableNow": True}).awaitTermination()
@@ -737,7 +737,7 @@ def q_stream_timed_city_clicks(m: Model) -> DataFrame:
     """Batches started by a timer, one file of events each, until all are read."""
     root = scratch_path(m.spark, "ad-timed")
     m.tables.events.repartition(3, F.to_date("ts")).write.parquet(f"{root}/events")
-    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables")
+    tables = ad_stream.AdTables.at(m.spark, f"{root}/tables", months=True)
     clicks, geo = events_click_stream(m.spark, m.tables.base, 1, events_dir=f"{root}/events")
     q = ad_stream.start_ad_pipeline(clicks, tables, f"{root}/checkpoint", threshold=10 ** 9,
                                     trigger={"processingTime": "1 second"}, geo=geo)

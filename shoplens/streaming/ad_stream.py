@@ -83,14 +83,15 @@ class AdTables:
     bad_lines: RunningTable
 
     @classmethod
-    def at(cls, spark: SparkSession, root: str) -> "AdTables":
+    def at(cls, spark: SparkSession, root: str, months: bool = False) -> "AdTables":
+        """The tables under ``root``, partitioned by day or, for a backlog of many days, by month."""
         r = root.rstrip("/")
         return cls(
-            blacklist=RunningTable(spark, f"{r}/ad_blacklist", BLACKLIST),
-            user_clicks=RunningTable(spark, f"{r}/ad_user_click_count", USER_CLICKS),
-            ad_stat=RunningTable(spark, f"{r}/ad_stat", AD_STAT),
-            province_top3=RunningTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3),
-            click_trend=RunningTable(spark, f"{r}/ad_click_trend", CLICK_TREND),
+            blacklist=RunningTable(spark, f"{r}/ad_blacklist", BLACKLIST, months=months),
+            user_clicks=RunningTable(spark, f"{r}/ad_user_click_count", USER_CLICKS, months=months),
+            ad_stat=RunningTable(spark, f"{r}/ad_stat", AD_STAT, months=months),
+            province_top3=RunningTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3, months=months),
+            click_trend=RunningTable(spark, f"{r}/ad_click_trend", CLICK_TREND, months=months),
             bad_lines=RunningTable(spark, f"{r}/ad_bad_lines", BAD_LINES, ("batch_id",)),
         )
 

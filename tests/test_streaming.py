@@ -448,3 +448,11 @@ def test_a_table_by_month_has_few_partitions_and_the_same_rows(spark):
     assert rows[0] == rows[1] and len(rows[0]) == 401 and (None, "P", "C", 7, 8) in rows[0]
     with pytest.raises(ValueError, match="partitioned by month"):
         RunningTable(spark, tables[0].path, ad_stream.AD_STAT)
+
+
+def test_backlog_queries_keep_their_tables_by_month(spark):
+    from shoplens.plans import queries as q
+    m = Model(spark, SMALL)
+    for table in [*q.batched_tables(m).all(), q.late_run(m)[0]]:
+        names = [n for n in folder_names(spark, table.path) if "=" in n]
+        assert names == ["month=202401"], table.path
