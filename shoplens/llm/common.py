@@ -193,10 +193,11 @@ class WordEncoder:
     after the other. A word of printable Latin-1 is lower-cased and cut by the
     tokenizer's own pattern, and the library's model encodes each new piece;
     any other word, and one that may hold a special token, goes through the
-    whole library. What is kept is bounded: at ``limit`` words it starts anew.
+    whole library. A piece that is met as a word has the same ids, so both are
+    kept in one table, which is bounded: at ``limit`` entries it starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -206,31 +207,32 @@ class WordEncoder:
         self.model = self.library.model
         self.limit = limit
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         # Latin-1 letters need no normalising but lower case, and all are letters.
         self.plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
         self.cut = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
         self.shown = byte_characters()
+        self.raw = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
 
     def _piece(self, piece: str) -> bytes:
         raw = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.shown)
-        got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(raw)])
-        self.pieces[piece] = got
+        ids = self.raw
+        got = self.known[piece] = b"".join([ids[t.id] for t in self.model.tokenize(raw)])
         return got
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha() and (word.isascii() or self.plain(word)):  # one piece
+            piece = word.lower()
+            return self.known.get(piece) or self._piece(piece)
         if self.plain(word) and "<|" not in word:
-            known = self.pieces
+            known = self.known
             return b"".join([known[p] if p in known else self._piece(p) for p in self.cut(word.lower())])
         ids = self.library.encode(word, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return b"".join([self.raw[i] for i in ids])
 
     def words(self, words: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each word."""
         if len(self.known) > self.limit:
             self.known.clear()
-        if len(self.pieces) > self.limit:
-            self.pieces.clear()
         known, out = self.known, []
         for w in words:
             ids = known.get(w)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import materialise, text_runs, tokenizer_file, word_encoder
+from shoplens.llm.common import byte_runs, materialise, text_runs, tokenizer_file, word_encoder
 from shoplens.session import scratch_path
 
 END_ID = 1
@@ -111,18 +111,29 @@ def encode_block(ids: np.ndarray, codes: np.ndarray, bits: np.ndarray) -> tuple[
 
 def decode_block(payload: bytes, checkpoints: bytes, n: int, sym: np.ndarray, bits: np.ndarray,
                  top: int) -> np.ndarray:
-    """The block's n ids; all checkpoints are followed side by side."""
-    raw = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint64)
-    window = (raw[:-3] << np.uint64(24)) | (raw[1:-2] << np.uint64(16)) | (raw[2:-1] << np.uint64(8)) | raw[3:]
-    at = np.frombuffer(checkpoints, "<u4").astype(np.int64)
-    last = 8 * len(window) - 8
+    """The block's n ids."""
+    return decode_blocks([(payload, checkpoints, n)], sym, bits, top)[0]
+
+
+def decode_blocks(blocks: list[tuple[bytes, bytes, int]], sym: np.ndarray, bits: np.ndarray,
+                  top: int) -> list[np.ndarray]:
+    """The ids of blocks (payload, checkpoints, n); all checkpoints are followed side by side."""
+    raw = np.frombuffer(b"".join([payload + bytes(8) for payload, _, _ in blocks]), np.uint8).astype(np.uint32)
+    window = (raw[:-3] << np.uint32(24)) | (raw[1:-2] << np.uint32(16)) | (raw[2:-1] << np.uint32(8)) | raw[3:]
+    marks = [np.frombuffer(m, "<u4").astype(np.int64) for _, m, _ in blocks]
+    room = np.array([8 * len(payload) + 64 for payload, _, _ in blocks])
+    begin = np.cumsum(room) - room
+    held = np.array([len(m) for m in marks])
+    at = np.concatenate(marks) + np.repeat(begin, held)
+    last = np.repeat(begin + room - 32, held)
     out = np.empty((CHECK_IDS, len(at)), np.uint32)
-    low, drop = np.uint64(0xFFFFFFFF), np.uint64(32 - top)
-    for k in range(min(CHECK_IDS, n)):
-        part = ((window[at >> 3] << (at & 7).astype(np.uint64)) & low) >> drop
+    drop = np.uint32(32 - top)
+    for k in range(min(CHECK_IDS, max(n for _, _, n in blocks))):
+        part = (window[at >> 3] << (at & 7).astype(np.uint32)) >> drop
         out[k] = sym[part]
-        at = np.minimum(at + bits[part], last)  # the last run may end early
-    return out.T.reshape(-1)[:n]
+        at = np.minimum(at + bits[part], last)  # the last run of a block may end early
+    end = np.cumsum(held)
+    return [out[:, e - h:e].T.reshape(-1)[:n] for e, h, (_, _, n) in zip(end, held, blocks)]
 
 
 def token_table(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID) -> DataFrame:
@@ -254,15 +265,16 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         code = Code(ids, bits)
         sym, size = code.decoder()
         for batch in batches:
-            for i in range(len(batch)):
-                start, n, lengths, marks, payload = (batch.column(k)[i].as_py() for k in range(1, 6))
-                got = decode_block(payload, marks, n, sym, size, code.top)
-                end = np.cumsum(lengths)
-                begin = end - lengths
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i].values, pa.array(start + begin), pa.array(lengths, pa.int64()),
-                     pa.array([got[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())],
-                    names=schema.names)
+            for lo, hi in byte_runs(4 * batch.column(2).to_numpy(zero_copy_only=False)):
+                rows = [[batch.column(k)[i].as_py() for k in range(1, 6)] for i in range(lo, hi)]
+                decoded = decode_blocks([(payload, marks, n) for _, n, _, marks, payload in rows], sym, size, code.top)
+                for i, (start, _, lengths, _, _), got in zip(range(lo, hi), rows, decoded):
+                    end = np.cumsum(lengths)
+                    begin = end - lengths
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0)[i].values, pa.array(start + begin), pa.array(lengths, pa.int64()),
+                         pa.array([got[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())],
+                        names=schema.names)
 
     return table.select("doc_ids", (F.col("part_start") + F.col("start")).alias("start"), "n_ids", "lengths",
                         "checkpoints", "payload").mapInArrow(decode, schema)

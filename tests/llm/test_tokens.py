@@ -37,6 +37,31 @@ def test_words_encode_as_the_whole_text():
             assert ids[bounds[i]:bounds[i + 1]].tolist() == want, texts[first + i]
 
 
+def test_a_piece_met_as_a_word_is_encoded_once():
+    enc = WordEncoder(tokenizer_file("word_bpe_49k.json"))
+    model, calls = enc.model, []
+
+    class Counting:
+        def tokenize(self, piece):
+            calls.append(piece)
+            return model.tokenize(piece)
+    enc.model = Counting()
+    ids, bounds = enc.encode(pa.array(["Hello hello, hello", "HELLO ,"]))
+    assert calls == ["hello", ","]
+    assert ids.tolist() == enc.library.encode("Hello hello, hello HELLO ,", add_special_tokens=False).ids
+    assert bounds.tolist()[1] == len(enc.library.encode("Hello hello, hello", add_special_tokens=False).ids)
+
+
+def test_blocks_decoded_side_by_side_stay_apart():
+    r = np.random.default_rng(2)
+    runs = [r.integers(0, 3 ** (i % 5 + 1), n) for i, n in enumerate((1, 255, 256, 257, 70_000, 2, 5_000, 65_536))]
+    ids, counts = np.unique(np.concatenate(runs), return_counts=True)
+    code = huffman.Code(ids, huffman.code_lengths(counts))
+    blocks = [(*huffman.encode_block(run, *code.encoder()), len(run)) for run in runs]
+    for got, run in zip(huffman.decode_blocks(blocks, *code.decoder(), code.top), runs):
+        assert np.array_equal(got, run)
+
+
 def best_fit(histogram, size):
     rooms, made = [], 0
     for length in sorted(histogram, reverse=True):
