@@ -46,7 +46,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,7 @@ FREQUENT = 65_536   # shingles that the frequent part of the order lists at most
 FREQUENT_MIN = 8    # documents that such a shingle occurs in at least
 ROUNDS = 3          # of star pairs, each with other hubs, at most
 SETTLED = 0.9       # share of the postings left after a round of either kind beyond which no further one is made
+BANDS = 4           # bands of sizes from a set's to the least it can link with
 PRUNING = 3         # rounds that drop classes with too few shared shingles, at most
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -281,16 +282,21 @@ def open_postings(placed: DataFrame) -> DataFrame:
 def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
     """(a, b): each class with the hub of its shingle and size band, or of the band below.
 
-    Sets that can link lie in the same band or in neighbouring ones. The hub is
-    the class of the least seeded hash, so it is mostly one for all shingles of
-    a group of near copies; pairs within a component are left out.
+    Sets that can link lie in the same band or in neighbouring ones. The first
+    hub is the class that shares most of its set, as a rule the text from which
+    the others were made, which links with all that any near copy of it does;
+    with a later seed it is the class of the least seeded hash. Either is mostly
+    one for all shingles of a group of near copies; pairs within a component are
+    left out.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(DEN / NUM)).cast("int")
-    rows = placed.withColumn("band", band)
+    rows = placed.withColumn("band", size_band(F.col("n"), 1)).withColumn("own", F.lit(0.0))
+    if seed == 0:
+        most = placed.groupBy("cid").agg((-F.count("*") / F.max("n")).alias("own"))
+        rows = rows.drop("own").join(small_side(most, F.lit(1)), "cid")
     hubs = materialise(rows.groupBy("token", "band").agg(F.min(F.struct(
-        F.xxhash64(F.col("cid"), F.lit(seed)).alias("h"), F.col("cid").alias("a"), F.col("n").alias("na"),
-        F.col("component").alias("ca"))).alias("hub")).select("token", "band", "hub.*").drop("h"), "trie-hubs")
-    near = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+        "own", F.xxhash64(F.col("cid"), F.lit(seed)).alias("h"), F.col("cid").alias("a"), F.col("n").alias("na"),
+        F.col("component").alias("ca"))).alias("hub")).select("token", "band", "hub.*").drop("own", "h"), "trie-hubs")
+    near = rows.drop("own").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     pairs = near.join(hubs, ["token", "band"]).where(
         (F.col("component") != F.col("ca")) & (DEN * F.col("n") >= NUM * F.col("na"))
         & (DEN * F.col("na") >= NUM * F.col("n")))
@@ -299,6 +305,72 @@ def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
     return counted.where(possible()).select("a", "b")
 
 
+def size_band(n: F.Column, bands: int) -> F.Column:
+    """Number of the size band, ``bands`` of them from a set's size to the least it can link with."""
+    return F.floor(F.log(n.cast("double")) / math.log(DEN / NUM) * bands).cast("int")
+
+
+def shared_with(n: F.Column, m: F.Column) -> F.Column:
+    """Prefix shingles that linked sets of n and m have in common at least."""
+    return F.ceil(F.lit(NUM) * (n + m) / (NUM + DEN)) - F.greatest(rest_of(n), rest_of(m))
+
+
+def least_between(n: F.Column, low: F.Column, high: F.Column) -> F.Column:
+    """The least of ``shared_with`` over partners of ``low`` to ``high`` shingles.
+
+    It rises up to partners of n and falls from there on, but for a step of
+    one that rounding makes.
+    """
+    return F.greatest(F.lit(1), F.least(shared_with(n, low), shared_with(n, high) - (high > n).cast("int")))
+
+
+def key_postings(placed: DataFrame) -> DataFrame:
+    """The placed postings that suffice to meet every class of another component that a class links with.
+
+    Taken for each class and each size band of partners, the rarest open
+    shingles first. A link needs ``least`` of the shingles that a class shares
+    with classes there, so the first one that two linked classes have in common
+    is no later than the last but ``least - 1`` of either; ``left`` counts the
+    shingles from each one on. A class that differs from a large group in more
+    than a link allows keeps none of the group's shingles, so the group's classes
+    do not pair with it or with one another.
+    """
+    rows = placed.withColumn("band", size_band(F.col("n"), BANDS))
+    held = (rows.groupBy("token", F.col("band").alias("partner"))
+            .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("lo"),
+                 F.max("component").alias("hi"), F.count("*").alias("held"))
+            .withColumn("held", F.sum("held").over(Window.partitionBy("token"))))
+    met = (rows.join(small_side(held, F.lit(1)), "token")
+           .where((F.abs(F.col("band") - F.col("partner")) <= BANDS + 1)
+                  & ((F.col("lo") != F.col("component")) | (F.col("hi") != F.col("component"))))
+           .withColumn("low", F.greatest("low", F.ceil(F.lit(NUM) * F.col("n") / DEN)))
+           .withColumn("high", F.least("high", F.floor(F.lit(DEN) * F.col("n") / NUM)))
+           .where("low <= high"))
+    each = Window.partitionBy("cid", "partner")
+    ranked = (met.withColumn("least", F.min(least_between(F.col("n"), F.col("low"), F.col("high"))).over(each))
+              .withColumn("left", F.row_number().over(each.orderBy(F.desc("held"), F.desc("token")))))
+    return materialise(ranked.where("left >= least")
+                       .select("token", "band", "partner", "n", "left", "cid", "component"), "trie-keys")
+
+
+def open_pairs(placed: DataFrame) -> DataFrame:
+    """(a, b) of different components that can link by the prefix shingles they share, a < b."""
+    keys = key_postings(placed)
+    x, y = keys.alias("x"), keys.alias("y")
+    met = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.partner") == F.col("y.band"))
+                  & (F.col("x.band") == F.col("y.partner")) & (F.col("x.cid") < F.col("y.cid"))
+                  & (F.col("x.component") != F.col("y.component"))
+                  & (DEN * F.col("x.n") >= NUM * F.col("y.n")) & (DEN * F.col("y.n") >= NUM * F.col("x.n"))
+                  & (F.least("x.left", "y.left") >= shared_with(F.col("x.n"), F.col("y.n"))))
+           .select(F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("y.cid").alias("b"),
+                   F.col("y.n").alias("nb")).distinct())
+    held = small_side(placed.groupBy("cid").agg(F.collect_list("token").alias("tokens")), F.size("tokens"))
+    both = (met.join(held.select(F.col("cid").alias("a"), F.col("tokens").alias("of_a")), "a")
+            .join(held.select(F.col("cid").alias("b"), F.col("tokens").alias("of_b")), "b"))
+    return (both.withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
+            .where(possible()).select("a", "b"))
+
+
 def possible() -> F.Column:
     """Can a pair (a, na, b, nb) with ``shared`` common prefix shingles reach the threshold?"""
     after = F.greatest(rest_of(F.col("na")), rest_of(F.col("nb")))
@@ -419,13 +491,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     if links is not None and not links.isEmpty():
         settled = components(links, "trie-cc")
         placed = open_postings(place(placed.drop("component"), settled))
-    x, y = placed.alias("x"), placed.alias("y")
-    pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cid") < F.col("y.cid"))
-                    & (F.col("x.component") != F.col("y.component"))
-                    & (DEN * F.col("x.n") >= NUM * F.col("y.n")) & (DEN * F.col("y.n") >= NUM * F.col("x.n")))
-             .groupBy(F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("y.cid").alias("b"),
-                      F.col("y.n").alias("nb"))
-             .agg(F.count("*").alias("shared")).where(possible()).select("a", "b"))
+    pairs = open_pairs(placed)
     if tried is not None:
         tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.join(tried, ["a", "b"], "left_anti")

@@ -116,6 +116,53 @@ def test_no_link_needs_fewer_shared_shingles(spark):
             assert max(got[n], got.get(m, 0)) <= shared, (n, m)
 
 
+def test_least_between_holds_for_every_partner(spark):
+    spans = [(n, low, high) for n in range(1, 130) for low in range(-(-3 * n // 4), 4 * n // 3 + 1)
+             for high in range(low, 4 * n // 3 + 1, 1 + n // 12)]
+    sizes = [(n, m) for n in range(1, 130) for m in range(-(-3 * n // 4), 4 * n // 3 + 1)]
+    shared = {(r.n, r.m): r.s for r in spark.createDataFrame(sizes, "n long, m long").select(
+        "n", "m", trie_join.shared_with(F.col("n"), F.col("m")).alias("s")).collect()}
+    for (n, m), s in shared.items():
+        both = next(k for k in range(min(n, m) + 1) if 100 * k >= 75 * (n + m - k))
+        assert s <= min(trie_join.prefix_length(n) - (n - both), trie_join.prefix_length(m) - (m - both)), (n, m)
+    for r in spark.createDataFrame(spans, "n long, low long, high long").withColumn(
+            "least", trie_join.least_between(F.col("n"), F.col("low"), F.col("high"))).collect():
+        assert r.least <= max(1, min(shared[r.n, m] for m in range(r.low, r.high + 1))), r
+
+
+def placed_postings(spark, texts):
+    """Prefix postings of the texts, each class a component of its own, and the shingles by class."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = trie_join.class_table(docs, trie_join.Order(trie_join.frequent_shingles(docs))).cache()
+    sets = {r.cid: shingles(texts[r.doc_id]) for r in classes.select("doc_id", "cid").collect()}
+    return trie_join.postings(classes).withColumn("component", F.col("cid")), sets
+
+
+def test_open_pairs_hold_every_link(spark):
+    """Groups of copies about the threshold, cut and lengthened, so that sizes differ; some rows twice."""
+    texts = []
+    for k, length in enumerate((12, 40, 90, 200)):
+        base = prose(70 + k, length)
+        copies = [t for edits in (1, length // 50, length // 30 + 1) for t in variations(edits, base, 12, edits)]
+        texts += copies + [" ".join(t.split()[:-length // 7]) for t in copies[:9]] \
+            + [t + " " + prose(400 + i, length // 6) for i, t in enumerate(copies[:9])]
+    placed, sets = placed_postings(spark, texts + texts[:5])
+    found = {(r.a, r.b) for r in trie_join.open_pairs(placed).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(links) > 100 and links <= found
+
+
+def test_unlinked_copies_of_one_text_do_not_pair(spark):
+    """Copies that differ from a common text by too much to link with it or one another share
+    most of its shingles; none of these may bring all of them together."""
+    placed, sets = placed_postings(spark, variations(7, prose(75, 150), 200, 6))
+    pairs = "sum(n * (n - 1) / 2)"
+    count = lambda rows: rows.groupBy("token").agg(F.count("*").alias("n")).selectExpr(pairs).first()[0]
+    assert count(placed) > 200 * 199     # more than one shingle for each pair
+    assert count(trie_join.key_postings(placed)) < 5 * len(sets)
+
+
 def brute_groups(rows):
     sets = {i: shingles(t) for i, t in rows}
     by, groups, seen = defaultdict(list), Groups(), set()
