@@ -15,12 +15,14 @@ eighths of both, in that order, have at least an eighth of a set in common
 4. in a few rounds, every class is paired with one hub for each shingle and
    size band (star pairs, as many as postings at most), the pairs are verified
    and joined into components; large groups of near copies are settled here
-   without pairing their members. After each round, shingles whose classes lie
-   in one component go, and with them classes that then share too few for a
-   link to any other component, so each round works on what is still open;
-5. the postings that are open in the end pair up exactly: shared prefix
-   shingles are counted per pair, and a pair survives only if that count plus
-   the remaining lengths can reach the needed overlap;
+   without pairing their members, as a rule around the class that shares most.
+   After each round, shingles whose classes lie in one component go, and with
+   them classes that then share too few for a link to any other component, so
+   each round works on what is still open;
+5. of the postings that are open in the end, those of a class's rarest shingles
+   that no link can do without pair up, by size; a pair survives only if its
+   shared prefix shingles plus the remaining lengths can reach the needed
+   overlap;
 6. surviving pairs are verified like star pairs, and all links together give
    the components.
 
@@ -340,7 +342,7 @@ def key_postings(placed: DataFrame) -> DataFrame:
             .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("lo"),
                  F.max("component").alias("hi"), F.count("*").alias("held"))
             .withColumn("held", F.sum("held").over(Window.partitionBy("token"))))
-    met = (rows.join(small_side(held, F.lit(1)), "token")
+    met = (rows.join(held, "token")  # about as large as the postings
            .where((F.abs(F.col("band") - F.col("partner")) <= BANDS + 1)
                   & ((F.col("lo") != F.col("component")) | (F.col("hi") != F.col("component"))))
            .withColumn("low", F.greatest("low", F.ceil(F.lit(NUM) * F.col("n") / DEN)))
