@@ -14,6 +14,12 @@ from shoplens.session import scratch_path
 # whatever the batch size. A longer text makes a run of its own.
 SLICE_BYTES = 2_000_000
 
+# Bytes that Spark sends a Python worker at once. Its own bound of 64 MB, or
+# 10,000 rows, is held by each task as grown buffers in the JVM, as a message
+# and as a batch in the worker.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4_000_000
+
 
 def tokenizer_file(name: str) -> str:
     """Path of a public tokenizer file on the machine that calls this."""
@@ -120,6 +126,18 @@ def give_back() -> None:
         trim(0)
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, which its session sends to Python in batches of ``BATCH_BYTES`` from now on.
+
+    A larger row makes a batch of its own. A bound that the session was given
+    stays. The setting counts when the rows are read, so it is not taken back.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH, None) is None:
+        conf.set(BATCH, str(BATCH_BYTES))
+    return df
+
+
 def text_runs(column, limit: int = SLICE_BYTES) -> Iterator:
     """(first row, Arrow string array) runs of about ``limit`` bytes; null reads as empty."""
     import pyarrow as pa
@@ -247,11 +265,12 @@ class WordEncoder:
         return spread(self.words(words.to_numpy(zero_copy_only=False)), codes, bounds)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, limit: int = 400_000) -> WordEncoder:
     """The encoder of this Python worker, made on first use."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, limit) not in _ENCODERS:
+        _ENCODERS[path, limit] = WordEncoder(path, limit)
+        give_back()  # what reading the file took
+    return _ENCODERS[path, limit]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import byte_runs, fresh, materialise, small_side, split_words, text_runs
+from shoplens.llm.common import bounded, byte_runs, fresh, materialise, small_side, split_words, text_runs
 
 MIN_WORDS = 3
 NEAR_WORDS = 5
@@ -105,7 +105,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(halves.reshape(-1)))],
                     names=schema.names)
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs.where("doc_id is not null").select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def half_keys(x: Lines, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -180,7 +180,7 @@ def variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                          pa.array(line, pa.int32()), pa.array(text, pa.string()), pa.array(whole, pa.int64()),
                          pa.array(gone, pa.list_(pa.int64()))], names=schema.names)
 
-    return rows.select("doc_id", "text", "lines").mapInArrow(run, schema)
+    return bounded(rows.select("doc_id", "text", "lines")).mapInArrow(run, schema)
 
 
 def neighbours(lines: DataFrame) -> DataFrame:
@@ -306,7 +306,7 @@ def strip_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str, str]:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(all_lines, pa.int64()), pa.array(went, pa.int64())],
                                                  names=schema.names)
 
-    return named.mapInArrow(run, schema), lines, removed
+    return bounded(named).mapInArrow(run, schema), lines, removed
 
 
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:

@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import materialise, text_runs, tokenizer_file, word_encoder
+from shoplens.llm.common import bounded, materialise, text_runs, tokenizer_file, word_encoder
 
 MAX_TOKENS = 2048
 END_ID = 0
 # Pieces of one length are ranked in this many parts, so that a length that
 # most pieces share is ranked by many tasks.
 RANK_PARTS = 1024
+# Words that a worker remembers. More would save some time, but two workers of
+# an executor hold them beside what earlier stages left.
+KNOWN_WORDS = 160_000
 
 PLAN = T.StructType([
     T.StructField("p_length", T.IntegerType()), T.StructField("rank_from", T.LongType()),
@@ -49,7 +52,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json",
         import numpy as np
         import pyarrow as pa
 
-        enc = word_encoder(tokenizer_file(tokenizer))
+        enc = word_encoder(tokenizer_file(tokenizer), KNOWN_WORDS)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             for first, texts in text_runs(batch.column(1)):
@@ -68,7 +71,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json",
                      pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())],
                     names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(cut, schema)
 
 
 def plan_slots(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple]:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import materialise, small_side, split_words, text_runs
+from shoplens.llm.common import bounded, materialise, small_side, split_words, text_runs
 
 SYMBOLS = b"#*$%&|<>"
 MIN_GROUP = 50
@@ -78,7 +78,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
                     [batch.column(k).slice(first, len(texts)) for k in range(3)]
                     + [pa.array(np.asarray(x, np.int64)) for x in out], names=schema.names)
 
-    return docs.select("doc_id", "lang", "source", "text").mapInArrow(count, schema)
+    return bounded(docs.select("doc_id", "lang", "source", "text")).mapInArrow(count, schema)
 
 
 def repeat_words(bounds: np.ndarray, codes: np.ndarray) -> np.ndarray:

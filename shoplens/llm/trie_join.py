@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import components, materialise, small_side, split_words, text_runs
+from shoplens.llm.common import bounded, components, materialise, small_side, split_words, text_runs
 
 WORDS = 5
 NUM, DEN = 3, 4     # similarity of 0.75
@@ -159,7 +159,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
         keys, counts = _most(keys, counts, FREQUENT)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["s", "n"])
 
-    rows = (docs.select("text").mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    rows = (bounded(docs.select("text")).mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
             .where(F.col("n") >= FREQUENT_MIN).orderBy(F.desc("n"), "s").limit(FREQUENT).toPandas())
     return rows["s"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
 
@@ -198,7 +198,7 @@ def class_table(docs: DataFrame, order: Order) -> DataFrame:
                     [batch.column(0).slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(cid, pa.int64()),
                      pa.array(prefix, pa.binary())], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def digest(s: np.ndarray) -> int:
@@ -429,8 +429,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                                            for i in at])].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(a[out]), pa.array(b[out])], names=["a", "b"])
 
-    return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b") \
-        .mapInArrow(run, "a long, b long")
+    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
+    return bounded(both).mapInArrow(run, "a long, b long")
 
 
 def sets_of(docs: DataFrame, members: DataFrame, pairs: DataFrame, order: Order) -> DataFrame:
@@ -453,7 +453,7 @@ def sets_of(docs: DataFrame, members: DataFrame, pairs: DataFrame, order: Order)
                     names=["cid", "shingles"])
 
     # rows that share a doc_id may hold other texts, whose digest differs
-    return docs.select("doc_id", "text").join(ids, "doc_id").select("cid", "text") \
+    return bounded(docs.select("doc_id", "text").join(ids, "doc_id").select("cid", "text")) \
         .mapInArrow(run, schema).dropDuplicates(["cid"])
 
 
